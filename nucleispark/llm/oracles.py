@@ -69,4 +69,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
 """
 
-ORACLES = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op6_benchmark_decontamination": OP6}
+# The pages' template has its main text in one <article> element, whose blocks are h1 and p.
+OP5 = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS body FROM pages
+), b AS (
+  SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(body, '<br>', ' ', 'g'), '</?b>', '', 'g'), '<[^>]*>', chr(1), 'g'), '<[^>]*$', ''), chr(1)) AS parts FROM a
+), c AS (
+  SELECT page_id, url, list_transform(parts, lambda p: trim(regexp_replace(replace(regexp_replace(regexp_replace(replace(replace(p, '&lt;', '<'), '&gt;', '>'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), chr(160), ' '), '\s+', ' ', 'g'))) AS parts FROM b
+), d AS (SELECT page_id, url, coalesce(array_to_string(list_filter(parts, lambda p: p <> ''), chr(10) || chr(10)), '') AS text FROM c)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
+"""
+
+ORACLES = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op5_html_extraction": OP5, "op6_benchmark_decontamination": OP6}

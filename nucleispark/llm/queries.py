@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nucleispark.llm import bpe, chat, decontaminate, oracles, transport, url_filter
+from nucleispark.llm import bpe, chat, decontaminate, html_text, language, oracles, quality, transport, url_filter
+from nucleispark.llm._text import modulus_of_id
 from nucleispark.session import on_workers, read
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -32,16 +33,35 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport.read_media(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "lost")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(on_workers(spark), sf_dir, "pages"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(on_workers(spark), sf_dir, "documents", "benchmark")
     return decontaminate.digest(decontaminate.decontaminate(docs, benchmark))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(on_workers(spark), sf_dir, "documents", "labels")
+    scored = quality.score(docs, quality.train(docs, quality.learnable(labels)))
+    return scored.select("doc_id", (modulus_of_id("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= quality.LEVEL).cast("int").alias("predicted"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(on_workers(spark), sf_dir, "documents"), tokenizer_path(), arrays=False)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(on_workers(spark), sf_dir, "documents")
+    found = language.identify(docs, language.train(language.learnable(docs)))
+    return found.select("doc_id", (modulus_of_id("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_media_columns, op6_benchmark_decontamination, op8_bpe)
+    f.__name__: f
+    for f in (
+        op1_chat_formatting, op2_url_filters, op3_media_columns, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id,
+    )
 }
 ORACLES = oracles.ORACLES
