@@ -69,6 +69,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
 """
 
+OP4 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents
+), s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda p: list_slice(w, p, p + 4)) END) AS g FROM d WHERE doc_id IS NOT NULL
+), n AS (SELECT r, count(*) AS n FROM s GROUP BY r
+), common AS (SELECT a.r AS x, b.r AS y, count(*) AS inter FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY ALL
+), link AS (SELECT x, y FROM common JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE inter * 9 >= 4 * (nx.n + ny.n)
+), reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+)
+SELECT d.doc_id, (SELECT min(e.doc_id) FROM reach JOIN d e ON e.r = reach.y WHERE reach.x = d.r) AS class_id,
+  CASE WHEN d.doc_id IS NOT NULL THEN coalesce(l.c, 0) END AS n_links
+FROM d LEFT JOIN (SELECT x, count(*) AS c FROM link GROUP BY x) l ON l.x = d.r
+"""
+
 # The pages' template has its main text in one <article> element, whose blocks are h1 and p.
 OP5 = r"""
 WITH a AS (
@@ -81,4 +94,4 @@ WITH a AS (
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
 """
 
-ORACLES = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op5_html_extraction": OP5, "op6_benchmark_decontamination": OP6}
+ORACLES = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op4_ngram_jaccard_join": OP4, "op5_html_extraction": OP5, "op6_benchmark_decontamination": OP6}

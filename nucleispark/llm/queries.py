@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nucleispark.llm import bpe, chat, decontaminate, html_text, language, oracles, quality, transport, url_filter
+from nucleispark.llm import bpe, chat, decontaminate, html_text, language, near_duplicates, oracles, quality, transport, url_filter
 from nucleispark.llm._text import modulus_of_id
 from nucleispark.session import on_workers, read
 
@@ -33,6 +33,10 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport.read_media(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "lost")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read(on_workers(spark), sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(on_workers(spark), sf_dir, "pages"))
 
@@ -61,7 +65,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_chat_formatting, op2_url_filters, op3_media_columns, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id,
+        op1_chat_formatting, op2_url_filters, op3_media_columns, op4_ngram_jaccard_join, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id,
     )
 }
 ORACLES = oracles.ORACLES
