@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nucleispark.llm import bpe, chat, decontaminate, html_text, language, near_duplicates, oracles, quality, transport, url_filter
+from nucleispark.llm import bpe, chat, decontaminate, html_text, language, near_duplicates, oracles, quality, substring_dedup, transport, url_filter
 from nucleispark.llm._text import modulus_of_id
 from nucleispark.session import on_workers, read
 
@@ -62,10 +62,20 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (modulus_of_id("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(on_workers(spark), sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_chat_formatting, op2_url_filters, op3_media_columns, op4_ngram_jaccard_join, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id,
+        op1_chat_formatting, op2_url_filters, op3_media_columns, op4_ngram_jaccard_join, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id, op10_substring_dedup, pipeline,
     )
 }
 ORACLES = oracles.ORACLES
