@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -26,3 +27,11 @@ def read(spark: SparkSession, folder: str, *names: str):
     """The Parquet tables of those names, one or a tuple."""
     found = tuple(spark.read.parquet(f"{folder}/{name}.parquet") for name in names)
     return found if len(found) > 1 else found[0]
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """The rows without lineage, in the session's spark.checkpoint.dir; only where that is unset, as in tests, a temporary one."""
+    spark = rows.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return rows.checkpoint()
