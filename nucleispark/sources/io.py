@@ -42,7 +42,7 @@ def read_detections(spark: SparkSession, path: str, schema: str = DETECTION_CSV,
 
 def export_detections(dets: DataFrame, classes: DataFrame | None = None, save_masks: bool = False) -> DataFrame:
     """Half-even integer boxes, scores to four decimals, labels as text (`cls_n` if unknown) where classes are given, and with save_masks
-    the polygons (mask_poly, relative to the box's corner) as comma-joined slide coordinates."""
+    the polygons (mask_poly, relative to the rounded box's corner) as comma-joined slide coordinates."""
     corners = [half_even(F.col(c)).cast("int").alias(c) for c in ("x0", "y0", "x1", "y1")]
     if classes is not None:
         dets = dets.join(classes.select("label", F.col("text").alias("_text")), "label", "left")
@@ -51,7 +51,7 @@ def export_detections(dets: DataFrame, classes: DataFrame | None = None, save_ma
         label = F.col("label")
     out = [*[c for c in ("slide_id", "nucleus_id") if c in dets.columns], *corners, F.round("score", 4).alias("score"), label.alias("label")]
     if save_masks:
-        placed = F.transform("mask_poly", lambda p: F.struct((p["x"] + F.col("x0")).alias("x"), (p["y"] + F.col("y0")).alias("y")))
+        placed = F.transform("mask_poly", lambda p: F.struct((p["x"] + half_even(F.col("x0"))).alias("x"), (p["y"] + half_even(F.col("y0"))).alias("y")))
         out += [vertices_to_text(placed, a).alias(f"poly_{a}") for a in "xy"]
     return dets.select(*out)
 

@@ -16,7 +16,7 @@ BOX = "slide_id long, nucleus_id long, x0 double, y0 double, x1 double, y1 doubl
 
 
 def box(k, x, y, label=1, score=0.9, r=4.0, slide=1):
-    return (slide, k, x - r, y - r, x + r, y + r, label, score)
+    return (slide, k, float(x - r), float(y - r), float(x + r), float(y + r), label, score)
 
 
 def test_ratios_of_the_golden_row(spark):
@@ -120,7 +120,7 @@ def test_files_round_trip(spark, tmp_path):
     out = io.export_detections(dets, io.class_table(spark), save_masks=True)
     out.drop("slide_id", "nucleus_id").write.option("header", True).csv(str(tmp_path / "csv"))
     back = io.read_detections(spark, str(tmp_path / "csv")).first()
-    assert (back["x0"], back["y1"], back["label"], back["poly_x"], back["poly_y"]) == (6, 25, "tumor", "6.25", "18.25")
+    assert (back["x0"], back["y1"], back["label"], back["poly_x"], back["poly_y"]) == (6, 25, "tumor", "6.00", "18.50")
 
     io.append_detections(dets, str(tmp_path / "store"))
     io.append_detections(dets, str(tmp_path / "store"))
