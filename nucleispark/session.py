@@ -8,14 +8,19 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ROOT = str(Path(__file__).resolve().parent.parent)
 
 
 def on_workers(spark: SparkSession) -> SparkSession:
     """Lets Python workers import this package from where the driver has it.
 
-    On a cluster whose executors don't have that folder, ship the package with `--py-files` as usual.
+    On a cluster whose executors don't have that folder, ship the package with `--py-files` as usual. Rows can be long
+    (whole texts, masks), so Arrow batches get ROWS rows, unless the session asks for another number than Spark's own.
     """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(ROWS))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
