@@ -1,7 +1,7 @@
 """A training corpus from raw documents: five stages, each an operator of `nucleispark.llm`.
 
 Every stage takes (spark, docs, sf_dir) and judges all documents that the one before it kept. All but the last return the
-columns of documents, extra ones too; the last adds tokens. Between stages rows are written as Parquet and read again.
+columns of documents, extra ones of any name too; the last adds tokens. Between stages rows are written as Parquet and read again.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,45 +18,51 @@ from nucleispark.llm._carry import map_column
 from nucleispark.session import on_workers, read
 
 
+def _slim(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with columns c0, c1, .. and the new names of the old ones, so that no name clashes with an operator's."""
+    on_workers(docs.sparkSession)
+    new = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*new.values()), new
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model names with enough confidence. Null texts and texts without letters go."""
-    model = language.train(language.learnable(docs))
-    names = ("__lang", "__score", "__rejected")
-    return language.identify(docs, model, keep=tuple(docs.columns), names=names).filter("not __rejected").select(*_columns(docs))
+    slim, at = _slim(docs)
+    known = slim.select(*(F.col(at[c]).alias(c) for c in ("doc_id", "text", "lang")))
+    model = language.train(language.learnable(known))
+    return language.identify(slim, model, text=at["text"], keep=tuple(slim.columns)).filter("not rejected").select(*slim.columns).toDF(*docs.columns)
 
 
 def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the least id. Repeated rows of that id stay if their texts are
     alike; rows with a null id stay."""
-    judged = near_duplicates.near_duplicates(docs)
-    others = judged.filter("class_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(others, docs["doc_id"] == others["__id"], "left_anti")
+    slim, at = _slim(docs)
+    judged = near_duplicates.near_duplicates(slim, id=at["doc_id"], text=at["text"])
+    others = judged.filter(F.col("class_id") != F.col(at["doc_id"])).select(F.col(at["doc_id"]).alias("id")).distinct()
+    return slim.join(others, slim[at["doc_id"]] == others["id"], "left_anti").toDF(*docs.columns)
 
 
 def substring_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has; those of which no word is left go. n_chars follows the text."""
-    found = substring_dedup.repeated_passages(docs)
-    spans = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("__spans"))
-    joined = docs.join(spans, docs["doc_id"] == spans["__id"], "left")
-    same = joined.filter("__spans is null").select(*_columns(docs))
-    cut = joined.filter("__spans is not null").withColumn("__x", F.struct("text", "__spans"))
-    left = map_column(cut, "__x", docs.columns, "__text string", lambda x: [_cut(x)])
-    left = left.filter(F.regexp_like("__text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")))
-    changed = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
-    return same.unionByName(left.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns)))
-
-
-def _cut(x):
-    import pyarrow as pa
-
-    spans = [[(s["start_word"], s["end_word"]) for s in r or ()] for r in x.field("__spans").to_pylist()]
+    slim, at = _slim(docs)
+    found = substring_dedup.repeated_passages(slim.select(F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text")))
+    spans = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
+    joined = slim.join(spans, slim[at["doc_id"]] == spans["id"], "left")
+    same = joined.filter("spans is null").select(*slim.columns)
+    left = map_column(joined.filter("spans is not null").withColumn("x", F.struct(F.col(at["text"]).alias("text"), "spans")), "x", slim.columns, "left string", lambda x: [_cut(x)])
+    left = left.filter(F.regexp_like("left", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")))
+    changed = {at["text"]: F.col("left")} | ({at["n_chars"]: F.length("left").cast("long")} if "n_chars" in at else {})
+    return same.unionByName(left.select(*(changed.get(c, F.col(c)).alias(c) for c in slim.columns))).toDF(*docs.columns)
+
+
+def _cut(x: pa.Array) -> pa.Array:
+    spans = [[(s["start_word"], s["end_word"]) for s in r or ()] for r in x.field("spans").to_pylist()]
     return pa.array(substring_dedup.without_spans(x.field("text"), spans), pa.string())
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    slim = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    slim, at = _slim(docs)
     rest = [c for c in slim.columns if c != at["doc_id"]]
     judged = decontaminate.decontaminate(slim, read(spark, sf_dir, "benchmark"), id=at["doc_id"], text=at["text"], keep=rest)
     return judged.filter(F.size("hit_spans") == 0).select(*slim.columns).toDF(*docs.columns)
@@ -63,6 +70,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's id, token ids and their number, with hashes of the ids and of the text decoded from them."""
+    on_workers(spark)
     return bpe.encode(docs, queries.tokenizer_path()).drop("decoded")
 
 
@@ -77,10 +85,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`. Stage results go to the session's spark.checkpoint.dir, or where that is unset, as in
     tests, to a temporary folder."""

@@ -1,23 +1,11 @@
-"""Folders that the driver and all executors see, and connected components on them."""
+"""Connected components."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def cut(rows: DataFrame) -> DataFrame:
-    """The rows, written to the checkpoint folder and read from there, without lineage.
-
-    The folder is the session's spark.checkpoint.dir; only where that is unset, as in tests, a temporary one.
-    """
-    spark: SparkSession = rows.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return rows.checkpoint()
+from nucleispark.session import checkpointed as cut
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nucleispark.llm._carry import map_column
-from nucleispark.llm._shared import connected_components, cut
+from nucleispark.llm._shared import connected_components
 from nucleispark.llm._text import SHINGLE, chunks, mix, shingle_sets
+from nucleispark.session import checkpointed as cut
 
 THRESHOLD = 0.8
 ROWS, BANDS = 6, 40
