@@ -23,6 +23,8 @@ from nucleispark.llm.url_filter import host_and_path
 
 #: Containers of a page that get a vote.
 VOTES = 3
+#: Parts that a host's pages are dealt into when they meet its winner.
+PARTS = 8
 # Fixed names of HTML elements by their role.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
@@ -179,7 +181,9 @@ def extract(pages: DataFrame, *, id: str = "page_id", url: str = "url", page: st
     winners = consensus(pages, url=url, page=page) if winners is None else winners
     host, _ = host_and_path(F.col("url"))
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), F.col(page).alias("html")).withColumn("host", host)
-    joined = rows.join(winners, "host", "left").select("id", "url", F.struct("html", "winner").alias("x"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("url", "id"), F.lit(PARTS)).cast("int"))
+    winners = winners.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    joined = rows.join(winners, ["host", "part"], "left").select("id", "url", F.struct("html", "winner").alias("x"))
 
     def run(x: pa.Array) -> list[pa.Array]:
         texts = [main_text(list(blocks(t or "")), w) for t, w in zip(x.field("html").to_pylist(), x.field("winner").to_pylist(), strict=True)]
