@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nucleispark.session import checkpointed
+
 
 def iou(a: str = "a", b: str = "b") -> Column:
     """Intersection over union of two structs with x0, y0, x1, y1."""
@@ -57,22 +59,18 @@ def nms_by_slide(dets: DataFrame, threshold: float, bin_size: int = 64) -> DataF
     A round keeps the boxes that no undecided better one overlaps, and drops those that a kept one overlaps; rounds, each
     checkpointed, end when all are decided, after as many as the longest chain of overlaps.
     """
-    from nucleispark.session import checkpointed
-
     pairs = checkpointed(overlapping_pairs(dets, threshold, bin_size))
-    kept = dets.join(pairs.select("slide_id", F.col("worse").alias("nucleus_id")), ["slide_id", "nucleus_id"], "left_anti").select("slide_id", "nucleus_id")
-    undecided = checkpointed(pairs.select("slide_id", F.col("worse").alias("nucleus_id")).distinct())
-    fresh = checkpointed(kept)
-    named = lambda rows: rows.select(F.col("slide_id").alias("s"), F.col("nucleus_id").alias("k"))
-    kept = named(fresh)
-    while not undecided.isEmpty():
-        lost = pairs.join(fresh.withColumnRenamed("nucleus_id", "better"), ["slide_id", "better"]).select("slide_id", F.col("worse").alias("nucleus_id")).distinct()
-        left = undecided.join(lost, ["slide_id", "nucleus_id"], "left_anti")
-        blocked = pairs.join(left.withColumnRenamed("nucleus_id", "better"), ["slide_id", "better"]).select("slide_id", F.col("worse").alias("nucleus_id")).distinct()
-        fresh = checkpointed(left.join(blocked, ["slide_id", "nucleus_id"], "left_anti"))
-        undecided = checkpointed(left.join(fresh, ["slide_id", "nucleus_id"], "left_anti"))
-        kept = kept.union(named(fresh))
-    return dets.join(kept.toDF("slide_id", "nucleus_id"), ["slide_id", "nucleus_id"], "left_semi")
+    # Boxes of some pair: 0 undecided, 1 kept, 2 dropped.
+    state = checkpointed(pairs.select("slide_id", F.explode(F.array("better", "worse")).alias("nucleus_id")).distinct().withColumn("status", F.lit(0)))
+    key = ["slide_id", "nucleus_id"]
+    worse_than = lambda rows: pairs.join(rows.withColumnRenamed("nucleus_id", "better"), ["slide_id", "better"]).select("slide_id", F.col("worse").alias("nucleus_id")).distinct()
+    while not state.filter("status = 0").isEmpty():
+        live = state.filter("status = 0").select(*key)
+        fresh = checkpointed(live.join(worse_than(live), key, "left_anti"))
+        marked = state.join(fresh.withColumn("k", F.lit(1)), key, "left").join(worse_than(fresh).withColumn("d", F.lit(1)), key, "left")
+        status = F.when(F.col("status") != 0, F.col("status")).when(F.col("k") == 1, 1).when(F.col("d") == 1, 2).otherwise(0)
+        state = checkpointed(marked.select(*key, status.alias("status")))
+    return dets.join(state.filter("status = 2").select(*key), key, "left_anti")
 
 
 def top_by_score(dets: DataFrame, keys: list[str], n: int = 1000) -> DataFrame:
