@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+
 import numpy as np
 
+#: Up to so many points all triples are tried at once.
+FEW = 20
+
+
+@lru_cache(maxsize=None)
+def _triples(n: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3)
+
 
 def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Positive where a, b, c turn left."""
@@ -26,6 +37,10 @@ def triangulate(points: np.ndarray) -> tuple[np.ndarray, bool]:
     p = np.asarray(points, np.int64)
     p = p - p.min(0) if len(p) else p
     n = len(p)
+    if 3 <= n <= FEW:
+        found = _of_few(p)
+        if found is not None:
+            return found, True
     third = next((k for k in range(2, n) if _turn(p[0], p[1], p[k]) != 0), None)
     if third is None:
         return np.zeros((0, 3), np.int64), True
@@ -55,6 +70,18 @@ def triangulate(points: np.ndarray) -> tuple[np.ndarray, bool]:
     return real, _only_one(p, real)
 
 
+def _of_few(p: np.ndarray) -> np.ndarray | None:
+    """The triangles whose circles hold no point; None if one has a fourth point on its circle, where there is a choice."""
+    t = _triples(len(p))
+    a, b, c = p[t[:, 0]], p[t[:, 1]], p[t[:, 2]]
+    turn = _turn(a, b, c)
+    t = np.where((turn < 0)[:, None], t[:, [0, 2, 1]], t)[turn != 0]
+    side = in_circle(p[t[:, 0], None], p[t[:, 1], None], p[t[:, 2], None], p[None])
+    side[np.arange(len(t))[:, None], t] = -1
+    empty = (side <= 0).all(1)
+    return None if (side[empty] == 0).any() else t[empty]
+
+
 def _only_one(p: np.ndarray, tri: np.ndarray) -> bool:
     """Whether no two neighbouring triangles have their corners on one circle."""
     edges = {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -64,15 +66,40 @@ def delaunay_edges(points: DataFrame, max_dist: float | None = 100.0, keys: tupl
     stands for it. Points on one circle have several triangulations: `unique` says whether the patch has one only.
     """
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["row", "col", "cls"]).drop_duplicates(["row", "col"])
+    names = list(keys)
+
+    def sides(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of whole patches, sorted."""
+        pdf = pdf[~pdf.duplicated([*names, "row", "col"])]
+        begins = np.flatnonzero((pdf[names] != pdf[names].shift()).any(axis=1).to_numpy())
         xy, cls = pdf[["row", "col"]].to_numpy(np.int64), pdf["cls"].to_numpy()
-        tri, only = triangulate(xy)
-        a, b = tri.ravel(), tri[:, [1, 2, 0]].ravel()
-        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "i": np.minimum(cls[a], cls[b]), "j": np.maximum(cls[a], cls[b]), "dist": np.sqrt(((xy[a] - xy[b]) ** 2).sum(1).astype(float)), "unique": only})
+        ends, owner, only = [], [], []
+        for lo, hi in zip(begins, np.append(begins[1:], len(pdf)), strict=True):
+            tri, one = triangulate(xy[lo:hi])
+            ends.append(tri + lo)
+            owner.append(np.full(3 * len(tri), lo))
+            only.append(np.full(3 * len(tri), one))
+        tri, owner = np.concatenate(ends), np.concatenate(owner)
+        i, j = tri.ravel(), tri[:, [1, 2, 0]].ravel()
+        found = {"i": np.minimum(cls[i], cls[j]), "j": np.maximum(cls[i], cls[j]), "dist": np.sqrt(((xy[i] - xy[j]) ** 2).sum(1).astype(float)), "unique": np.concatenate(only)}
+        return pd.DataFrame({**{k: pdf[k].to_numpy()[owner] for k in names}, **found})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the last patch of a batch may go on in the next
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            pdf = pdf if rest is None else pd.concat([rest, pdf])
+            last = (pdf[names] == pdf[names].iloc[-1]).all(axis=1).to_numpy()
+            rest = pdf[last]
+            if not last.all():
+                yield sides(pdf[~last])
+        if rest is not None:
+            yield sides(rest)
 
     kinds = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
-    edges = points.groupBy(*keys).applyInPandas(one, f"{kinds}, i int, j int, dist double, unique boolean")
+    dealt = points.select(*names, "row", "col", "cls").repartition(*names).sortWithinPartitions(*names, "row", "col", "cls")
+    edges = dealt.mapInPandas(run, f"{kinds}, i int, j int, dist double, unique boolean")
     edges = edges.filter("dist > 0")
     return edges if max_dist is None else edges.filter(F.col("dist") < max_dist)
 
