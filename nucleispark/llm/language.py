@@ -25,7 +25,7 @@ BUCKETS = 1 << 14
 DIMENSIONS = 16
 PER_LANGUAGE = 600
 EPOCHS, BATCH, RATE = 6, 16, 20.0
-REJECT_BELOW = 0.5
+REJECT_BELOW = 0.4
 UNDETERMINED = "und"
 _PLAIN = np.where(IS_WORD[LOWER], LOWER, 32).astype(np.uint32)
 _LETTER = ((np.arange(256) >= 65) & (np.arange(256) <= 90)) | ((np.arange(256) >= 97) & (np.arange(256) <= 122))

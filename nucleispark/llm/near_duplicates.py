@@ -32,6 +32,7 @@ HASHES = ROWS * BANDS
 STEP = 32
 TOLERANCE = 1e-6
 BLOCK = 512
+HOT_KEYS = 1000
 _MULTIPLIERS = np.random.default_rng(3).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -203,7 +204,21 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     linked = roots.join(links, "key").join(classes.select("key", "least"), "key")
     heads = linked.groupBy("root").agg(F.min("least").alias("class_id"))
     linked = linked.join(heads, "root").select("key", "links", "class_id")
-    known = classes.select("key", "n", "least").join(linked, "key", "left").select("key", F.coalesce("class_id", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
-    named = F.when(F.col("id").isNotNull() & F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id"))
-    out = all_docs.select("id", F.when(F.col("id").isNotNull(), F.col("key")).alias("key")).join(known, "key", "left")
-    return out.select(F.col("id").alias(id), named.alias("class_id"), F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0))).alias("n_links"))
+    known = classes.select("key", "n", "least").join(linked, "key", "left").select("key", "n", F.coalesce("class_id", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
+    return _name_classes(all_docs, cut(known)).withColumnRenamed("id", id)
+
+
+def _name_classes(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, class_id, n_links) of all (id, key), from (key, class_id, links, n).
+
+    Keys of a thousandth of all documents or more are at most a thousand; their rows are sent to all tasks, so that copies of one
+    text don't meet in one task.
+    """
+    bound = max(2, known.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
+    hot, cold = known.filter(F.col("n") >= bound).drop("n"), known.filter(F.col("n") < bound).drop("n")
+    keyed = docs.filter("id is not null and key is not null").select("id", "key")
+    alone = docs.filter("id is null or key is null").select("id", F.col("id").alias("class_id"), F.when(F.col("id").isNotNull(), F.lit(0)).cast("long").alias("n_links"))
+    # At most HOT_KEYS rows of 32 bytes.
+    first = keyed.join(F.broadcast(hot), "key").select("id", "class_id", F.col("links").alias("n_links"))
+    rest = keyed.join(F.broadcast(hot.select("key")), "key", "left_anti").join(cold, "key").select("id", "class_id", F.col("links").alias("n_links"))
+    return first.unionByName(rest).unionByName(alone)
