@@ -6,8 +6,9 @@ passage are the nodes of the Cartesian tree over the places that are the least o
 about 2 / (width + 1) of them a token. Two passages share a MinHash value exactly if they lie in windows of one value.
 
 1. Windows of HASHES functions, keyed by hash value.
-2. Windows of one key in document order: each is linked to the first and to the one before it, never to all. Keys that a
-   sample of documents shows to be frequent are dealt out by document, and the first windows of the parts linked again.
+2. Windows of one key in document order: each is linked to the key's first and to the last of the document before. Keys
+   that a sample of documents shows to be frequent are dealt out by ranges of documents; the ends of the parts are then
+   joined, so that the links are those without dealing.
 3. Links of two documents are joined as intervals: they must fall in with one another on both sides, by NEED functions.
 4. The shingles of the ranges found are compared: a passage is the longest range of at least `min_words` words whose
    shingles and the counterpart's have similarity >= threshold, then the longest to its left and to its right, and so on.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,10 +89,18 @@ def unpack(place: np.ndarray) -> np.ndarray:
     return np.stack([place >> (2 * _REACH + _C), c, c - (place >> _REACH & far), c + (place & far)], 1)
 
 
-def windows(docs: DataFrame, id: str, text: str, k: int, width: int, hot: np.ndarray) -> DataFrame:
-    """(doc, key, place, frequent): place in shingles from the text's beginning. Keys in hot become one of PARTS keys, by document, and
-    `frequent` holds the key itself."""
-    rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text")).filter("doc is not null").withColumn("deal", F.xxhash64("doc"))
+def _deal(rows: DataFrame) -> Column:
+    """A document's part, from 0 to PARTS - 1, rising with doc; a few documents chosen by hash give the borders, which results don't depend on."""
+    some = sorted(r[0] for r in rows.select("doc").orderBy(F.xxhash64("doc"), "doc").limit(PARTS * 64).collect())
+    borders = F.array(*map(F.lit, some[:: max(1, -(-len(some) // PARTS))][1:])).cast(T.ArrayType(rows.schema["doc"].dataType))
+    return F.size(F.filter(borders, lambda b: b <= F.col("doc")))
+
+
+def windows(docs: DataFrame, id: str, text: str, k: int, width: int, hot: np.ndarray, only: bool = False) -> DataFrame:
+    """(doc, key, place, frequent): place in shingles from the text's beginning. Keys in hot become one of PARTS keys, by ranges of
+    documents, and `frequent` holds the key itself; only: those windows alone."""
+    rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text")).filter("doc is not null")
+    rows = rows.withColumn("deal", _deal(rows) if len(hot) else F.lit(0))
     schema = T.StructType([rows.schema["doc"], *T._parse_datatype_string("key long, place long, frequent long").fields])
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
@@ -112,26 +121,41 @@ def windows(docs: DataFrame, id: str, text: str, k: int, width: int, hot: np.nda
                 key, place, c = map(np.concatenate, zip(*found, strict=True))
                 text_of = np.searchsorted(w.first, c, side="right") - 1 + lo
                 often = frequent[np.minimum(np.searchsorted(frequent, key), len(frequent) - 1)] == key if len(frequent) else np.zeros(len(key), bool)
-                dealt = np.where(often, mix(key.view(np.uint64) + np.uint64(1) + (deal[text_of] % PARTS).astype(np.uint64)).view(np.int64), key)
+                dealt = np.where(often, mix(key.view(np.uint64) + np.uint64(1) + deal[text_of].astype(np.uint64)).view(np.int64), key)
                 columns = [pa.array(dealt), pa.array(place), pa.array(key, mask=~often)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text_of)), *columns], names=schema.names)
+                made = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text_of)), *columns], names=schema.names)
+                yield made.filter(pa.array(often)) if only else made
 
     return rows.mapInArrow(run, schema)
 
 
-def _links(found: DataFrame) -> DataFrame:
+def _ends(frequent: DataFrame) -> DataFrame:
+    """(key, first, before) for each part of a frequent key: the key's first window, and the last one before the part."""
+    at = F.struct("doc", "place")
+    over = Window.partitionBy("frequent").orderBy("low")
+    parts = frequent.groupBy("frequent", "key").agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    return parts.select("key", F.first("low").over(over).alias("first"), F.lag("high").over(over).alias("before"))
+
+
+def _near(found: DataFrame, ends: DataFrame | None) -> DataFrame:
+    """The windows with `head` and `prev`, the key's first window and the last of the document before (null in its first
+    document), and `crowded`, whether three documents or more have the key, or it is frequent."""
+    order, at = Window.partitionBy("key").orderBy("doc", "place"), F.struct("doc", "place")
+    near = found.select("*", F.first(at).over(order).alias("head"), F.lag(at).over(order).alias("lag"))
+    near = near.withColumn("prev", F.last(F.when(F.col("lag.doc") < F.col("doc"), F.col("lag")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    crowded = F.coalesce(F.max(F.col("prev.doc") > F.col("head.doc")).over(Window.partitionBy("key")), F.lit(False))
+    near = near.withColumn("crowded", crowded | F.col("frequent").isNotNull())
+    if ends is not None:
+        near = near.join(ends, "key", "left").withColumns({"head": F.coalesce("first", "head"), "prev": F.coalesce("prev", "before")})
+    return near.select("doc", "place", "head", "prev", "crowded", F.col("frequent").isNotNull().alias("hot"))
+
+
+def _links(found: DataFrame, rows: DataFrame, k: int, width: int, ends: DataFrame | None = None) -> DataFrame:
     """(doc, other, links): for each two documents that got linked the later one, the earlier one and the linked places."""
-    order = Window.partitionBy("key").orderBy("doc", "place")
-    ends = {f"{n}_{c}": f(c).over(order) for n, f in (("head", F.first), ("prev", F.lag)) for c in ("doc", "place")}
-    near = found.select("*", *(e.alias(n) for n, e in ends.items()))
-    head, prev = (F.struct(F.col(f"{n}_doc").alias("doc"), F.col(f"{n}_place").alias("place")) for n in ("head", "prev"))
-    # Which end comes first doesn't matter, but the branches below share one shuffle only if both read all columns.
-    both = F.when(F.col("frequent").isNull(), F.array_distinct(F.array(head, prev))).otherwise(F.array_distinct(F.array(prev, head)))
-    inner = near.filter("prev_doc is not null").select("doc", "place", F.explode(both).alias("o"))
-    heads = near.filter("prev_doc is null and frequent is not null").select("doc", "place", "frequent")
-    over = Window.partitionBy("frequent").orderBy("doc", "place")
-    outer = heads.select("doc", "place", F.first("doc").over(over).alias("d"), F.first("place").over(over).alias("p")).select("doc", "place", F.struct(F.col("d").alias("doc"), F.col("p").alias("place")).alias("o"))
-    links = inner.union(outer).filter("o.doc < doc")
+    near = _near(found, ends)
+    ends = F.array_distinct(F.filter(F.array("head", "prev"), lambda o: o["doc"] < F.col("doc")))
+    near = cut(near.select("doc", "place", "crowded", "hot", ends.alias("os")).filter("crowded or size(os) > 0"))  # few of all windows
+    links = near.select("doc", "place", F.explode("os").alias("o"))
     fn = F.shiftright("place", 2 * _REACH + _C)
     every = F.collect_list(F.struct("place", F.col("o.place").alias("other_place")))
     grouped = links.groupBy("doc", F.col("o.doc").alias("other")).agg(every.alias("links"), F.min(fn).alias("a"), F.max(fn).alias("b"))
@@ -261,7 +285,8 @@ def repeated_passages(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
         found = [[dict(zip(("s", "e", "os", "oe"), r, strict=True)) for r in join_intervals(table[a:b], width)] for a, b in zip(at[:-1], at[1:], strict=True)]
         return [pa.array(found, _RANGES)]
 
-    found = map_column(_links(windows(rows, "doc", "text", k, width, hot)), "links", ["doc", "other"], "ranges array<struct<s:int,e:int,os:int,oe:int>>", ranges)
+    ends = _ends(windows(rows, "doc", "text", k, width, hot, only=True)) if len(hot) else None
+    found = map_column(_links(windows(rows, "doc", "text", k, width, hot), rows.filter("doc is not null"), k, width, ends), "links", ["doc", "other"], "ranges array<struct<s:int,e:int,os:int,oe:int>>", ranges)
     pairs = cut(found.select("doc", "other", F.inline("ranges")))
     sides = pairs.select("doc", "s", "e").union(pairs.select("other", "os", "oe")).distinct()
     wanted = sides.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))

@@ -394,6 +394,22 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark, monkeypatch):
     assert substring_dedup.repeated_passages(docs.filter("doc_id > 999")).count() == 0
 
 
+def test_dealing_leaves_the_links_as_they_are(spark, monkeypatch):
+    rng = random.Random(32)
+    line = [prose(rng, 40), prose(rng, 60)]
+    texts = {i: f"{prose(rng, 20)} {line[i % 2]} {prose(rng, 20)} {line[i % 3 % 2]} {prose(rng, 20)}" for i in range(60)}
+    docs = docs_of(spark, texts).select(F.col("doc_id").alias("doc"), "text")
+    hot = np.array([r[0] for r in substring_dedup.windows(docs, "doc", "text", 5, 46, np.zeros(0, np.int64)).groupBy("key").count().filter("count > 5").select("key").collect()], np.int64)
+    assert len(hot) > 3
+    sides = []
+    for keys in (hot[:0], hot):
+        found = substring_dedup.windows(docs, "doc", "text", 5, 46, keys)
+        ends = substring_dedup._ends(substring_dedup.windows(docs, "doc", "text", 5, 46, keys, only=True)) if len(keys) else None
+        near = substring_dedup._near(found, ends).select("doc", "place", "head", "prev").collect()
+        sides.append({(r["doc"], r["place"], r["head"], r["prev"]) for r in near})
+    assert sides[0] == sides[1]
+
+
 def test_rows_that_share_an_id_or_have_none(spark):
     t = prose(random.Random(6), 100)
     rows = substring_dedup.repeated_passages(docs_of(spark, [(1, t), (1, t), (None, t), (2, t)])).collect()
