@@ -9,6 +9,8 @@ about 2 / (width + 1) of them a token. Two passages share a MinHash value exactl
 2. Windows of one key in document order: each is linked to the key's first and to the last of the document before. Keys
    that a sample of documents shows to be frequent are dealt out by ranges of documents; the ends of the parts are then
    joined, so that the links are those without dealing.
+   Where too many functions' keys are crowded (three documents or more), first and previous may hold only a part of a passage.
+   There each range of the shortest passage's length is a key of its own, linked to its first holder, which has all of it.
 3. Links of two documents are joined as intervals: they must fall in with one another on both sides, by NEED functions.
 4. The shingles of the ranges found are compared: a passage is the longest range of at least `min_words` words whose
    shingles and the counterpart's have similarity >= threshold, then the longest to its left and to its right, and so on.
@@ -150,12 +152,70 @@ def _near(found: DataFrame, ends: DataFrame | None) -> DataFrame:
     return near.select("doc", "place", "head", "prev", "crowded", F.col("frequent").isNotNull().alias("hot"))
 
 
+def _range_keys(rows: DataFrame, k: int, width: int) -> DataFrame:
+    """(doc, key, at, frequent) of rows (doc, text, places: crowded windows, hot: whether frequent): ranges of `width` shingles that
+    lie in crowded windows of so many functions that fewer than NEED others could link them. Keys of ranges in frequent windows
+    are dealt out by document, and `frequent` holds the key itself."""
+    schema = T.StructType([rows.schema["doc"], *T._parse_datatype_string("key long, at int, frequent long").fields])
+    rows = rows.select("doc", "text", "places", F.pmod(F.xxhash64("doc"), F.lit(PARTS)).alias("deal"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every, at, deal = batch.column(2).values, batch.column(2).offsets.to_numpy(), batch.column(3).to_numpy()
+            places, often = every.field("place").to_numpy().astype(np.int64), every.field("hot").to_numpy(zero_copy_only=False)
+            for lo, hi, data, offsets in chunks(batch.column(1)):
+                w = words(data, offsets)
+                g, valid = grams(w.hashes, width + k - 1), inside(w.first, width + k - 1)
+                _, c, low, high = unpack(places[at[lo] : at[hi]]).T
+                begin = np.repeat(w.first[:-1], np.diff(at[lo : hi + 1]))
+                step = np.zeros((2, len(w.hashes) + 1), np.int64)
+                for i, weight in enumerate((np.ones(len(c), np.int64), often[at[lo] : at[hi]].astype(np.int64))):
+                    np.add.at(step[i], begin + np.maximum(low, c - width + 1), weight)
+                    np.add.at(step[i], begin + np.minimum(c, high - width + 1) + 1, -weight)
+                windows_of, hot_of = np.cumsum(step, axis=1)[:, : len(g)]
+                x = np.flatnonzero((windows_of > HASHES - NEED) & valid)
+                text_of = np.searchsorted(w.first, x, side="right") - 1
+                key, hot = g[x], hot_of[x] > 0
+                dealt = np.where(hot, mix(key + np.uint64(1) + deal[text_of + lo].astype(np.uint64)), key)
+                columns = [pa.array(dealt.view(np.int64)), pa.array((x - w.first[text_of]).astype(np.int32)), pa.array(key.view(np.int64), mask=~hot)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text_of + lo)), *columns], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _same_ranges(near: DataFrame, rows: DataFrame, k: int, width: int) -> DataFrame:
+    """Links (doc, place, o) between equal ranges where windows are crowded: each with the first document that has the range; if
+    the range is frequent, with the first one of its part, and those with the first of all. All of them have the whole range, so
+    whichever is named, the same words count as repeated.
+
+    Runs of ranges with one shift have two places in each `width`, of two functions beyond the others: together they count as NEED.
+    """
+    crowded = near.filter("crowded").groupBy("doc").agg(F.collect_list(F.struct("place", "hot")).alias("places")).filter(F.size("places") > HASHES - NEED)
+    order, at = Window.partitionBy("key").orderBy("doc", "at"), F.struct("doc", "at")
+    keys = _range_keys(rows.join(crowded, "doc"), k, width).select("*", F.first(at).over(order).alias("o"))
+    heads = keys.filter("frequent is not null and o.doc = doc").select("doc", "at", F.first(at).over(Window.partitionBy("frequent").orderBy("doc", "at")).alias("o"))
+    same = keys.select("doc", "at", "o").union(heads).filter("o.doc < doc").select("doc", "at", F.col("o.doc").alias("other"), (F.col("at") - F.col("o.at")).alias("shift"))
+    runs = same.groupBy("doc", "other", "shift", F.expr(f"at div {width}")).agg(F.min("at").cast("long").alias("a"), F.max("at").cast("long").alias("z"))
+
+    def place(fn: int, shift: Column) -> Column:
+        begin = F.col("a") - shift
+        c = begin if fn == HASHES else F.col("z") - shift + (width - 1)
+        left = c - F.greatest(begin - width, F.lit(0))
+        right = F.col("z") - shift + (2 * width - 1) - c
+        code = F.shiftleft(F.lit(fn).cast("long"), _C).bitwiseOR(c)
+        return F.shiftleft(F.shiftleft(code, _REACH).bitwiseOR(left), _REACH).bitwiseOR(right)
+
+    both = F.array(*(F.struct(place(fn, F.lit(0)).alias("place"), place(fn, F.col("shift")).alias("other_place")) for fn in (HASHES, HASHES + 1)))
+    return runs.select("doc", "other", F.explode(both).alias("x")).select("doc", "x.place", F.struct(F.col("other").alias("doc"), F.col("x.other_place").alias("place")).alias("o"))
+
+
 def _links(found: DataFrame, rows: DataFrame, k: int, width: int, ends: DataFrame | None = None) -> DataFrame:
     """(doc, other, links): for each two documents that got linked the later one, the earlier one and the linked places."""
     near = _near(found, ends)
     ends = F.array_distinct(F.filter(F.array("head", "prev"), lambda o: o["doc"] < F.col("doc")))
     near = cut(near.select("doc", "place", "crowded", "hot", ends.alias("os")).filter("crowded or size(os) > 0"))  # few of all windows
     links = near.select("doc", "place", F.explode("os").alias("o"))
+    links = links.union(_same_ranges(near, rows, k, width))
     fn = F.shiftright("place", 2 * _REACH + _C)
     every = F.collect_list(F.struct("place", F.col("o.place").alias("other_place")))
     grouped = links.groupBy("doc", F.col("o.doc").alias("other")).agg(every.alias("links"), F.min(fn).alias("a"), F.max(fn).alias("b"))

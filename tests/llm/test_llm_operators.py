@@ -394,6 +394,24 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark, monkeypatch):
     assert substring_dedup.repeated_passages(docs.filter("doc_id > 999")).count() == 0
 
 
+@pytest.mark.parametrize("between", [0, 6])
+def test_passages_of_frequent_lines_are_found(spark, between):
+    """Each pair's passage of two lines; documents before and between them hold one of the lines each."""
+    rng = random.Random(31)
+    texts: dict[int, str | None] = {}
+    pairs = set()
+    for n in range(40):
+        line = [prose(rng, 40), prose(rng, 40)]
+        alone = lambda i: f"{prose(rng, 30)} {line[i % 2]} {prose(rng, 30)}"  # noqa: E731, B023
+        at = 100 * n
+        texts |= {at + i: alone(i) for i in range(4)} | {at + 10 + i: alone(i) for i in range(between)}
+        texts |= {i: f"{prose(rng, 30)} {' '.join(line)} {prose(rng, 30)}" for i in (at + 5, at + 50)}
+        pairs.add((at + 50, at + 5))
+    rows = substring_dedup.repeated_passages(docs_of(spark, texts)).collect()
+    assert {(r["doc_id"], r["kept_id"]) for r in rows} == pairs
+    assert all(r["n_words"] == 80 for r in rows)
+
+
 def test_dealing_leaves_the_links_as_they_are(spark, monkeypatch):
     rng = random.Random(32)
     line = [prose(rng, 40), prose(rng, 60)]
