@@ -2,9 +2,10 @@
 
 A page becomes text blocks, each under its path of containers. A container's path is the chain of generalised tags
 (`div.post-#`: name, classes, digits as `#`) from the body down. Each page scores its containers by the text of the blocks
-that stand right in them, less the text of links, and votes for its best ones. Spark adds the votes of a host; the path
-with most votes wins, and each page of the host is extracted again from there. A page without the winning path, and
-pages without a host, use their own best container.
+in them, less the text of links, and votes for all of them. Spark adds the votes of a host. The deepest path with more than
+half of them leads to the winner: the article or main element it lies in, or else the outermost container short of the body
+that has text of its own, such as a headline. Each page of the host is extracted again from there. A page without the
+winning path, and pages without a host, choose from their own votes.
 """
 
 from __future__ import annotations
@@ -15,14 +16,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.llm._carry import map_column
 from nucleispark.llm.url_filter import host_and_path
 
-#: Containers of a page that get a vote.
-VOTES = 3
 #: Parts that a host's pages are dealt into when they meet its winner.
 PARTS = 8
 # Fixed names of HTML elements by their role.
@@ -137,22 +136,35 @@ def blocks(page: str) -> Iterator[Block]:
     yield from flush()
 
 
-def scores(found: list[Block]) -> list[tuple[str, float]]:
-    """The best containers with their scores: text right in them, square roots of block lengths added so that many blocks
-    of prose beat one long line, without links."""
-    total: dict[str, float] = {}
+def scores(found: list[Block]) -> dict[str, tuple[float, float]]:
+    """Each container's votes, for the text in it and for the text right in it: square roots of block lengths added so that many
+    blocks of prose beat one long line, without links. The body's path is empty."""
+    total: dict[str, tuple[float, float]] = {}
     for b in found:
         plain = len(b.text) - 2 * b.link
         if plain > 0:
-            key = " ".join(b.path)
-            total[key] = total.get(key, 0.0) + plain**0.5
-    return sorted(total.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
+            for n in range(len(b.path) + 1):
+                key = " ".join(b.path[:n])
+                votes, own = total.get(key, (0.0, 0.0))
+                total[key] = votes + plain**0.5, own + (plain**0.5 if n == len(b.path) else 0.0)
+    return total
+
+
+def choose(chain: list[tuple[str, float]]) -> str:
+    """The winner among the paths with more than half of the votes, given with their own votes. Each is inside the next shorter one."""
+    chain = sorted(((p.split(), own) for p, own in chain), key=lambda x: len(x[0]))
+    for name in ("article", "main"):
+        named = [p for p, _ in chain if p and p[-1].split(".")[0] == name]
+        if named:
+            return " ".join(named[-1])
+    return " ".join(next((p for p, own in chain if p and own > 0), chain[-1][0]))
 
 
 def main_text(found: list[Block], winner: str | None) -> str:
-    """The blocks in the winning container, or if there are none, in the page's own best one, joined by empty lines."""
+    """The blocks in the winning container, or if there are none, in the page's own one, joined by empty lines."""
     own = scores(found)
-    for path in (winner, own[0][0] if own else None):
+    half = own[""][0] / 2 if own else 0.0
+    for path in (winner, choose([(p, o) for p, (v, o) in own.items() if v > half]) if own else None):
         if path is not None:
             goal = tuple(path.split())
             mine = [b.text for b in found if b.path[: len(goal)] == goal]
@@ -162,14 +174,17 @@ def main_text(found: list[Block], winner: str | None) -> str:
 
 
 def consensus(pages: DataFrame, *, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, winner): the path with most votes of each host with votes; of equal ones the first by name."""
+    """(host, winner): the path that the votes of each host with votes lead to."""
     host, _ = host_and_path(F.col("url"))
     rows = pages.select(F.col(url).alias("url"), F.col(page).alias("html")).select(host.alias("host"), "html").filter("host <> ''")
-    kind = pa.list_(pa.struct([("path", pa.string()), ("vote", pa.float64())]))
-    vote = lambda x: [pa.array([[{"path": p, "vote": s} for p, s in scores(list(blocks(t or "")))] for t in x.to_pylist()], kind)]
-    votes = map_column(rows, "html", ["host"], "votes array<struct<path:string,vote:double>>", vote)
-    total = votes.select("host", F.inline("votes")).groupBy("host", "path").agg(F.round(F.sum("vote"), 3).alias("votes"))
-    return total.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("winner"))
+    kind = pa.list_(pa.struct([("path", pa.string()), ("vote", pa.float64()), ("own", pa.float64())]))
+    vote = lambda x: [pa.array([[{"path": p, "vote": v, "own": o} for p, (v, o) in scores(list(blocks(t or ""))).items()] for t in x.to_pylist()], kind)]
+    votes = map_column(rows, "html", ["host"], "votes array<struct<path:string,vote:double,own:double>>", vote)
+    total = votes.select("host", F.inline("votes")).groupBy("host", "path").agg(F.round(F.sum("vote"), 3).alias("votes"), F.sum("own").alias("own"))
+    # The body's path has all votes of a host. Two paths with more than half of them have a block in common, so one holds the other.
+    most = F.max("votes").over(Window.partitionBy("host"))
+    chains = total.withColumn("most", most).filter("2 * votes > most").groupBy("host").agg(F.collect_list(F.struct("path", "own")).alias("chain"))
+    return map_column(chains, "chain", ["host"], "winner string", lambda x: [pa.array([choose([(c["path"], c["own"]) for c in chain]) for chain in x.to_pylist()], pa.string())])
 
 
 def extract(pages: DataFrame, *, id: str = "page_id", url: str = "url", page: str = "html", winners: DataFrame | None = None) -> DataFrame:

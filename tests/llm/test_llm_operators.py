@@ -230,6 +230,23 @@ def test_pages_of_a_host_agree_on_a_path(spark):
     assert html_text.extract(pages.filter("page_id > 99")).count() == 0
 
 
+def test_articles_over_nested_containers_are_whole(spark):
+    p = lambda name, n: "".join(f"<p>{name} {i} {'word ' * 30}</p>" for i in range(n))
+    lead = f"<h1>Headline</h1><div class=lead>{p('lead', 1)}</div><div class=body>{p('body', 8)}</div>"
+    kinds = {
+        "a.com": (f"<article>{lead}</article>", 10),
+        "b.com": ("<article>" + "".join(f"<section class=s{c}>{p(c, n)}</section>" for c, n in (("one", 2), ("two", 9), ("three", 1), ("four", 1), ("five", 1))) + "</article>", 14),
+        "c.com": (f"<div class=wrap><div class=post>{lead}</div></div>", 10),
+        "d.com": (f"<div class=post><section class=x>{p('x', 3)}</section><section class=y>{p('y', 3)}</section></div>", 6),
+    }
+    rows = [(i, f"http://{host}/{i}", f"<html><body><nav>menu</nav>{body}<div class=more>{p('other', 1)}</div></body></html>") for host, (body, _) in kinds.items() for i in range(3)]
+    pages = spark.createDataFrame([*rows, *((i, None, t) for i, _, t in rows)], "page_id long, url string, html string")
+    got = [(r["url"], r["text"]) for r in html_text.extract(pages).collect()]
+    assert sorted(len(t.split("\n\n")) for u, t in got if u is None) == sorted(3 * [n for _, n in kinds.values()])
+    for url, text in got:
+        assert "other" not in text and (url is None or len(text.split("\n\n")) == kinds[url[7:12]][1])
+
+
 # 6
 
 
