@@ -124,6 +124,12 @@ def S9_pending(spark, sf_dir):
     return io.pending(slides.select("slide_id"), dets.filter("score > 0.99 and label = 1 and nucleus_id % 97 = 0"))
 
 
+@query("SELECT DISTINCT slide_id FROM slides WHERE slide_id NOT IN (SELECT slide_id FROM requests)", "slides", "requests")
+def S9_pending_all(spark, sf_dir):
+    slides, done = tables(spark, sf_dir, "slides", "requests")
+    return io.pending(slides.select("slide_id"), done)
+
+
 @query(
     f"""WITH c AS (SELECT DISTINCT slide_id, cls FROM detections, range(3) AS r(cls)), m AS (
         SELECT slide_id, label - 1 AS cls, quantile_disc({_SIDE}, 0.5) / 2 AS radius FROM detections WHERE label BETWEEN 1 AND 3 GROUP BY ALL)

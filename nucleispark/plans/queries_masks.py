@@ -221,3 +221,10 @@ def X9_convert_pixels(spark, sf_dir):
 def G12_outline_pixels(spark, sf_dir):
     dets, slides = tables(spark, sf_dir, "detections", "slides")
     return pixels.outline_pixels(boxes.clip_boxes(dets.filter("label = 3 and score > 0.9"), slides))
+
+
+@query(None)
+def G12_outline_pixels_all(spark, sf_dir):
+    """All clipped detections of a class, as boxes of several labels overlap; the one above has the SQL for one label."""
+    dets, slides = tables(spark, sf_dir, "detections", "slides")
+    return pixels.outline_pixels(boxes.clip_boxes(dets.filter("label > 0"), slides))

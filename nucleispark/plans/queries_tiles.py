@@ -127,6 +127,12 @@ def U2_open_neighbors(spark, sf_dir):
     return tiles.neighbor_tiles(rows.filter("tile_col = 3 and tile_row < 4").select("slide_id", "tile_col", "tile_row"), 8, 8, others_only=True)
 
 
+@query(f"WITH {_NEAR} SELECT * FROM near EXCEPT SELECT slide_id, tile_col, tile_row FROM requests", "requests")
+def U2_open_neighbors_all(spark, sf_dir):
+    (rows,) = tables(spark, sf_dir, "requests")
+    return tiles.neighbor_tiles(rows.select("slide_id", "tile_col", "tile_row"), 8, 8, others_only=True)
+
+
 @query(
     """SELECT s.slide_id, 64 AS total, count(DISTINCT CASE WHEN r.event_id IS NOT NULL THEN r.tile_col * 8 + r.tile_row END) AS finished,
       count(DISTINCT CASE WHEN r.event_id IS NOT NULL THEN r.tile_col * 8 + r.tile_row END) / 64.0E0 AS share FROM slides s LEFT JOIN requests r USING (slide_id) GROUP BY s.slide_id""",

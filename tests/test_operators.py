@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,22 @@ def test_requests_stream_once_and_resume(spark, tmp_path):
     assert sum(r["n"] for r in runs) == 12
     near = stream.with_neighbors(batch.filter("event_id = 0"), 3, 3)
     assert near.count() == 4
+
+
+def test_outlines_of_overlapping_labels_against_brute_force(spark, monkeypatch):
+    from nucleispark.plans import queries_masks
+
+    rng = np.random.default_rng(12)
+    corners = rng.uniform(-5, 60, (40, 2))
+    rows = [(0, i, float(x), float(y), float(x + w), float(y + h), int(label), float(score)) for i, ((x, y), (w, h), label, score) in enumerate(zip(corners, rng.uniform(6, 25, (40, 2)), rng.choice([-100, 0, 1, 2, 3, 4], 40), rng.uniform(0, 1, 40), strict=True))]
+    dets = spark.createDataFrame(rows, "slide_id long, nucleus_id long, x0 double, y0 double, x1 double, y1 double, label int, score double")
+    monkeypatch.setattr(queries_masks, "tables", lambda *_: (dets, spark.createDataFrame([(0, 64, 64)], "slide_id long, h int, w int")))
+    want: dict[tuple[int, int], int] = {}
+    for _, _, *box, label, _ in (r for r in rows if r[6] > 0):
+        x0, y0, x1, y1 = (min(max(round(v), 0), 64) for v in box)
+        for y in range(y0, y1):
+            for x in range(x0, x1):
+                if y < y0 + 3 or y >= y1 - 3 or x < x0 + 3 or x >= x1 - 3:
+                    want[y, x] = max(label, want.get((y, x), label))
+    got = {(r["y"], r["x"]): r["label"] for r in queries_masks.G12_outline_pixels_all(spark, "").collect()}
+    assert got == want and len(set(want.values())) > 3
