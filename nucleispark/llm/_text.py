@@ -49,7 +49,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number modulo 2 ** 64, and of its inverse."""
     if len(_powers.get("up", ())) < n:
         size = max(n, CHUNK_BYTES + 1)
         for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
@@ -92,7 +93,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     begins[edges] |= inside[edges]
     ends = inside[:n] & (~inside[1:] | begins[1:])
     starts, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _power(n)
+    up, down = powers(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[low] * up, out=total[1:])
     hashes = (total[ends] - total[starts]) * down[starts]

@@ -357,7 +357,7 @@ def test_compact_windows_hold_each_range_once():
     for trial in range(40):
         sizes = rng.integers(0, 40, 4)
         first = np.stack([np.cumsum(sizes) - sizes, np.cumsum(sizes)], 1)
-        values = rng.permutation(int(sizes.sum())).astype(np.uint64)
+        values = (rng.permutation(int(sizes.sum())) if trial % 2 else rng.integers(0, 9, int(sizes.sum()))).astype(np.uint64)
         width = int(rng.integers(1, 9))
         valid = np.zeros(len(values), bool)
         for a, b in first:
@@ -372,9 +372,9 @@ def test_compact_windows_hold_each_range_once():
 
 
 def test_places_pack_and_unpack():
-    c, left, right = np.array([0, 5, (1 << 26) - 1]), np.array([0, 2, (1 << 26) - 10]), np.array([9, 5, (1 << 26) + 50])
+    c, left, right = np.array([0, 5, 1 << 31]), np.array([0, 2, (1 << 31) - 10]), np.array([9, 5, (1 << 31) + 50])
     for fn in range(substring_dedup.HASHES):
-        assert substring_dedup.unpack(substring_dedup.pack(fn, c, left, right)).tolist() == [[fn, *x] for x in zip(c.tolist(), left.tolist(), right.tolist(), strict=True)]
+        assert substring_dedup.unpack(substring_dedup.pack(fn, c, left, right)).tolist() == [[fn] * 3, c.tolist(), left.tolist(), right.tolist()]
 
 
 def planted(rng: random.Random) -> tuple[dict[int, str | None], set[int]]:
@@ -397,7 +397,7 @@ def planted(rng: random.Random) -> tuple[dict[int, str | None], set[int]]:
 
 def test_repeated_passages_are_found_and_clean_texts_left(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "SAMPLE", 2)
-    monkeypatch.setattr(substring_dedup, "OFTEN", 4)
+    monkeypatch.setattr(substring_dedup, "SHARE", 100)
     texts, repeats = planted(random.Random(8))
     docs = docs_of(spark, texts).withColumns({"doc": F.lit("clash"), "key": F.lit(0), "n_words": F.lit("clash")})
     rows = substring_dedup.repeated_passages(docs).collect()
@@ -429,26 +429,77 @@ def test_passages_of_frequent_lines_are_found(spark, between):
     assert all(r["n_words"] == 80 for r in rows)
 
 
-def test_dealing_leaves_the_links_as_they_are(spark, monkeypatch):
+def test_dealing_leaves_the_result_as_it_is(spark, monkeypatch):
     rng = random.Random(32)
     line = [prose(rng, 40), prose(rng, 60)]
     texts = {i: f"{prose(rng, 20)} {line[i % 2]} {prose(rng, 20)} {line[i % 3 % 2]} {prose(rng, 20)}" for i in range(60)}
-    docs = docs_of(spark, texts).select(F.col("doc_id").alias("doc"), "text")
-    hot = np.array([r[0] for r in substring_dedup.windows(docs, "doc", "text", 5, 46, np.zeros(0, np.int64)).groupBy("key").count().filter("count > 5").select("key").collect()], np.int64)
-    assert len(hot) > 3
+    docs = docs_of(spark, texts)
+    rows = docs.select(F.col("doc_id").alias("doc"), "text")
     sides = []
-    for keys in (hot[:0], hot):
-        found = substring_dedup.windows(docs, "doc", "text", 5, 46, keys)
-        ends = substring_dedup._ends(substring_dedup.windows(docs, "doc", "text", 5, 46, keys, only=True)) if len(keys) else None
-        near = substring_dedup._near(found, ends).select("doc", "place", "head", "prev").collect()
-        sides.append({(r["doc"], r["place"], r["head"], r["prev"]) for r in near})
-    assert sides[0] == sides[1]
+    for sample in (1, 64):
+        monkeypatch.setattr(substring_dedup, "SAMPLE", sample)
+        assert (len(substring_dedup.frequent_keys(rows, 5, 46)) > 3) == (sample == 1)
+        sides.append(sorted(map(tuple, substring_dedup.repeated_passages(docs).collect())))
+    assert sides[0] == sides[1] and sides[0]
+
+
+def longest_common(a: list[str], b: list[str]) -> int:
+    """Words of the longest run that both have."""
+    best, before = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0] + [before[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+        best, before = max(best, max(row)), row
+    return best
+
+
+def test_every_verbatim_repeat_of_all_pairs_is_found(spark):
+    """Texts made of a few frequent lines of 12 to 60 words in random order, so that first holders have parts only."""
+    rng = random.Random(33)
+    lines = [prose(rng, n) for n in (12, 20, 25, 30, 40, 44, 46, 48, 49, 60)]
+    texts = {i: " ".join(rng.choice(lines) if rng.random() < 0.6 else prose(rng, rng.randint(1, 30)) for _ in range(rng.randint(1, 7))) for i in range(90)}
+    rows = substring_dedup.repeated_passages(docs_of(spark, texts)).collect()
+    hit = {i: set() for i in texts}
+    for r in rows:
+        hit[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+    earlier: set[tuple[str, ...]] = set()
+    n = 0
+    for i, text in texts.items():
+        w = split(text)
+        for p in range(len(w) - 49):
+            if tuple(w[p : p + 50]) in earlier:
+                n += 1
+                assert hit[i] >= set(range(p, p + 50)), (i, p)
+        earlier |= {tuple(w[p : p + 50]) for p in range(len(w) - 49)}
+    assert n > 300
+
+
+@pytest.mark.parametrize("crowd", [0, 4])
+def test_near_repeats_of_all_pairs(spark, crowd):
+    """Passages of 50 to 60 words with a changed word in the middle or none, some of whose halves stand in other documents too."""
+    rng = random.Random(34)
+    texts, want = {}, set()
+    for n in range(120):
+        p = prose(rng, rng.randint(51, 60)).split()
+        q = list(p)
+        if n % 3:
+            q[rng.randrange(20, 30)] = "changed"
+        x, y = shingles(" ".join(p)), shingles(" ".join(q))
+        halves = [" ".join(p[:30]), " ".join(p[25:])]
+        texts |= {1000 * n + c: f"{prose(rng, 20)} {halves[c % 2]} {prose(rng, 20)}" for c in range(crowd)}
+        texts |= {1000 * n + 100: f"{prose(rng, 30)} {' '.join(p)} {prose(rng, 30)}", 1000 * n + 200: f"{prose(rng, 25)} {' '.join(q)} {prose(rng, 30)}"}
+        if len(x & y) / len(x | y) >= 0.8:
+            want.add((1000 * n + 200, 1000 * n + 100))
+    rows = substring_dedup.repeated_passages(docs_of(spark, texts)).collect()
+    got = {(r["doc_id"], r["kept_id"]) for r in rows}
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) > 60
 
 
 def test_rows_that_share_an_id_or_have_none(spark):
     t = prose(random.Random(6), 100)
-    rows = substring_dedup.repeated_passages(docs_of(spark, [(1, t), (1, t), (None, t), (2, t)])).collect()
-    assert {(r["doc_id"], r["kept_id"], r["n_words"]) for r in rows} == {(2, 1, 100)}
+    other = prose(random.Random(7), 100)
+    rows = substring_dedup.repeated_passages(docs_of(spark, [(1, t), (1, t), (None, t), (2, t), (2, t), (2, other), (3, other)])).collect()
+    assert {(r["doc_id"], r["kept_id"], r["n_words"]) for r in rows} == {(2, 1, 100), (3, 2, 100)}
+    assert len({r["text_key"] for r in rows}) == 2
 
 
 def test_spans_are_cut_by_words():
