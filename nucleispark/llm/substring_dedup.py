@@ -158,19 +158,27 @@ def fitting(group: np.ndarray, mine: np.ndarray, other: np.ndarray, width: int)
     """Whether each link has room for one passage, on both sides, with a link of its group by another function (for NEED = 2).
     mine, other: rows (fn, c, l, r)."""
     order = np.lexsort((mine[1], group))
-    good = np.zeros(len(order), bool)
-    for step in range(1, len(order)):
-        a, b = order[:-step], order[step:]
-        near = (group[a] == group[b]) & (mine[1, b] - mine[1, a] <= 4 * width)
-        if not near.any():
-            break
-        a, b = a[near], b[near]
-        fits = mine[0, a] != mine[0, b]
-        for side in (mine, other):
-            begin, end = np.maximum(side[2, a], side[2, b]), np.minimum(side[3, a], side[3, b])
-            fits &= (end - begin + 1 >= width) & (np.minimum(side[1, a], side[1, b]) >= begin) & (np.maximum(side[1, a], side[1, b]) <= end)
-        good[a[fits]] = good[b[fits]] = True
-    return good
+    group, mine, other = group[order], mine[:, order], other[:, order]
+    good, todo = np.zeros(len(order), bool), np.arange(len(order))
+    step = 0
+    while len(todo):
+        step += 1
+        left = np.zeros(len(todo), bool)
+        for x in (step, -step):
+            at = np.flatnonzero((todo + x >= 0) & (todo + x < len(order)))
+            a, b = todo[at], todo[at] + x
+            near = (group[a] == group[b]) & (np.abs(mine[1, b] - mine[1, a]) <= 4 * width)
+            at, a, b = at[near], a[near], b[near]
+            left[at] = True
+            fits = mine[0, a] != mine[0, b]
+            for side in (mine, other):
+                begin, end = np.maximum(side[2, a], side[2, b]), np.minimum(side[3, a], side[3, b])
+                fits &= (end - begin + 1 >= width) & (np.minimum(side[1, a], side[1, b]) >= begin) & (np.maximum(side[1, a], side[1, b]) <= end)
+            good[a[fits]] = good[b[fits]] = True
+        todo = todo[left & ~good[todo]]
+    out = np.zeros(len(order), bool)
+    out[order] = good
+    return out
 
 
 def runs(group: np.ndarray, low: np.ndarray, high: np.ndarray, other_low: np.ndarray, other_high: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -466,11 +474,12 @@ def confirm(rows: DataFrame, ranges: DataFrame, k: int, width: int, threshold: f
                         x, q = begin + s[first + p], first + p
                         a = g[x : min(begin + e[q], end)]
                         b = pg[pw.first[p - plo] : max(pw.first[p - plo], pw.first[p - plo + 1] - k + 1)]
-                        where = places(a, b, int(s[q] + shift[q] - os[q]))
                         equal, more = verbatim(a, b, width)
                         same[x + equal] = True
-                        found = verify(a, b, where, width, threshold)
-                        found += [m for m in more if not any(f[0] <= m[0] and m[1] <= f[1] for f in found)]
+                        found = more
+                        if not more or more[0][:2] != (0, len(a)):
+                            found = verify(a, b, places(a, b, int(s[q] + shift[q] - os[q])), width, threshold)
+                            found += [m for m in more if not any(f[0] <= m[0] and m[1] <= f[1] for f in found)]
                         for a0, a1, b0, b1, alike in found:
                             known[x + a0 : max(x + a0, x + a1 - width + 1)] = True
                             passages.append((lo + owner[p], q, s[q] + a0, s[q] + a1, os[q] + b0, os[q] + b1, alike))
