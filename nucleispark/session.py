@@ -34,9 +34,20 @@ def read(spark: SparkSession, folder: str, *names: str):
     return found if len(found) > 1 else found[0]
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir. Where that is unset, a temporary folder in local mode, as in tests; an error elsewhere,
+    as executors don't see the driver's folders."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    return folder
+
+
 def checkpointed(rows: DataFrame) -> DataFrame:
-    """The rows without lineage, in the session's spark.checkpoint.dir; only where that is unset, as in tests, a temporary one."""
+    """The rows without lineage, in the shared folder."""
     spark = rows.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return rows.checkpoint()
