@@ -45,3 +45,27 @@ def test_stages_do_what_they_decide(spark, tmp_path):
     assert {r["doc_id"] for r in last} == ids[3] and all(r["n_tokens"] == len(r["token_ids"]) for r in last)
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in queries.QUERIES
     assert planted(random.Random(1))[1]
+
+
+def test_stages_tell_rows_of_one_id_apart(spark):
+    rng = random.Random(13)
+    passage, near, alone = prose(rng, 80), prose(rng, 120), prose(rng, 150)
+    a, b = f"{passage} {prose(rng, 60)}", prose(rng, 200)
+    rows = [(1, f"{prose(rng, 40)} {passage}"), (2, a), (2, b), (2, b), (3, near), (3, near), (3, near + " more"), (4, near), (5, alone), (5, alone), (None, near), (None, None), (6, ""), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = corpus_pipeline.near_duplicate_join(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept if r["doc_id"] not in (3,)) == sorted([(0, near), (0, ""), (1, rows[0][1]), (2, a), (2, b), (5, alone), (6, ""), (6, "")])
+    assert sum(r["doc_id"] == 3 for r in kept) == 1
+    left = corpus_pipeline.substring_deduplication(spark, docs, "").collect()
+    assert [split(r["text"]) for r in left if r["doc_id"] == 2 and split(r["text"])[0] != split(b)[0]] == [split(a)[80:]]
+    assert sum(r["text"] == b for r in left) == 2 and sum(r["text"] == "" for r in left) == 2 and sum(r["text"] is None for r in left) == 1
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = spark.createDataFrame([], DOCS)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).count() == 0
+    assert corpus_pipeline.run(spark, folder).count() == 0
