@@ -211,11 +211,68 @@ with <b>bold</b> and <a href="x">link</a>.<p>Second&nbsp;&eacute;&#233;<br>line<
 
 
 def test_pages_leave_all_but_the_article():
-    found = html_text.main_text(list(html_text.blocks(PAGE)), None)
+    found = html_text.main_text(PAGE)
     assert found == "Head & shoulders\n\nFirst para with bold and link.\n\nSecond éé line\n\none\n\ntwo"
     for odd in ("", "<", "<p", "<!-- x", "plain", "<p>a</p", "</div></p>", "<b><i>x</b></i>", "&am", "<script>x"):
-        list(html_text.blocks(odd))
-    assert html_text.main_text(list(html_text.blocks("plain &lt; text")), None) == "plain < text"
+        html_text.parse(odd)
+    assert html_text.main_text("plain &lt; text") == "plain < text"
+
+
+def test_pages_with_hostile_markup():
+    text = html_text.main_text
+    assert text("<p title=don't>hello</p><p>it's fine</p>") == "hello\n\nit's fine"
+    assert text('<p class="x>hello world</p>') == "hello world" and text("<p a='b\">c'>d</p>") == "d" and text("<p a=b/>c</p>") == "c"
+    assert text("<p>foo\u200bbar \ufeffbaz\u00a0\u2003 x</p>") == "foo\u200bbar \ufeffbaz x"
+    assert text("<!--><p>a</p><!-- --!><p>b</p><!- x><?php y ?></ z><p>1 < 2 <3</p>") == "a\n\nb\n\n1 < 2 <3"
+    assert text("<script>if (a < b) '</scripty>'</script><p>c</p></script><style>x</style >") == "c"
+    prose = "word " * 40
+    for name in ("widget-body", "social-science", "comments"):
+        assert text(f"<body><div class='{name}'><h1>Head</h1><p>{prose}</p><p>{prose}</p></div></body>") == f"Head\n\n{prose.strip()}\n\n{prose.strip()}"
+    inner = f"<p>{prose}</p><div class='ad'><p>Buy</p></div><form><p>Mail</p></form><ul class='share'><li>Tell</ul><section class=comments><p>{prose * 5}</p></section>"
+    assert text(f"<article><h1>Head</h1>{inner}</article>") == f"Head\n\n{prose.strip()}"
+    assert text(f"<form id=aspnet><div class=menu>x</div><div class=post><h1>Head</h1><p>{prose}</p></div></form>") == f"Head\n\n{prose.strip()}"
+
+
+def test_deep_pages_cost_no_more_than_their_length():
+    import time
+
+    took = []
+    for n in (5_000, 40_000):
+        began = time.process_time()
+        assert html_text.main_text("<div>" * n + "deep" + "</div></span></b>" * n) == "deep"
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * took[0] + 0.5
+
+
+def test_pages_against_a_strict_parser():
+    """Random well-formed pages of plain containers: every word of them is main text, in order, as a tree parser reads it."""
+    from html.parser import HTMLParser
+
+    rng = random.Random(41)
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.parts = []
+
+        def handle_data(self, data):
+            self.parts.append(data)
+
+    def node(depth):
+        kind = rng.choice(["p", "div", "section", "b", "text", "p"]) if depth else "section"
+        attrs = rng.choice(["", " class='a b'", ' title="x > y"', " data-x=1", " id=n7 lang=en"])
+        if kind == "text" or depth > 4:
+            return f" {prose(rng, 3)} &amp; "
+        if kind in ("p", "b"):
+            return f"<{kind}{attrs}> {prose(rng, rng.randint(1, 9))} &eacute; <i>x</i> </{kind}>"
+        return f"<{kind}{attrs}>" + "".join(node(depth + 1) for _ in range(rng.randint(1, 4))) + f"</{kind}>"
+
+    for _ in range(200):
+        page = f"<html><body><main>{''.join(node(0) for _ in range(3))}</main></body></html>"
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        assert html_text.main_text(page).split() == "".join(reader.parts).split()
 
 
 def test_pages_of_a_host_agree_on_a_path(spark):
