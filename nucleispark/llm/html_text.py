@@ -8,7 +8,7 @@ paths with more than half of them leads to the winner: the article or main eleme
 short of the body that has text of its own, such as a headline. Each page's text is cut from there, without its doubtful
 containers, but for those of the chain. A page without the winning path, and pages without a host, choose by their own votes.
 
-A page is parsed once; what goes on are its blocks and where its containers begin and end.
+What meets a host's winner are a page's blocks and where its containers begin and end, not its markup.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from nucleispark.llm._carry import map_column
 from nucleispark.llm.url_filter import host_and_path
-from nucleispark.session import checkpointed as cut
 
 #: What a block in a doubtful container votes.
 DOUBT = 0.1
@@ -280,7 +279,7 @@ def extract(pages: DataFrame, *, id: str = "page_id", url: str = "url", page: st
     of a page vote each. Pages cut off amid a tag or comment lose that tag. Other columns are not looked at. A host's pages meet
     its winner in a join that Spark may split.
     """
-    read = cut(parsed(pages, id=id, url=url, page=page))
+    read = parsed(pages, id=id, url=url, page=page)  # by both branches: kept on disk it would take as much room as the shuffle
     joined = read.join(consensus(read), "host", "left").select("id", "url", F.struct("texts", "containers", "winner", "kept", "host_winner", "host_kept").alias("x"))
 
     def run(x: pa.Array) -> list[pa.Array]:
