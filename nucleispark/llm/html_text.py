@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.llm._carry import map_column
@@ -262,8 +262,8 @@ def consensus(read: DataFrame) -> DataFrame:
     votes = read.filter("host <> ''").select("host", F.inline("containers"))
     total = votes.groupBy("host", "key").agg(F.first("depth").alias("depth"), F.first("kind").alias("kind"), F.first("doubtful").alias("doubtful"), F.round(F.sum("vote"), 3).alias("votes"), F.sum("own").alias("own"))
     # The body's path has all votes of a host. Two paths with more than half of them have a block in common, so one holds the other.
-    most = total.filter("key = 0").select("host", F.col("votes").alias("most"))
-    chains = total.join(most, "host").filter("2 * votes > most").groupBy("host").agg(F.collect_list(F.struct("depth", "key", "kind", "own", "doubtful")).alias("chain"))
+    most = F.max("votes").over(Window.partitionBy("host"))
+    chains = total.withColumn("most", most).filter("2 * votes > most").groupBy("host").agg(F.collect_list(F.struct("depth", "key", "kind", "own", "doubtful")).alias("chain"))
 
     def run(x: pa.Array) -> list[pa.Array]:
         lists = x.to_pylist()
