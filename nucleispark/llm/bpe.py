@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,6 +49,7 @@ class Vocabulary:
             spec = json.load(f)
         ids = spec["model"]["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.sign = os.path.commonprefix(list(self.special))  # texts without it hold no special token
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         signs = byte_signs()
         self.byte, self.last = (np.array([ids[s + end] for s in signs], np.int64) for end in ("", _END))
@@ -66,7 +68,7 @@ class Vocabulary:
 
     def pieces(self, text: str) -> list[str | int]:
         """Pieces of a text; ids of special tokens stand for themselves."""
-        if self.cut is None or "<|" not in text:
+        if self.cut is None or self.sign not in text:
             return _split(text)
         out, at = [], 0
         for m in self.cut.finditer(text):

@@ -6,8 +6,9 @@ place in it, so joining the fingerprints of documents and benchmark items and ex
 word, finds every shared span of `span` words. Items of fewer words are one span each: their window is a single hash.
 
 The benchmark is the query set and is compared with all documents in blocks. A block has at most `block_words` words,
-or one longer item; its fingerprints are sent to all tasks (some 40 bytes a word, so at most about 80 MB at the default)
-and documents pass the blocks one after the other without any shuffle.
+or one longer item; its fingerprints are sent to all tasks (some 40 bytes a word, so at most about 80 MB at the default).
+Documents pass the blocks one after the other without any shuffle; after each but the last they are checkpointed and the
+block is dropped, so that driver and tasks hold one block at a time, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nucleispark.llm._text import chunks, grams, inside, words
+from nucleispark.session import checkpointed
 
 SPAN = 10
 K_GRAM = 5
@@ -126,19 +128,19 @@ def match_block(hashes: np.ndarray, first: np.ndarray, block: Block) -> tuple[np
     return lo, hi, pairs // max(1, len(block.ids)), pairs % max(1, len(block.ids))
 
 
-def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_words: int, span: int, k: int, sc) -> Iterator:
-    """Items in blocks of bounded size, fetched one partition at a time and sent to the executors."""
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_words: int, span: int, k: int) -> Iterator[Block]:
+    """Items in blocks of bounded size, fetched one partition at a time, each built when it is asked for."""
     n_words = F.regexp_count(F.col(item_text), F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))
     ids, texts, size = [], [], 0
     for row in benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"), n_words.alias("n")).filter("i is not null and t is not null").toLocalIterator():
         if ids and size + row.n > block_words:
-            yield sc.broadcast(build_block(ids, texts, span, k))
+            yield build_block(ids, texts, span, k)
             ids, texts, size = [], [], 0
         ids.append(row.i)
         texts.append(row.t)
         size += row.n
     if ids:
-        yield sc.broadcast(build_block(ids, texts, span, k))
+        yield build_block(ids, texts, span, k)
 
 
 def decontaminate(
@@ -158,9 +160,15 @@ def decontaminate(
     kept = [F.col(id).alias("k"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep))]
     out = docs.select(F.col(text).alias("t"), F.lit(None).cast("array<long>").alias("edges"), F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("long").alias("n"), *kept)
     last = out.drop("t").schema
-    blocks = list(_blocks(benchmark, item_id, item_text, block_words, span, k, sc)) or [sc.broadcast(build_block([], [], span, k))]
-    for shared in blocks:
-        out = out.mapInArrow(_judge(shared, shared is not blocks[-1]), out.schema if shared is not blocks[-1] else last)
+    blocks = _blocks(benchmark, item_id, item_text, block_words, span, k)
+    block = next(blocks, None) or build_block([], [], span, k)
+    while block is not None:
+        shared, following = sc.broadcast(block), next(blocks, None)
+        out = out.mapInArrow(_judge(shared, following is not None), out.schema if following is not None else last)
+        if following is not None:
+            out = checkpointed(out)
+            shared.unpersist()
+        block = following
     at = F.sequence(F.lit(0), F.size("edges") - 2, F.lit(2))
     spans = F.transform(at, lambda i: F.struct(F.get("edges", i).alias("start"), F.get("edges", i + 1).alias("end")))
     return out.select(

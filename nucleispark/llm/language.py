@@ -4,8 +4,9 @@ Subwords are runs of 2 to 4 bytes of the text, with A-Z lower-cased and all but
 read as spaces, hashed into BUCKETS. A text's mean embedding goes through a linear layer. A fifth of the training rows
 fixes a temperature that makes the scores probabilities; texts whose score is below a level are rejected.
 
-Training reads at most about `per_language` documents of each language, chosen by a hash of their ids, and of each only
-the counts of its buckets, so that what reaches the driver is bounded whatever the corpus or the length of texts.
+Training reads about `per_language` documents of each of the `languages` most frequent languages, chosen by a hash of their
+ids, twice as many in all at most, and of each only the counts of its buckets, so that what reaches the driver is bounded
+whatever the corpus or the length of texts. The choice does not depend on how rows are dealt out.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ ORDERS = (2, 3, 4)
 BUCKETS = 1 << 14
 DIMENSIONS = 16
 PER_LANGUAGE = 600
+#: Languages learned, the most frequent ones.
+LANGUAGES = 500
 EPOCHS, BATCH, RATE = 6, 16, 20.0
 REJECT_BELOW = 0.4
 UNDETERMINED = "und"
@@ -132,17 +135,18 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
+def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
     """A model of the rows with text and language. No such rows: a model without languages."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not sizes:
         return fit([])
     share = F.create_map(*(F.lit(v) for r in sizes for v in (r["lang"], min(1.0, per_language / r["count"]))))
     chance = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.filter(chance < F.element_at(share, F.col("lang"))).limit(2 * per_language * len(sizes))
-    found = map_column(sample, "text", ["lang"], "which binary, counts binary", _histograms).collect()
-    return fit([(r[0], bytes(r[1]), bytes(r[2])) for r in found])
+    sample = rows.withColumn("chance", chance).filter(F.col("chance") < F.try_element_at(share, F.col("lang")))
+    found = map_column(sample, "text", ["lang", "chance"], "which binary, counts binary", _histograms)
+    found = found.orderBy("chance", "lang", "which", "counts").limit(2 * per_language * len(sizes)).collect()
+    return fit([(r["lang"], bytes(r["which"]), bytes(r["counts"])) for r in found])
 
 
 def judge(model: Model, texts: pa.Array) -> list[pa.Array]:

@@ -30,7 +30,7 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = transport.to_media(read(on_workers(spark), sf_dir, "documents"))
-    return transport.read_media(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "lost")
+    return transport.read_media(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "lost", "random_access")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,7 +174,7 @@ def to_media(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> Data
         for batch in batches:
             data, at = utf8(batch.column(1))
             media = [write_stream(payload(data[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at), pa.int64()), pa.array(media, pa.binary())], names=["id", "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at), pa.int64()), pa.array(media, pa.large_binary())], names=["id", "n_bytes", "media"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id)

@@ -1,11 +1,12 @@
 """URL filters: host and path rules, and association rules mined by FP-growth for the urls that no rule fits.
 
 A url is a set of tokens: each host label with its place from the right (a numbered word counts as `#`), the path
-segments with their place, and query keys. Labelled urls with their label as one more item are the transactions of
-Spark's FP-growth. Rules `tokens -> label` with enough support and confidence stay, except those that a rule with
-fewer of the same tokens and at least the same confidence makes needless. A rule is listed under its rarest token; a
-url meets only the rules listed under its tokens, and of those whose tokens it all has, the best one decides:
-highest confidence, then highest support, then the least tokens as text.
+segments with their place, and query keys. Tokens that the same labelled urls have, such as the segments of one template,
+are one item. Labelled urls with their label as one more item are the transactions of Spark's FP-growth. Rules
+`items -> label` with enough support and confidence stay, except those that a rule with fewer of the same items and at
+least the same confidence makes needless; a rule of two tokens of one item would be such. A url has an item if it has
+one of its tokens. A rule is listed under its rarest item; a url meets only the rules listed under its items, and of
+those whose items it all has, the best one decides: highest confidence, then highest support, then the least tokens as text.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_SUPPORT = 0.02
@@ -57,29 +58,46 @@ def tokens(url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.coalesce(every, F.array().cast("array<string>"))))
 
 
-def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (tokens, label, confidence, support, index) from rows (tokens array<string>, label string).
+def items_of(labelled: DataFrame, min_support: float) -> DataFrame:
+    """(token, item) of the tokens with enough support in rows (tokens array<string>, label string): the least of all tokens that
+    the same rows have. Rows are told apart by two hashes of tokens and label."""
+    own = lambda seed: F.xxhash64(F.lit(seed), "tokens", "label").cast("decimal(20,0)")
+    rows = labelled.filter("label is not null and size(tokens) > 0").select(own(1).alias("a"), own(2).alias("b"), F.explode("tokens").alias("token"))
+    counts = rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    least = F.min("token").over(Window.partitionBy("n", "a", "b"))
+    total = labelled.filter("label is not null and size(tokens) > 0").agg((F.count("*") * min_support).alias("least"))
+    # One row on the right side, so each token meets one.
+    return counts.join(F.broadcast(total), F.col("n") >= F.col("least")).select("token", least.alias("item"))
 
-    There are at most 2^t / min_support rules for urls of t tokens, whatever the number of rows. Rows with a null label or
-    without tokens are left out; none at all give no rules. index: the rule's rarest token among the labelled rows.
+
+def mine(labelled: DataFrame, items: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules (items, label, confidence, support, index) from rows (tokens array<string>, label string) and items_of() them.
+
+    There are at most 2^t / min_support rules for urls of t items, whatever the number of rows. Rows with a null label or
+    without tokens are left out; none at all give no rules. index: the rule's rarest item among the labelled rows.
     """
-    items = labelled.filter("label is not null and size(tokens) > 0").select(F.array_append("tokens", F.concat(F.lit(_LABEL), "label")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    rows = labelled.filter("label is not null and size(tokens) > 0").groupBy("tokens", "label").agg(F.count("*").alias("n"))
+    known = rows.withColumn("token", F.explode("tokens")).join(items, "token").groupBy("tokens", "label").agg(F.collect_set("item").alias("items"))
+    rows = rows.join(known, ["tokens", "label"], "left").withColumn("items", F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.concat(F.lit(_LABEL), "label")))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows.select("items", F.explode(F.sequence(F.lit(1), F.col("n")))).select("items"))
     found = model.associationRules.filter(F.startswith(F.get("consequent", F.lit(0)), F.lit(_LABEL)) & ~F.exists("antecedent", lambda t: F.startswith(t, F.lit(_LABEL))))
-    rules = found.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.get("consequent", F.lit(0)), len(_LABEL) + 1, 1 << 20).alias("label"), "confidence", "support")
-    all_rules = rules.agg(F.collect_list(F.struct("tokens", "label", "confidence")).alias("every"))
-    needless = F.exists("every", lambda r: (r["label"] == F.col("label")) & (r["confidence"] >= F.col("confidence")) & (F.size(r["tokens"]) < F.size("tokens")) & (F.size(F.array_except(r["tokens"], "tokens")) == 0))
-    counts = model.freqItemsets.filter(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("token"), "freq")
-    left = rules.join(all_rules).filter(~needless).drop("every")
-    by_token = left.withColumn("token", F.explode("tokens")).join(counts, "token")
-    return by_token.groupBy("tokens", "label", "confidence", "support").agg(F.min_by("token", F.struct("freq", "token")).alias("index"))
+    rules = found.select(F.array_sort("antecedent").alias("items"), F.substring(F.get("consequent", F.lit(0)), len(_LABEL) + 1, 1 << 20).alias("label"), "confidence", "support")
+    parts = F.transform(F.sequence(F.lit(1), F.expr("shiftleft(1, size(items)) - 2")), lambda m: F.filter("items", lambda _, i: F.call_function("getbit", m.cast("long"), i) == 1))
+    smaller = rules.filter(F.size("items") > 1).select("items", "label", "confidence", F.explode(parts).alias("part"))
+    other = rules.select(F.col("items").alias("part"), "label", F.col("confidence").alias("had"))
+    needless = smaller.join(other, ["part", "label"]).filter("had >= confidence").select("items", "label").distinct()
+    counts = model.freqItemsets.filter(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("item"), "freq")
+    by_item = rules.join(needless, ["items", "label"], "left_anti").withColumn("item", F.explode("items")).join(counts, "item")
+    return by_item.groupBy("items", "label", "confidence", "support").agg(F.min_by("item", F.struct("freq", "item")).alias("index"))
 
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match(urls: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct token sets of `urls` (tokens) with the label, confidence, support and tokens of the rule that decides; sets without one are absent."""
     sets = urls.select("tokens").distinct()
-    near = sets.withColumn("index", F.explode("tokens")).join(rules.select(F.col("tokens").alias("rule_tokens"), "label", "confidence", "support", "index"), "index")
-    fit = near.filter(F.size(F.array_except("rule_tokens", "tokens")) == 0)
+    has = sets.withColumn("token", F.explode("tokens")).join(items, "token").groupBy("tokens", "item").agg(F.min("token").alias("token"))
+    has = has.groupBy("tokens").agg(F.map_from_entries(F.collect_list(F.struct("item", "token"))).alias("has"))
+    near = has.withColumn("index", F.explode(F.map_keys("has"))).join(rules.select(F.col("items").alias("rule"), "label", "confidence", "support", "index"), "index")
+    fit = near.filter(F.size(F.array_except("rule", F.map_keys("has"))) == 0).withColumn("rule_tokens", F.array_sort(F.transform("rule", lambda i: F.element_at("has", i))))
     best = F.min_by(F.struct("label", "confidence", "support", "rule_tokens"), F.struct(-F.col("confidence"), -F.col("support"), "rule_tokens"))
     return fit.groupBy("tokens").agg(best.alias("best")).select("tokens", "best.*")
 
@@ -100,10 +118,13 @@ def filter_urls(
     cut = cut.select("id", "url", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
     if labelled is None:
         labelled = cut.filter("verdict is not null").select("url", F.col("verdict").alias("label"))
-    mined = mine(labelled.select(tokens(F.col("url")).alias("tokens"), "label"), min_support=min_support, min_confidence=min_confidence)
+    labelled = labelled.select(tokens(F.col("url")).alias("tokens"), "label")
+    items = items_of(labelled, min_support)
+    mined = mine(labelled, items, min_support=min_support, min_confidence=min_confidence)
     nothing = [F.lit(None).cast("array<string>").alias("mined_tokens"), F.lit(None).cast("double").alias("confidence")]
     ruled = cut.filter("verdict is not null").select("id", "host", "path", "rule", "verdict", *nothing)
     rest = cut.filter("verdict is null").withColumn("tokens", tokens(F.col("url")))
-    found = match(rest, mined)
-    other = rest.join(found, "tokens", "left").select("id", "host", "path", "rule", F.coalesce("label", F.lit(default)).alias("verdict"), F.col("rule_tokens").alias("mined_tokens"), "confidence")
-    return ruled.unionByName(other).withColumnRenamed("id", id)
+    bare = rest.filter("size(tokens) = 0").select("id", "host", "path", "rule", F.lit(default).alias("verdict"), *nothing)
+    rest = rest.filter("size(tokens) > 0")
+    other = rest.join(match(rest, mined, items), "tokens", "left").select("id", "host", "path", "rule", F.coalesce("label", F.lit(default)).alias("verdict"), F.col("rule_tokens").alias("mined_tokens"), "confidence")
+    return ruled.unionByName(bare).unionByName(other).withColumnRenamed("id", id)

@@ -106,7 +106,9 @@ def test_mined_rules_against_brute_force(spark):
     for _ in range(300):
         t = sorted({rng.choice("abcdef") for _ in range(rng.randint(1, 4))})
         rows.append((t, "block" if ("a" in t and rng.random() < 0.95) or rng.random() < 0.1 else "allow"))
-    got = {(tuple(r["tokens"]), r["label"], round(r["confidence"], 9)) for r in url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, label string"), min_support=0.02, min_confidence=0.8).collect()}
+    table = spark.createDataFrame(rows, "tokens array<string>, label string")
+    items = url_filter.items_of(table, 0.02)
+    got = {(tuple(r["items"]), r["label"], round(r["confidence"], 9)) for r in url_filter.mine(table, items, min_support=0.02, min_confidence=0.8).collect()}
     rules = {}
     for n in range(1, 5):
         for s in combinations("abcdef", n):
@@ -118,6 +120,17 @@ def test_mined_rules_against_brute_force(spark):
     assert got == want and got
 
 
+def test_long_templates_are_one_item(spark):
+    """200 urls under one path of 40 segments: each of its tokens alone decides, and mining takes no longer for it."""
+    path = "/".join(f"part{'abcdefghij'[i // 4]}{'wxyz'[i % 4]}" for i in range(40))
+    rows = [(f"http://a.org/{path}/{i}", "block") for i in range(200)] + [(f"http://b.org/x/{i}", "allow") for i in range(100)]
+    labelled = spark.createDataFrame(rows, "url string, label string")
+    urls = [(0, f"http://c.net/{path}/9?z=1"), (1, "http://c.net/q/w/e/partax/partbx"), (2, "http://b.org/y"), (3, None), (4, "http://d.net/")]
+    pages = spark.createDataFrame([*urls, (0, urls[0][1])], "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["mined_tokens"]) for r in url_filter.filter_urls(pages, [], labelled).collect()}
+    assert got == {0: ("block", ["p10=partcx"]), 1: ("allow", None), 2: ("allow", ["h2=b"]), 3: ("allow", None), 4: ("allow", None)}
+
+
 # 3
 
 
