@@ -197,6 +197,10 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     members = members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     pairs = members.join(rows.withColumnRenamed("id", "least"), "least").withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("root", F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"), "key", "n", "block", "text")
+    # Few bytes, but much work a group: Spark would put too many of them into one task.
+    spark = docs.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    pairs = pairs.repartition(tasks, "root", "i", "j")
     compared = cut(pairs.groupBy("root", "i", "j").applyInArrow(_compare(k, threshold), "key binary, links long, root binary"))
 
     roots = connected_components(compared.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")

@@ -93,18 +93,34 @@ def write_stream(samples: np.ndarray) -> bytes:
 
 
 def _tables(packets: np.ndarray, pid: np.ndarray, at: np.ndarray, want: int, table_id: int) -> bytes | None:
-    """The first section of that table with a right checksum."""
-    for i in np.flatnonzero((pid == want) & (packets[:, 1] & 0x40 > 0)):
-        raw = packets[i].tobytes()
-        s = raw[at[i] + 1 + raw[at[i]] :] if at[i] < PACKET else b""
-        n = 3 + (int.from_bytes(s[1:3], "big") & 0xFFF)
-        if len(s) >= n > 12 and s[0] == table_id and crc32_mpeg(s[: n - 4]) == int.from_bytes(s[n - 4 : n], "big"):
-            return s[:n]
+    """The first section of that table with a right checksum; sections may go on over packets, and several may share one."""
+    mine = np.flatnonzero((pid == want) & (at < PACKET))
+    payloads = [packets[i, at[i] :].tobytes() for i in mine]
+    begins = (packets[mine, 1] & 0x40 > 0).tolist()
+    for j, raw in enumerate(payloads):
+        if not begins[j]:
+            continue
+        rest, follow = raw[1 + raw[0] :], j + 1
+        while rest[:1] not in (b"", b"\xff"):
+            size = lambda s: 3 + (int.from_bytes(s[1:3], "big") & 0xFFF)
+            while (len(rest) < 3 or len(rest) < size(rest)) and follow < len(payloads):
+                more = payloads[follow]
+                rest += more[1 : 1 + more[0]] if begins[follow] else more
+                follow = len(payloads) if begins[follow] else follow + 1
+            n = size(rest)
+            if len(rest) < n or n <= 12:
+                break
+            if rest[0] == table_id and crc32_mpeg(rest[: n - 4]) == int.from_bytes(rest[n - 4 : n], "big"):
+                return rest[:n]
+            rest = rest[n:]
     return None
 
 
 def read_stream(media: bytes | memoryview) -> dict | None:
-    """samples, pts and random_access (an entry per PES packet), lost (continuity errors); None if it isn't a stream."""
+    """samples, pts and random_access (an entry per PES packet), lost (continuity errors); None if it isn't a stream.
+
+    Of several programs or streams the first is read. A packet that repeats the one before is left out, as the standard allows it.
+    """
     if not len(media) or len(media) % PACKET:
         return None
     p = np.frombuffer(media, np.uint8).reshape(-1, PACKET)
@@ -124,6 +140,9 @@ def read_stream(media: bytes | memoryview) -> dict | None:
     p, at, size = p[mine], at[mine], size[mine]
     if not len(p):
         return None
+    again = np.flatnonzero((p[1:, 3] == p[:-1, 3]) & (at[1:] < PACKET)) + 1
+    again = again[(p[again] == p[again - 1]).all(axis=1)]
+    p, at, size = (np.delete(x, again, axis=0) for x in (p, at, size))
     counts = np.cumsum(at < PACKET)  # the counter goes up with payloads only
     lost = int(np.count_nonzero((np.diff(p[:, 3].astype(np.int64) & 15) - np.diff(counts)) % 16))
     data = p[np.arange(PACKET) >= at[:, None]]

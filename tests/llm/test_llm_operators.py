@@ -159,6 +159,41 @@ def test_streams_show_loss_and_refuse_other_bytes():
         assert transport.read_stream(other) is None
 
 
+def test_streams_of_other_writers():
+    samples = np.arange(576 * 20, dtype=np.int64).astype(np.uint8)
+    packets = [transport.write_stream(samples)[i : i + 188] for i in range(0, len(transport.write_stream(samples)), 188)]
+    twice = b"".join(p * (2 if i in (5, 6, 30) else 1) for i, p in enumerate(packets))
+    got = transport.read_stream(twice)
+    assert got["lost"] == 0 and (got["samples"] == samples).all()
+    info = bytes([0x80, 250]) + bytes(250)
+    section = transport._section(2, 1, (0xE000 | transport.MEDIA_PID).to_bytes(2, "big") + (0xF000 | len(info)).to_bytes(2, "big") + info + bytes([6]) + (0xE000 | transport.MEDIA_PID).to_bytes(2, "big") + b"\xf0\x00")
+    head = lambda start, n: bytes([0x47]) + ((0x4000 if start else 0) | transport.PMT_PID).to_bytes(2, "big") + bytes([0x10 | n])
+    long = [head(True, 0) + b"\x00" + section[:183], (head(False, 1) + section[183:]).ljust(188, b"\xff")]
+    got = transport.read_stream(b"".join([packets[0], *long, *(p for p in packets[1:] if p[1:3] != packets[1][1:3])]))
+    assert got["lost"] == 0 and (got["samples"] == samples).all() and len(got["pts"]) == 20
+
+
+def test_features_and_stored_form_are_those_of_the_bytes(spark):
+    """Each stream taken apart packet by packet, with no code of the reader."""
+    texts = [prose(random.Random(5), n) for n in (1, 90, 400)] + ["", None]
+    docs = docs_of(spark, [*enumerate(texts), (1, texts[1])])
+    stored = {r["doc_id"]: bytes(r["media"]) for r in transport.to_media(docs).collect()}
+    for r in transport.read_media(transport.to_media(docs)).collect():
+        media, raw = stored[r["doc_id"]], (texts[r["doc_id"]] or "").encode()
+        padded = raw + b"\xff" * (-len(raw) % 576 or (0 if raw else 576))
+        pes, units, access = b"", 0, 0
+        for p in (media[i : i + 188] for i in range(0, len(media), 188)):
+            if p[1:3] in (b"\x41\x00", b"\x01\x00"):
+                skip = 5 + p[4] if p[3] & 0x20 else 4
+                units += p[1] >> 6 & 1
+                access += bool(p[3] & 0x20 and p[4] and p[5] & 0x40)
+                pes += p[skip + 14 :] if p[1] & 0x40 else p[skip:]
+        assert pes == padded and r["media_sha256"] == hashlib.sha256(media).hexdigest() and r["media_bytes"] == len(media)
+        n, levels = len(padded), [sum(b >> 4 == k for b in padded) for k in range(16)]
+        assert r["feature"] == f"units={units} access={access} last_pts={(n // 576 - 1) * 2160} lost=0 mean={sum(padded) * 1000 // n} square={sum(b * b for b in padded) * 1000 // n} levels={','.join(map(str, levels))}"
+    assert transport.read_media(transport.to_media(docs.filter("doc_id > 99"))).count() == 0
+
+
 # 4
 
 
