@@ -65,9 +65,8 @@ def items_of(labelled: DataFrame, min_support: float) -> DataFrame:
     rows = labelled.filter("label is not null and size(tokens) > 0").select(own(1).alias("a"), own(2).alias("b"), F.explode("tokens").alias("token"))
     counts = rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b"))
     least = F.min("token").over(Window.partitionBy("n", "a", "b"))
-    total = labelled.filter("label is not null and size(tokens) > 0").agg((F.count("*") * min_support).alias("least"))
-    # One row on the right side, so each token meets one.
-    return counts.join(F.broadcast(total), F.col("n") >= F.col("least")).select("token", least.alias("item"))
+    enough = min_support * labelled.filter("label is not null and size(tokens) > 0").count()
+    return counts.filter(F.col("n") >= enough).select("token", least.alias("item"))
 
 
 def mine(labelled: DataFrame, items: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
