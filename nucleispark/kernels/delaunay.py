@@ -28,22 +28,28 @@ def in_circle(a: np.ndarray, b: np.ndarray, c: np.ndarray, p: np.ndarray) -> np.
     return a[..., 0] * (b[..., 1] * sc - c[..., 1] * sb) - a[..., 1] * (b[..., 0] * sc - c[..., 0] * sb) + sa * (b[..., 0] * c[..., 1] - c[..., 0] * b[..., 1])
 
 
-def triangulate(points: np.ndarray) -> tuple[np.ndarray, bool]:
-    """Triangles (m, 3) of indices into distinct integer points, and whether they are the only ones possible.
+def inside(p: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether points q are inside the circles of left-turning a, b, c, given by index. On the circle it counts how the points would
+    be lifted by ever smaller steps in their order: the first of the four decides."""
+    side, first = in_circle(p[a], p[b], p[c], p[q]), np.minimum(np.minimum(a, b), np.minimum(c, q))
+    tie = np.where(first == a, _turn(p[q], p[b], p[c]), np.where(first == b, _turn(p[q], p[c], p[a]), np.where(first == c, _turn(p[q], p[a], p[b]), -1)))
+    return (side > 0) | (side == 0) & (tie > 0)
 
-    Points go in by their order; of points on one circle the earlier triangles stay. Fewer than three points, or all on a
-    line, have no triangles. Outside the hull each edge has a triangle with the point at infinity, index -1.
+
+def triangulate(points: np.ndarray) -> np.ndarray:
+    """Triangles (m, 3) of indices into distinct integer points; one set for each order of the points (see `inside`).
+
+    Fewer than three points, or all on a line, have no triangles. Outside the hull each edge has a triangle with the point at
+    infinity, index -1.
     """
     p = np.asarray(points, np.int64)
     p = p - p.min(0) if len(p) else p
     n = len(p)
     if 3 <= n <= FEW:
-        found = _of_few(p)
-        if found is not None:
-            return found, True
+        return _of_few(p)
     third = next((k for k in range(2, n) if _turn(p[0], p[1], p[k]) != 0), None)
     if third is None:
-        return np.zeros((0, 3), np.int64), True
+        return np.zeros((0, 3), np.int64)
     a, b, c = (0, 1, third) if _turn(p[0], p[1], p[third]) > 0 else (1, 0, third)
     tri = np.array([[a, b, c], [b, a, -1], [c, b, -1], [a, c, -1]], np.int64)
     for k in range(2, n):
@@ -52,7 +58,7 @@ def triangulate(points: np.ndarray) -> tuple[np.ndarray, bool]:
         q, ghost = p[k], tri[:, 2] < 0
         bad = np.zeros(len(tri), bool)
         real = tri[~ghost]
-        bad[~ghost] = in_circle(p[real[:, 0]], p[real[:, 1]], p[real[:, 2]], q) > 0
+        bad[~ghost] = inside(p, real[:, 0], real[:, 1], real[:, 2], np.full(len(real), k))
         u, v = p[tri[ghost, 0]], p[tri[ghost, 1]]
         side = _turn(u, v, q[None])
         between = ((q - u) * (q - v)).sum(1) < 0
@@ -66,30 +72,14 @@ def triangulate(points: np.ndarray) -> tuple[np.ndarray, bool]:
         new[at0] = new[at0][:, [1, 2, 0]]
         new[at1] = new[at1][:, [2, 0, 1]]
         tri = np.concatenate([tri[~bad], new])
-    real = tri[tri[:, 2] >= 0]
-    return real, _only_one(p, real)
+    return tri[tri[:, 2] >= 0]
 
 
-def _of_few(p: np.ndarray) -> np.ndarray | None:
-    """The triangles whose circles hold no point; None if one has a fourth point on its circle, where there is a choice."""
+def _of_few(p: np.ndarray) -> np.ndarray:
+    """The triangles whose circles hold no point."""
     t = _triples(len(p))
-    a, b, c = p[t[:, 0]], p[t[:, 1]], p[t[:, 2]]
-    turn = _turn(a, b, c)
+    turn = _turn(p[t[:, 0]], p[t[:, 1]], p[t[:, 2]])
     t = np.where((turn < 0)[:, None], t[:, [0, 2, 1]], t)[turn != 0]
-    side = in_circle(p[t[:, 0], None], p[t[:, 1], None], p[t[:, 2], None], p[None])
-    side[np.arange(len(t))[:, None], t] = -1
-    empty = (side <= 0).all(1)
-    return None if (side[empty] == 0).any() else t[empty]
-
-
-def _only_one(p: np.ndarray, tri: np.ndarray) -> bool:
-    """Whether no two neighbouring triangles have their corners on one circle."""
-    edges = {}
-    for t in tri.tolist():
-        for i in range(3):
-            edges[(t[i], t[(i + 1) % 3])] = t[(i + 2) % 3]
-    for (u, v), w in edges.items():
-        other = edges.get((v, u))
-        if other is not None and in_circle(p[u], p[v], p[w], p[other]) == 0:
-            return False
-    return True
+    held = inside(p, t[:, :1], t[:, 1:2], t[:, 2:], np.arange(len(p))[None])
+    held[np.arange(len(t))[:, None], t] = False
+    return t[~held.any(1)]

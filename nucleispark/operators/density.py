@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import half_even
-from nucleispark.kernels.conv import correlate, density_kernel
+from nucleispark.kernels.conv import density_kernel, spread
+from nucleispark.operators.batches import whole_groups
 
 #: Cells a side of a smoothing block.
 BLOCK = 64
@@ -75,29 +76,34 @@ def smooth_by_taps(pooled: DataFrame, kernels: DataFrame, sizes: DataFrame) -> D
 def smooth_density(pooled: DataFrame, radius: DataFrame, sizes: DataFrame, scale: float, method: str = "gaussian", block: int = BLOCK) -> DataFrame:
     """Smooths each (slide, class) with the kernel of its own radius (slide_id, cls, radius), in blocks with a halo.
 
-    A cell goes to each block that its kernel reaches, so a task has one block whatever the slide's size. Classes whose radius is null
-    or at most 1 aren't smoothed. sizes: (slide_id, gh, gw).
+    A cell goes to each block of the grid that its kernel reaches, so a block is all that is held at once, whatever the slide's size.
+    Classes whose radius is null or at most 1 aren't smoothed. sizes: (slide_id, gh, gw).
     """
     reach = F.when(F.col("radius") > 1, F.rint(F.col("radius") * (2 * 8 * scale)).cast("int")).otherwise(F.lit(0))
-    rows = pooled.join(radius, ["slide_id", "cls"]).withColumn("reach", reach)
-    blocks = lambda c: F.sequence(F.floor((F.col(c) - F.col("reach")) / block).cast("int"), F.floor((F.col(c) + F.col("reach")) / block).cast("int"))
-    rows = rows.withColumn("br", F.explode(blocks("gr"))).withColumn("bc", F.explode(blocks("gc")))
+    rows = pooled.join(radius, ["slide_id", "cls"]).join(sizes, "slide_id").withColumn("reach", reach)
+    place = lambda c: F.floor(c / block).cast("int")
+    blocks = lambda c, n: F.sequence(place(F.greatest(F.col(c) - F.col("reach"), F.lit(0))), place(F.least(F.col(c) + F.col("reach"), F.col(n) - 1)))
+    rows = rows.withColumn("br", F.explode(blocks("gr", "gh"))).withColumn("bc", F.explode(blocks("gc", "gw")))
+    names = ["slide_id", "cls", "br", "bc"]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf["radius"].iloc[0]
-        kernel = density_kernel(None if r is None or np.isnan(r) else float(r), scale, method)
-        kernel = np.ones((1, 1)) if kernel is None else kernel
-        h = kernel.shape[0] // 2
-        r0, c0 = int(pdf["br"].iloc[0]) * block, int(pdf["bc"].iloc[0]) * block
-        image = np.zeros((block + 2 * h, block + 2 * h))
-        np.add.at(image, (pdf["gr"].to_numpy() - r0 + h, pdf["gc"].to_numpy() - c0 + h), pdf["d"].to_numpy())
-        out = correlate(image, kernel)[h : h + block, h : h + block]
-        i, j = np.nonzero(out)
-        return pd.DataFrame({"slide_id": pdf["slide_id"].iloc[0], "cls": pdf["cls"].iloc[0], "gr": i + r0, "gc": j + c0, "d": out[i, j]})
+        """Of whole blocks, sorted."""
+        begins = np.flatnonzero((pdf[names] != pdf[names].shift()).any(axis=1).to_numpy())
+        gr, gc, d, radii, br, bc = (pdf[c].to_numpy() for c in ("gr", "gc", "d", "radius", "br", "bc"))
+        found = []
+        for lo, hi in zip(begins, np.append(begins[1:], len(pdf)), strict=True):
+            r0, c0 = int(br[lo]) * block, int(bc[lo]) * block
+            kernel = density_kernel(None if radii[lo] is None or np.isnan(radii[lo]) else float(radii[lo]), scale, method)
+            out = spread(gr[lo:hi] - r0, gc[lo:hi] - c0, d[lo:hi], np.ones((1, 1)) if kernel is None else kernel, (block, block))
+            i, j = np.nonzero(out)
+            found.append((np.full(len(i), lo), i + r0, j + c0, out[i, j]))
+        at, i, j, values = (np.concatenate(x) for x in zip(*found, strict=True))
+        out = {"slide_id": pdf["slide_id"].to_numpy()[at], "cls": pdf["cls"].to_numpy()[at], "gr": i, "gc": j, "d": values}
+        return pd.DataFrame(out)[(i < pdf["gh"].to_numpy()[at]) & (j < pdf["gw"].to_numpy()[at])]
 
     kind = pooled.schema["slide_id"].dataType.simpleString()
-    done = rows.groupBy("slide_id", "cls", "br", "bc").applyInPandas(one, f"slide_id {kind}, cls int, gr int, gc int, d double")
-    return done.join(sizes, "slide_id").filter("gr >= 0 and gc >= 0 and gr < gh and gc < gw").select("slide_id", "cls", "gr", "gc", "d")
+    dealt = rows.select(*names, "gr", "gc", "d", "radius", "gh", "gw").repartition(*names).sortWithinPartitions(*names, "gr", "gc")
+    return dealt.mapInPandas(whole_groups(names, one), f"slide_id {kind}, cls int, gr int, gc int, d double")
 
 
 def dot_products(density: DataFrame, n_classes: int) -> DataFrame:

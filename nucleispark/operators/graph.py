@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.kernels.delaunay import triangulate
+from nucleispark.operators.batches import whole_groups
 from nucleispark.operators.features import each_class
 
 
@@ -60,10 +59,11 @@ def patch_counts(points: DataFrame, dets: DataFrame, n_classes: int) -> DataFram
 
 
 def delaunay_edges(points: DataFrame, max_dist: float | None = 100.0, keys: tuple[str, ...] = ("slide_id", "patch_id")) -> DataFrame:
-    """(keys, i, j, dist, unique): the three sides of each triangle over a patch's points, i <= j being their classes.
+    """(keys, i, j, dist): the three sides of each triangle over a patch's points, i <= j being their classes.
 
     Sides inside the hull thus come twice. Kept are sides with 0 < dist < max_dist. Where classes share a pixel the least class
-    stands for it. Points on one circle have several triangulations: `unique` says whether the patch has one only.
+    stands for it. Of the triangulations of points on one circle the one is taken that lifting the points by ever smaller steps, in
+    order of row and column, leads to.
     """
 
     names = list(keys)
@@ -73,33 +73,19 @@ def delaunay_edges(points: DataFrame, max_dist: float | None = 100.0, keys: tupl
         pdf = pdf[~pdf.duplicated([*names, "row", "col"])]
         begins = np.flatnonzero((pdf[names] != pdf[names].shift()).any(axis=1).to_numpy())
         xy, cls = pdf[["row", "col"]].to_numpy(np.int64), pdf["cls"].to_numpy()
-        ends, owner, only = [], [], []
+        ends, owner = [], []
         for lo, hi in zip(begins, np.append(begins[1:], len(pdf)), strict=True):
-            tri, one = triangulate(xy[lo:hi])
+            tri = triangulate(xy[lo:hi])
             ends.append(tri + lo)
             owner.append(np.full(3 * len(tri), lo))
-            only.append(np.full(3 * len(tri), one))
         tri, owner = np.concatenate(ends), np.concatenate(owner)
         i, j = tri.ravel(), tri[:, [1, 2, 0]].ravel()
-        found = {"i": np.minimum(cls[i], cls[j]), "j": np.maximum(cls[i], cls[j]), "dist": np.sqrt(((xy[i] - xy[j]) ** 2).sum(1).astype(float)), "unique": np.concatenate(only)}
+        found = {"i": np.minimum(cls[i], cls[j]), "j": np.maximum(cls[i], cls[j]), "dist": np.sqrt(((xy[i] - xy[j]) ** 2).sum(1).astype(float))}
         return pd.DataFrame({**{k: pdf[k].to_numpy()[owner] for k in names}, **found})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # the last patch of a batch may go on in the next
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            pdf = pdf if rest is None else pd.concat([rest, pdf])
-            last = (pdf[names] == pdf[names].iloc[-1]).all(axis=1).to_numpy()
-            rest = pdf[last]
-            if not last.all():
-                yield sides(pdf[~last])
-        if rest is not None:
-            yield sides(rest)
-
     kinds = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
     dealt = points.select(*names, "row", "col", "cls").repartition(*names).sortWithinPartitions(*names, "row", "col", "cls")
-    edges = dealt.mapInPandas(run, f"{kinds}, i int, j int, dist double, unique boolean")
+    edges = dealt.mapInPandas(whole_groups(names, sides), f"{kinds}, i int, j int, dist double")
     edges = edges.filter("dist > 0")
     return edges if max_dist is None else edges.filter(F.col("dist") < max_dist)
 

@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nucleispark.operators import boxes, density, features, graph, roi, tiles
+from nucleispark.operators import boxes, density, features, graph, roi
+from nucleispark.session import checkpointed as cut
 
 
 def tme_features(dets: DataFrame, slides: DataFrame, n_classes: int = 3, divisor: int = 32, patch: int = 512, n_patches: int = 10, max_dist: float = 100.0, core: tuple[int, ...] = (0,)) -> tuple[DataFrame, DataFrame]:
     """(additive features as (slide_id, name, value), edges (slide_id, patch_id, i, j, dist)): radius, patch counts, density products and
-    region area. Patches are the best of the grid of `patch` pixels."""
+    region area. Patches of `patch` pixels lie around random points of the region: of 20 * n_patches the best 2 * n_patches that overlap
+    little, and of those the first n_patches with enough points."""
     dets = boxes.filter_labels(dets, n_classes)
     radius = features.class_radius(dets, n_classes)
     cells = density.nuclei_map(dets)
     sizes = density.pooled_sizes(slides, divisor)
-    smooth = density.smooth_density(density.pool_density(cells, slides, divisor), radius, sizes, 1 / divisor)
+    smooth = cut(density.smooth_density(density.pool_density(cells, slides, divisor), radius, sizes, 1 / divisor))
     dots = density.dot_products(smooth, n_classes)
-    area = roi.roi_area(roi.fill_and_label(roi.roi_cells(smooth, core), sizes), sizes, divisor)
-    grid = tiles.tile_grid(slides.select("slide_id", "h", "w"), patch)
-    grid = grid.withColumn("patch_id", F.col("tile_row") * 100_000 + F.col("tile_col"))
-    chosen = graph.choose_patches(graph.score_patches(grid, cells, patch, core), n_patches)
+    region = cut(roi.fill_and_label(roi.roi_cells(smooth, core), sizes))
+    area = roi.roi_area(region, sizes, divisor)
+    tries = roi.random_patches(roi.sample_in_cells(region, 20 * n_patches, divisor), slides, cells, 2 * n_patches, patch, core=core)
+    chosen = graph.choose_patches(tries.drop("rank", "name"), n_patches)
     points = graph.points_in_patches(cells, chosen, patch)
-    edges = graph.delaunay_edges(points, max_dist).drop("unique")
+    edges = cut(graph.delaunay_edges(points, max_dist))
     parts = [
         features.long_features(radius, "slide_id", F.col("cls").cast("string"), {"radius": F.col("radius")}),
         features.long_features(graph.patch_counts(points, dets, n_classes), "slide_id", F.col("cls").cast("string"), {"count": F.col("n")}),
@@ -32,7 +34,7 @@ def tme_features(dets: DataFrame, slides: DataFrame, n_classes: int = 3, divisor
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out, edges
+    return cut(out), edges
 
 
 def summarize(additive: DataFrame, edges: DataFrame, dets: DataFrame, n_classes: int = 3, patients: DataFrame | None = None) -> DataFrame:

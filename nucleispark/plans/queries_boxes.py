@@ -213,7 +213,11 @@ def J2_nms_by_tile(spark, sf_dir):
     return nms.nms_by_group(dets.withColumn("tc", tile("x")).withColumn("tr", tile("y")), ["slide_id", "tc", "tr"], 0.1).select("slide_id", "nucleus_id")
 
 
-_PAIR = """SELECT a.slide_id, a.nucleus_id AS better, b.nucleus_id AS worse FROM detections a JOIN detections b ON a.slide_id = b.slide_id
+# Boxes meet in the bins of 64 pixels that they touch; a pair counts in the bin of its intersection's corner.
+_PAIR = """WITH c AS (SELECT *, unnest(range(CAST(floor(x0 / 64) AS BIGINT), CAST(floor(x1 / 64) AS BIGINT) + 1)) AS bx FROM detections),
+  n AS (SELECT *, unnest(range(CAST(floor(y0 / 64) AS BIGINT), CAST(floor(y1 / 64) AS BIGINT) + 1)) AS bin FROM c)
+  SELECT a.slide_id, a.nucleus_id AS better, b.nucleus_id AS worse FROM n a JOIN n b ON a.slide_id = b.slide_id AND a.bx = b.bx AND a.bin = b.bin
+  AND a.bx = CAST(floor(greatest(a.x0, b.x0) / 64) AS BIGINT) AND a.bin = CAST(floor(greatest(a.y0, b.y0) / 64) AS BIGINT)
   AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 AND (a.score > b.score OR a.score = b.score AND a.nucleus_id < b.nucleus_id)
   WHERE {i} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {i}) > 0.1""".format(i=_IOU.format(a="a", b="b"))
 

@@ -190,18 +190,17 @@ _TRI = f"""{_CELLS}, pt AS (SELECT slide_id, row // 128 * 100000 + col // 128 AS
   t AS (SELECT a.slide_id, a.patch_id, a.k AS ka, b.k AS kb, c.k AS kc, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_, c.x AS cx, c.y AS cy, a.cls AS ca, b.cls AS cb, c.cls AS cc,
       (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS turn
     FROM ids a JOIN ids b ON a.slide_id = b.slide_id AND a.patch_id = b.patch_id AND a.k < b.k JOIN ids c ON c.slide_id = b.slide_id AND c.patch_id = b.patch_id AND b.k < c.k),
-  circle AS (SELECT t.*, p.k, sign(turn) * (
+  det AS (SELECT t.*, p.k, p.x AS px, p.y AS py, sign(turn) * (
       CAST(ax - p.x AS BIGINT) * ((by_ - p.y) * (CAST((cx - p.x) AS BIGINT) ** 2 + CAST((cy - p.y) AS BIGINT) ** 2) - (cy - p.y) * (CAST((bx - p.x) AS BIGINT) ** 2 + CAST((by_ - p.y) AS BIGINT) ** 2))
     - CAST(ay - p.y AS BIGINT) * ((bx - p.x) * (CAST((cx - p.x) AS BIGINT) ** 2 + CAST((cy - p.y) AS BIGINT) ** 2) - (cx - p.x) * (CAST((bx - p.x) AS BIGINT) ** 2 + CAST((by_ - p.y) AS BIGINT) ** 2))
-    + (CAST((ax - p.x) AS BIGINT) ** 2 + CAST((ay - p.y) AS BIGINT) ** 2) * ((bx - p.x) * (cy - p.y) - (cx - p.x) * (by_ - p.y))) AS side
+    + (CAST((ax - p.x) AS BIGINT) ** 2 + CAST((ay - p.y) AS BIGINT) ** 2) * ((bx - p.x) * (cy - p.y) - (cx - p.x) * (by_ - p.y))) AS det
     FROM t LEFT JOIN ids p ON p.slide_id = t.slide_id AND p.patch_id = t.patch_id AND p.k NOT IN (ka, kb, kc) WHERE turn <> 0),
+  circle AS (SELECT *, CASE WHEN det <> 0 THEN det WHEN k < ka THEN -1 ELSE sign(turn) * ((bx - px) * (cy - py) - (by_ - py) * (cx - px)) END AS side FROM det),
   empty AS (SELECT slide_id, patch_id, ka, kb, kc, ax, ay, bx, by_, cx, cy, ca, cb, cc, max(side) AS worst FROM circle GROUP BY ALL HAVING coalesce(max(side), -1) <= 0),
-  tied AS (SELECT DISTINCT slide_id, patch_id FROM empty WHERE worst = 0),
   side AS (SELECT slide_id, patch_id, least(ca, cb) AS i, greatest(ca, cb) AS j, sqrt((ax - bx) ** 2 + (ay - by_) ** 2) AS dist FROM empty
     UNION ALL SELECT slide_id, patch_id, least(cb, cc), greatest(cb, cc), sqrt((bx - cx) ** 2 + (by_ - cy) ** 2) FROM empty
     UNION ALL SELECT slide_id, patch_id, least(ca, cc), greatest(ca, cc), sqrt((ax - cx) ** 2 + (ay - cy) ** 2) FROM empty),
-  edges AS (SELECT * FROM side WHERE dist > 0 AND dist < 100),
-  patches AS (SELECT DISTINCT e.slide_id, e.patch_id, t.slide_id IS NULL AS one FROM empty e LEFT JOIN tied t USING (slide_id, patch_id))"""
+  edges AS (SELECT * FROM side WHERE dist > 0 AND dist < 100)"""
 
 
 def _edges(spark, sf_dir):
@@ -211,26 +210,20 @@ def _edges(spark, sf_dir):
     return graph.delaunay_edges(cells.select("slide_id", patch, "cls", "row", "col"), 100.0)
 
 
-@query(
-    f"""WITH {_TRI} SELECT p.slide_id, p.patch_id, one AS "unique", CASE WHEN one THEN i END AS i, CASE WHEN one THEN j END AS j, CASE WHEN one THEN count(*) END AS n, round(CASE WHEN one THEN sum(dist) END, 6) AS total
-      FROM patches p JOIN edges e USING (slide_id, patch_id) GROUP BY p.slide_id, p.patch_id, one, CASE WHEN one THEN i END, CASE WHEN one THEN j END""",
-    "detections",
-)
+@query(f"WITH {_TRI} SELECT slide_id, patch_id, i, j, count(*) AS n, round(sum(dist), 6) AS total FROM edges GROUP BY ALL", "detections")
 def D3_delaunay_edges(spark, sf_dir):
-    """Sides by patch and class pair; of patches with points on one circle, which have several triangulations, only that they are such."""
-    own = lambda c: F.when(F.col("unique"), c)
-    rows = _edges(spark, sf_dir).withColumns({"i": own(F.col("i")), "j": own(F.col("j"))}).groupBy("slide_id", "patch_id", "unique", "i", "j")
-    return rows.agg(own(F.count("*")).alias("n"), F.round(own(F.sum("dist")), 6).alias("total"))
+    """Sides by patch and class pair."""
+    return _edges(spark, sf_dir).groupBy("slide_id", "patch_id", "i", "j").agg(F.count("*").alias("n"), F.round(F.sum("dist"), 6).alias("total"))
 
 
-_STATS = f"""{_TRI}, pairs(i, j) AS (VALUES (0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)), own AS (SELECT e.* FROM edges e ANTI JOIN tied USING (slide_id, patch_id)),
-  stats AS (SELECT s.slide_id, p.i, p.j, avg(dist) AS mean, stddev_samp(dist) AS std, count(dist) AS n FROM (SELECT DISTINCT slide_id FROM cells) s JOIN pairs p ON true LEFT JOIN own e ON e.slide_id = s.slide_id AND e.i = p.i AND e.j = p.j GROUP BY ALL)"""
+_STATS = f"""{_TRI}, pairs(i, j) AS (VALUES (0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)),
+  stats AS (SELECT s.slide_id, p.i, p.j, avg(dist) AS mean, stddev_samp(dist) AS std, count(dist) AS n FROM (SELECT DISTINCT slide_id FROM cells) s JOIN pairs p ON true LEFT JOIN edges e ON e.slide_id = s.slide_id AND e.i = p.i AND e.j = p.j GROUP BY ALL)"""
 
 
 @query(f"WITH {_STATS} SELECT slide_id, i, j, round(mean, 6) AS mean, round(std, 6) AS std, n FROM stats", "detections")
 def A8_edge_stats(spark, sf_dir):
-    """Over patches with one triangulation only; pairs without edges are filled in."""
-    stats = graph.edge_stats(_edges(spark, sf_dir).filter("unique"), _cells(spark, sf_dir), 3)
+    """Pairs without edges are filled in."""
+    stats = graph.edge_stats(_edges(spark, sf_dir), _cells(spark, sf_dir), 3)
     return stats.select("slide_id", "i", "j", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "n")
 
 
@@ -244,7 +237,7 @@ def A8_edge_stats(spark, sf_dir):
     "detections",
 )
 def A10_edge_ratios(spark, sf_dir):
-    stats = graph.edge_stats(_edges(spark, sf_dir).filter("unique"), _cells(spark, sf_dir), 3)
+    stats = graph.edge_stats(_edges(spark, sf_dir), _cells(spark, sf_dir), 3)
     return features.edge_ratios(stats).withColumn("value", F.round("value", 9))
 
 

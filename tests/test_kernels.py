@@ -19,7 +19,7 @@ masks = st.integers(0, 2**32).map(lambda s: np.random.default_rng(s).random((9,
 @given(st.lists(st.tuples(st.integers(0, 300), st.integers(0, 300)), unique=True, min_size=0, max_size=40))
 def test_delaunay_circles_are_empty(points):
     p = np.array(sorted(points), np.int64).reshape(-1, 2)
-    tri, _ = delaunay.triangulate(p)
+    tri = delaunay.triangulate(p)
     for t in tri:
         a, b, c = p[t]
         assert delaunay._turn(a, b, c) > 0
@@ -34,11 +34,24 @@ def test_delaunay_circles_are_empty(points):
 
 def test_delaunay_special_cases():
     square = np.array([[0, 0], [0, 10], [10, 0], [10, 10]])
-    tri, only = delaunay.triangulate(square)
-    assert len(tri) == 2 and not only
+    assert len(delaunay.triangulate(square)) == 2
     line = np.stack([np.arange(5), 2 * np.arange(5)], 1)
-    assert len(delaunay.triangulate(line)[0]) == 0
-    assert len(delaunay.triangulate(np.zeros((0, 2)))[0]) == 0
+    assert len(delaunay.triangulate(line)) == 0
+    assert len(delaunay.triangulate(np.zeros((0, 2)))) == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4)), unique=True, min_size=3, max_size=16))
+def test_insertion_and_all_triples_agree_on_points_of_one_circle(points):
+    p = np.array(sorted(points), np.int64)
+    few = delaunay.FEW
+    try:
+        delaunay.FEW = 0
+        one_by_one = delaunay.triangulate(p)
+    finally:
+        delaunay.FEW = few
+    whole = lambda tri: {frozenset(t) for t in tri.tolist()}
+    assert whole(one_by_one) == whole(delaunay.triangulate(p))
 
 
 @settings(max_examples=60, deadline=None)
@@ -81,6 +94,20 @@ def test_holes_and_small_parts():
     assert components.remove_small(two, 2).sum() == 2
 
 
+def test_correlation_and_blur_against_plain_loops():
+    rng = np.random.default_rng(3)
+    image, kernel = rng.random((9, 12)) * (rng.random((9, 12)) < 0.4), rng.random((5, 5))
+    want = np.zeros_like(image)
+    for i in range(9):
+        for j in range(12):
+            want[i, j] = sum(kernel[a + 2, b + 2] * image[i + a, j + b] for a in range(-2, 3) for b in range(-2, 3) if 0 <= i + a < 9 and 0 <= j + b < 12)
+    assert np.allclose(conv.correlate(image, kernel), want)
+    x, sigma = rng.random(11), 1.7
+    taps = [np.exp(-0.5 * (k / sigma) ** 2) for k in range(-7, 8)]
+    wide = np.concatenate([x[::-1], x, x[::-1]])
+    assert np.allclose(conv.gaussian_weights(11, sigma) @ x, [sum(t * wide[11 + i + k] for t, k in zip(taps, range(-7, 8), strict=True)) / sum(taps) for i in range(11)])
+
+
 def test_correlation_is_linear_and_keeps_mass_inside():
     kernel = conv.density_kernel(16, 1 / 32)
     image = np.zeros((80, 80))

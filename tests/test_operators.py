@@ -192,3 +192,71 @@ def test_outlines_of_overlapping_labels_against_brute_force(spark, monkeypatch):
                     want[y, x] = max(label, want.get((y, x), label))
     got = {(r["y"], r["x"]): r["label"] for r in queries_masks.G12_outline_pixels_all(spark, "").collect()}
     assert got == want and len(set(want.values())) > 3
+
+
+def test_smoothing_in_blocks_is_smoothing_of_whole_slides(spark):
+    import numpy as np
+
+    from nucleispark.kernels import conv
+    from nucleispark.operators import density
+    from nucleispark.session import on_workers
+
+    on_workers(spark)
+    rng = np.random.default_rng(8)
+    sizes, radii = {1: (40, 70), 2: (33, 20)}, {(1, 0): 16.0, (1, 1): None, (2, 0): 1.0, (2, 1): 9.5}
+    rows = sorted({(s, c, int(rng.integers(h)), int(rng.integers(w))) for s, (h, w) in sizes.items() for c in (0, 1) for _ in range(60)})
+    pooled = spark.createDataFrame([(*r, float(i % 7 + 1)) for i, r in enumerate(rows)], "slide_id long, cls int, gr int, gc int, d double")
+    radius = spark.createDataFrame([(s, c, r) for (s, c), r in radii.items()], "slide_id long, cls int, radius double")
+    table = spark.createDataFrame([(s, h, w) for s, (h, w) in sizes.items()], "slide_id long, gh int, gw int")
+    got = {(r["slide_id"], r["cls"], r["gr"], r["gc"]): r["d"] for r in density.smooth_density(pooled, radius, table, 1 / 32, block=16).collect()}
+    want = {}
+    for (s, c), r in radii.items():
+        image = np.zeros(sizes[s])
+        for i, (s2, c2, gr, gc) in enumerate(rows):
+            if (s2, c2) == (s, c):
+                image[gr, gc] = i % 7 + 1
+        kernel = conv.density_kernel(r, 1 / 32)
+        out = image if kernel is None else conv.correlate(image, kernel)
+        want |= {(s, c, int(i), int(j)): out[i, j] for i, j in zip(*np.nonzero(out), strict=True)}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_features_of_random_patches(spark):
+    """Counts and edges of the record against its own patches, taken apart by hand."""
+    from nucleispark.operators import density, features, graph, roi, summary
+    from nucleispark.plans.fixtures import table
+    from nucleispark.session import on_workers
+
+    on_workers(spark)
+    folder = "/root/testdata/sf0.001"
+    dets, slides = table(spark, folder, "detections"), table(spark, folder, "slides")
+    additive, edges = summary.tme_features(dets, slides)
+    values = {(r["slide_id"], r["name"]): r["value"] for r in additive.collect()}
+    cells, sizes = density.nuclei_map(dets.filter("label between 1 and 3")), density.pooled_sizes(slides, 32)
+    smooth = density.smooth_density(density.pool_density(cells, slides, 32), features.class_radius(dets.filter("label between 1 and 3"), 3), sizes, 1 / 32)
+    region = roi.fill_and_label(roi.roi_cells(smooth, (0,)), sizes)
+    points = roi.sample_in_cells(region, 200, 32)
+    inside = {(r["slide_id"], r["gr"], r["gc"]) for r in region.collect()}
+    assert all((p["slide_id"], int(p["y"] // 32), int(p["x"] // 32)) in inside for p in points.collect())
+    patches = roi.random_patches(points, slides, cells, 20, 512).collect()
+    side = {r["slide_id"]: (r["h"], r["w"]) for r in slides.collect()}
+    where = {}
+    for c in cells.collect():
+        where.setdefault(c["slide_id"], []).append((c["row"], c["col"], c["cls"]))
+    counts = {}
+    for s in side:
+        mine = sorted((p for p in patches if p["slide_id"] == s), key=lambda p: p["rank"])
+        boxes = [(p["x"], p["y"]) for p in mine]
+        for k, p in enumerate(mine):
+            own = [c for r, q, c in where[s] if p["y"] <= r < p["y"] + 512 and p["x"] <= q < p["x"] + 512]
+            assert (len(own), sum(c == 0 for c in own)) == (p["n_points"], p["n_core"])
+            assert 0 <= p["x"] <= max(0, side[s][1] - 512) and 0 <= p["y"] <= max(0, side[s][0] - 512)
+            for x, y in boxes[:k]:
+                both = max(0, 512 - abs(x - p["x"])) * max(0, 512 - abs(y - p["y"]))
+                assert both / (2 * 512 * 512 - both) <= 0.3
+        for p in [p for p in mine if p["n_points"] >= 10 and p["n_core"] >= 10][:10]:
+            for r, q, c in where[s]:
+                if p["y"] <= r < p["y"] + 512 and p["x"] <= q < p["x"] + 512:
+                    counts[s, c] = counts.get((s, c), 0) + 1
+    assert counts and all(values[s, f"{c}.count"] == counts.get((s, c), 0) for s in side for c in range(3) if (s, f"{c}.count") in values)
+    assert edges.count() > 0 and graph.edge_stats(edges, dets.filter("label between 1 and 3"), 3).agg({"n": "sum"}).first()[0] == edges.count()
