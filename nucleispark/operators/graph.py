@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.kernels.delaunay import triangulate
@@ -39,8 +39,9 @@ def patch_coverage(patches: DataFrame, roi_pixels: DataFrame, bin_size: int) ->
     return joined.withColumn("coverage", F.coalesce(F.col("_n") / (F.col("w") * F.col("h")), F.lit(0.0))).drop("_n")
 
 
-def best_patches(scored: DataFrame, n: int, score: str = "n_core") -> DataFrame:
-    """The n best patches of each slide with their rank; of equal scores the least patch_id first."""
+def best_patches(scored: DataFrame, n: int, score: str | Column = "n_core") -> DataFrame:
+    """The n best patches of each slide with their rank, by a column or an expression of the caller's; of equal scores the least
+    patch_id first."""
     order = Window.partitionBy("slide_id").orderBy(F.desc(score), "patch_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -104,21 +104,57 @@ def pixels_to_polygons(pixels: DataFrame, key: str, h: int, w: int, scale: float
     return pixels.groupBy(key).applyInPandas(one, f"{key} {pixels.schema[key].dataType.simpleString()}, ring int, vertices array<struct<x:double,y:double>>, area double")
 
 
-def region_props(dets: DataFrame, side: int = 28, names: tuple[str, ...] = NAMES) -> DataFrame:
-    """Detections (with soft, an array of side * side mask values) with the chosen properties of the mask at the box's size; null for empty masks."""
+def mask_pixels(dets: DataFrame, side: int = 28) -> DataFrame:
+    """(slide_id, y, x, label): the pixels of each detection's mask (soft: side * side values, over 0.5 at the box's size)."""
+    schema = f"slide_id {dets.schema['slide_id'].dataType.simpleString()}, y int, x int, label {dets.schema['label'].dataType.simpleString()}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            corner = {c: np.rint(pdf[c].to_numpy(float)).astype(int) for c in ("x0", "y0", "x1", "y1")}
+            w, h = np.maximum(corner["x1"] - corner["x0"] + 1, 1), np.maximum(corner["y1"] - corner["y0"] + 1, 1)
+            for s, slide, label, x, y, a, b in zip(pdf["soft"], pdf["slide_id"], pdf["label"], corner["x0"], corner["y0"], w, h, strict=True):
+                i, j = np.nonzero(resize(np.asarray(s, float).reshape(side, side), int(b), int(a)) > 0.5)
+                yield pd.DataFrame({"slide_id": slide, "y": i + y, "x": j + x, "label": label})
+
+    return dets.select("slide_id", "label", "x0", "y0", "x1", "y1", "soft").mapInPandas(run, schema)
+
+
+def polygon_pixels(polygons: DataFrame) -> DataFrame:
+    """(slide_id, y, x, label): the pixels of each polygon (slide_id, label, vertices), filled in its own bounding box."""
+    schema = f"slide_id {polygons.schema['slide_id'].dataType.simpleString()}, y int, x int, label {polygons.schema['label'].dataType.simpleString()}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for v, slide, label in zip(pdf["vertices"], pdf["slide_id"], pdf["label"], strict=True):
+                if v is None or not len(v):
+                    continue
+                p = np.array([(q["x"], q["y"]) for q in v], float)
+                x, y = np.floor(p.min(0)).astype(int)
+                w, h = np.ceil(p.max(0)).astype(int) - (x, y) + 1
+                i, j = np.nonzero(fill_polygon(p - (x, y), int(h), int(w)))
+                yield pd.DataFrame({"slide_id": slide, "y": i + y, "x": j + x, "label": label})
+
+    return polygons.select("slide_id", "label", "vertices").mapInPandas(run, schema)
+
+
+def region_props(dets: DataFrame, side: int = 28, names: tuple[str, ...] = NAMES, more: dict[str, Callable[[np.ndarray], float | None]] | None = None) -> DataFrame:
+    """Detections (with soft, an array of side * side mask values) with the chosen properties of the mask at the box's size; null for
+    empty masks. more: the caller's own properties, functions of the boolean mask by their names."""
+    own = dict(more or {})
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dets.drop("soft").schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             corner = {c: np.rint(pdf[c].to_numpy(float)).astype(int) for c in ("x0", "y0", "x1", "y1")}
             w, h = np.maximum(corner["x1"] - corner["x0"] + 1, 1), np.maximum(corner["y1"] - corner["y0"] + 1, 1)
-            found = [region_properties(resize(np.asarray(s, float).reshape(side, side), int(b), int(a)) > 0.5) for s, a, b in zip(pdf["soft"], w, h, strict=True)]
+            shapes = [resize(np.asarray(s, float).reshape(side, side), int(b), int(a)) > 0.5 for s, a, b in zip(pdf["soft"], w, h, strict=True)]
+            found = [region_properties(m) | {n: f(m) if m.any() else None for n, f in own.items()} for m in shapes]
             out = pdf.drop(columns="soft")
-            for n in names:
+            for n in (*names, *own):
                 out[n] = pd.array([f[n] for f in found], dtype="Float64")
             yield out
 
-    return dets.mapInPandas(run, schema + "".join(f", {n} double" for n in names))
+    return dets.mapInPandas(run, schema + "".join(f", {n} double" for n in (*names, *own)))
 
 
 _COCO = "id long, image_id long, category_id int, segmentation array<int>, area double, bbox array<int>, iscrowd int"
@@ -140,3 +176,29 @@ def from_coco(rows: DataFrame, h: int) -> DataFrame:
     own = rows.select(F.from_json("json", _COCO).alias("a")).select("a.*")
     pixels = rle_decode(own.select("id", F.col("segmentation").alias("counts")), "id", h)
     return pixels.join(own.select("id", "image_id", F.col("category_id").alias("label")), "id")
+
+
+_COCO_POLYGON = "id long, image_id long, category_id int, segmentation array<array<double>>, area double, bbox array<double>, iscrowd int"
+
+
+def to_coco_polygons(polygons: DataFrame) -> DataFrame:
+    """(id, json): annotation rows with flat polygons, of (id, image_id, label, vertices)."""
+    from nucleispark.functions.scalars import polygon_area
+
+    side = lambda f, c: f(F.transform("vertices", lambda p: p[c]))
+    x0, y0 = side(F.array_min, "x"), side(F.array_min, "y")
+    row = F.struct(
+        F.col("id").cast("long").alias("id"), F.col("image_id").cast("long").alias("image_id"), F.col("label").cast("int").alias("category_id"),
+        F.array(F.flatten(F.transform("vertices", lambda p: F.array(p["x"], p["y"])))).alias("segmentation"), polygon_area(F.col("vertices")).alias("area"),
+        F.array(x0, y0, side(F.array_max, "x") - x0, side(F.array_max, "y") - y0).alias("bbox"), F.lit(0).alias("iscrowd"),
+    )
+    return polygons.select("id", F.to_json(row).alias("json"))
+
+
+def from_coco_polygons(rows: DataFrame) -> DataFrame:
+    """(id, image_id, label, ring, vertices) of the polygons of rows that are no crowds."""
+    own = rows.select(F.from_json("json", _COCO_POLYGON).alias("a")).select("a.*").filter("iscrowd = 0")
+    rings = own.select("id", "image_id", F.col("category_id").alias("label"), F.posexplode("segmentation").alias("ring", "flat"))
+    at = F.sequence(F.lit(0), F.floor(F.size("flat") / 2).cast("int") - 1)
+    point = lambda i: F.struct(F.get("flat", 2 * i).alias("x"), F.get("flat", 2 * i + 1).alias("y"))
+    return rings.select("id", "image_id", "label", "ring", F.when(F.size("flat") > 1, F.transform(at, point)).alias("vertices"))

@@ -127,6 +127,29 @@ def image_stats(pixels: DataFrame, key: str, column: str = "v") -> DataFrame:
     return pixels.groupBy(key).agg(F.min(column).alias("low"), F.max(column).alias("high"), F.count_distinct(column).alias("n_values"))
 
 
+def tissue_from_pixels(pixels: DataFrame, key: str, sizes: DataFrame, channels: tuple[str, ...] = ("r", "g", "b"), block: int = 32, least_share: float = 0.0, steps: int = 32) -> DataFrame:
+    """tissue_blocks of pixels (key, y, x, channels as 0 to 255) in blocks of `block` pixels, without holes and parts below
+    least_share of the whole. sizes: (key, gh, gw) in blocks."""
+    from nucleispark.operators.roi import fill_and_label
+
+    each = F.array(*(F.struct(F.lit(c).alias("channel"), F.col(c).cast("int").alias("level")) for c in channels))
+    at = pixels.select(key, F.floor(F.col("y") / block).cast("int").alias("gr"), F.floor(F.col("x") / block).cast("int").alias("gc"), F.inline(each))
+    blocks = tissue_blocks(histogram(at, [key, "gr", "gc", "channel"], "level"), key, steps=steps)
+    named = fill_and_label(blocks.withColumnRenamed(key, "slide_id"), sizes.withColumnRenamed(key, "slide_id"), least_share)
+    return named.withColumnRenamed("slide_id", key)
+
+
+def label_image(pixels: DataFrame) -> DataFrame:
+    """(slide_id, y, x, label): of the pixels (slide_id, y, x, label) that detections cover, the greatest label at each place."""
+    return pixels.groupBy("slide_id", "y", "x").agg(F.max("label").alias("label"))
+
+
+def filled_pixels(dets: DataFrame) -> DataFrame:
+    """The label image of filled integer boxes (x1, y1 outside)."""
+    rows = dets.filter("x1 > x0 and y1 > y0").select("slide_id", "label", "x0", "x1", F.explode(F.sequence("y0", F.col("y1") - 1)).alias("y"))
+    return label_image(rows.select("slide_id", "label", "y", F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x")))
+
+
 def outline_pixels(dets: DataFrame, border: int = 3) -> DataFrame:
     """(slide_id, y, x, label): pixels within `border` of the edges of integer boxes (x1, y1 outside); of boxes that overlap the greatest label.
     Boxes of at most two borders are filled."""

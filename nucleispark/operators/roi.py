@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -85,6 +87,15 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, bin_size: int) ->
     return near.filter(in_polygon(F.col("x"), F.col("y"), F.col("vertices"))).select(*points.columns, "poly_id")
 
 
+def cells_of_polygons(polygons: DataFrame, divisor: int) -> DataFrame:
+    """(slide_id, gr, gc): pooled cells whose centres lie in a polygon (slide_id, poly_id, vertices)."""
+    side = lambda f, c: f(F.transform("vertices", lambda p: p[c]))
+    span = lambda c: F.sequence(F.floor(side(F.array_min, c) / divisor).cast("int"), F.floor(side(F.array_max, c) / divisor).cast("int"))
+    at = polygons.filter("size(vertices) > 2").select("slide_id", "vertices", span("x").alias("gc"), F.explode(span("y")).alias("gr")).withColumn("gc", F.explode("gc"))
+    centre = lambda c: (F.col(c) + 0.5) * divisor
+    return at.filter(in_polygon(centre("gc"), centre("gr"), F.col("vertices"))).select("slide_id", "gr", "gc").distinct()
+
+
 def flip_polygons(polygons: DataFrame, how: str, w: str = "w", h: str = "h") -> DataFrame:
     """Vertices mirrored in x or y within the size, or with axes swapped (`t`)."""
     new = {"x": lambda p: F.struct((F.col(w) - p["x"]).alias("x"), p["y"].alias("y")), "y": lambda p: F.struct(p["x"].alias("x"), (F.col(h) - p["y"]).alias("y")), "t": lambda p: F.struct(p["y"].alias("x"), p["x"].alias("y"))}[how]
@@ -136,10 +147,10 @@ def sample_in_polygons(polygons: DataFrame, n: int, seed: int = 42, tries: int =
     return inside.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= n).select("slide_id", "k", "x", "y", "poly_id")
 
 
-def random_patches(points: DataFrame, slides: DataFrame, cells: DataFrame, n: int, size: int, threshold: float = 0.3, least_score: float = 0.8, core: tuple[int, ...] = (0,), seed: int = 42) -> DataFrame:
+def random_patches(points: DataFrame, slides: DataFrame, cells: DataFrame, n: int, size: int, threshold: float = 0.3, least_score: float = 0.8, core: tuple[int, ...] = (0,), seed: int = 42, score: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The n best patches of each slide around sampled points (slide_id, k, x, y), moved by up to half a patch and into the slide.
 
-    Scored by core points, cut at least_score, without those whose IoU with a better one is over the threshold. Adds the rank and a
+    Scored by core points, or by the column `own_score` that the caller's function adds to the patches, cut at least_score, without those whose IoU with a better one is over the threshold. Adds the rank and a
     name `slide-nn-w_h-x_y`.
     """
     from nucleispark.operators.graph import best_patches, score_patches
@@ -149,7 +160,9 @@ def random_patches(points: DataFrame, slides: DataFrame, cells: DataFrame, n: in
     begin = lambda c, side: F.greatest(F.lit(0), F.least(F.floor(F.col(c) + shift(c) - size / 2).cast("int"), F.col(side).cast("int") - size))
     patches = points.join(slides.select("slide_id", "h", "w"), "slide_id").select("slide_id", F.col("k").alias("patch_id"), begin("x", "w").alias("x"), begin("y", "h").alias("y"))
     patches = patches.withColumns({"w": F.lit(size), "h": F.lit(size)})
-    scored = score_patches(patches, cells, size, core).filter(F.col("n_core") >= least_score)
-    boxes = scored.withColumns({"x0": F.col("x").cast("double"), "y0": F.col("y").cast("double"), "x1": (F.col("x") + F.col("w")).cast("double"), "y1": (F.col("y") + F.col("h")).cast("double"), "score": F.col("n_core").cast("double"), "nucleus_id": F.col("patch_id").cast("long")})
-    best = best_patches(nms_by_group(boxes, ["slide_id"], threshold), n).drop("x0", "y0", "x1", "y1", "score", "nucleus_id")
+    scored = score_patches(patches, cells, size, core)
+    scored, by = (scored, "n_core") if score is None else (score(scored), "own_score")
+    scored = scored.filter(F.col(by) >= least_score)
+    boxes = scored.withColumns({"x0": F.col("x").cast("double"), "y0": F.col("y").cast("double"), "x1": (F.col("x") + F.col("w")).cast("double"), "y1": (F.col("y") + F.col("h")).cast("double"), "score": F.col(by).cast("double"), "nucleus_id": F.col("patch_id").cast("long")})
+    best = best_patches(nms_by_group(boxes, ["slide_id"], threshold), n, by).drop("x0", "y0", "x1", "y1", "score", "nucleus_id")
     return best.withColumn("name", F.format_string("%s-%02d-%d_%d-%d_%d", F.col("slide_id").cast("string"), "rank", "w", "h", "x", "y"))

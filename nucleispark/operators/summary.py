@@ -37,9 +37,10 @@ def tme_features(dets: DataFrame, slides: DataFrame, n_classes: int = 3, divisor
     return cut(out), edges
 
 
-def summarize(additive: DataFrame, edges: DataFrame, dets: DataFrame, n_classes: int = 3, patients: DataFrame | None = None) -> DataFrame:
+def summarize(additive: DataFrame, edges: DataFrame, dets: DataFrame, n_classes: int = 3, patients: DataFrame | None = None, morphology: tuple[str, ...] = ()) -> DataFrame:
     """(entity, name, value): additive features and edges, merged by patient where a map (slide_id, patient_id) is given, with all
-    ratios. entity is the slide or patient as text. A merged radius is the sum, as for all additive features."""
+    ratios. entity is the slide or patient as text. A merged radius is the sum, as for all additive features. morphology: columns of
+    dets, of whose nuclei `label.total` and `label.column.mean` and `.std` are added."""
     if patients is not None:
         merged = features.merge_by_patient(additive, patients)
         who = patients.select("slide_id", F.col("patient_id").cast("string").alias("_p"))
@@ -54,6 +55,10 @@ def summarize(additive: DataFrame, edges: DataFrame, dets: DataFrame, n_classes:
     stats = graph.edge_stats(edges, dets, n_classes)
     values = {"edges.mean": F.col("mean"), "edges.std": F.col("std"), "edges.count": F.col("n")}
     parts = [additive.select("slide_id", "name", "value"), features.long_features(stats, "slide_id", F.concat_ws("_", "i", "j"), values), features.density_ratios(dots), features.count_ratios(counts), features.edge_ratios(stats)]
+    if morphology:
+        shapes = features.morphology_stats(dets, morphology)
+        own = {"total": F.col("total")} | {f"{c}.{s}": F.col(f"{c}_{s}") for c in morphology for s in ("mean", "std")}
+        parts.append(features.long_features(shapes, "slide_id", F.col("label").cast("string"), own))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -94,6 +94,23 @@ def tile_coverage(tiles: DataFrame, roi_cells: DataFrame, cell: int) -> DataFram
     return tiles.join(found, ["slide_id", "tile_col", "tile_row"], "left").withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "poly_id": F.coalesce("poly_id", F.lit(0))})
 
 
+def polygon_coverage(tiles: DataFrame, polygons: DataFrame, samples: int = 16) -> DataFrame:
+    """Adds coverage and poly_id by polygons (slide_id, poly_id, vertices): the share of each tile's samples * samples evenly spread
+    points that any of them holds, and the one that holds most (0 if none does; of equal ones the least)."""
+    from nucleispark.operators.roi import points_in_polygons
+
+    key = ["slide_id", "tile_col", "tile_row"]
+    size = tiles.agg(F.max(F.greatest("w", "h"))).first()[0] or 1
+    step = F.sequence(F.lit(0), F.lit(samples - 1))
+    at = tiles.select(*key, "x", "y", "w", "h", F.explode(step).alias("i")).withColumn("j", F.explode(step))
+    at = at.select(*key, "i", "j", (F.col("x") + (F.col("i") + 0.5) * F.col("w") / samples).alias("x"), (F.col("y") + (F.col("j") + 0.5) * F.col("h") / samples).alias("y"))
+    held = points_in_polygons(at, polygons, int(size)).select(*key, "i", "j", "poly_id").distinct()
+    found = held.groupBy(*key, "i", "j").agg(F.lit(1).alias("n")).groupBy(*key).agg((F.count("*") / (samples * samples)).alias("coverage"))
+    best = held.groupBy(*key, "poly_id").agg(F.count("*").alias("n")).groupBy(*key).agg(F.min_by("poly_id", F.struct(-F.col("n"), "poly_id")).alias("poly_id"))
+    joined = tiles.join(found.join(best, key), key, "left")
+    return joined.withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "poly_id": F.coalesce("poly_id", F.lit(0))})
+
+
 def select_tiles(tiles: DataFrame, roi_cells: DataFrame, cell: int, threshold: float = 1e-8) -> DataFrame:
     return tile_coverage(tiles, roi_cells, cell).filter(F.col("coverage") >= threshold)
 

@@ -260,3 +260,72 @@ def test_features_of_random_patches(spark):
                     counts[s, c] = counts.get((s, c), 0) + 1
     assert counts and all(values[s, f"{c}.count"] == counts.get((s, c), 0) for s in side for c in range(3) if (s, f"{c}.count") in values)
     assert edges.count() > 0 and graph.edge_stats(edges, dets.filter("label between 1 and 3"), 3).agg({"n": "sum"}).first()[0] == edges.count()
+
+
+def test_label_images_of_boxes_masks_and_polygons(spark):
+    import numpy as np
+
+    from nucleispark.operators import masks, pixels
+    from nucleispark.session import on_workers
+
+    on_workers(spark)
+    rng = np.random.default_rng(4)
+    boxes = [(1, int(l), int(x), int(y), int(x + w), int(y + h)) for l, x, y, w, h in zip(rng.integers(1, 5, 30), *rng.integers(0, 30, (2, 30)), *rng.integers(0, 9, (2, 30)), strict=True)]
+    want = {}
+    for _, label, x0, y0, x1, y1 in boxes:
+        want |= {(y, x): max(label, want.get((y, x), 0)) for y in range(y0, y1) for x in range(x0, x1)}
+    got = pixels.filled_pixels(spark.createDataFrame(boxes, "slide_id long, label int, x0 int, y0 int, x1 int, y1 int")).collect()
+    assert {(r["y"], r["x"]): r["label"] for r in got} == want and len(got) == len(want)
+    dets = spark.createDataFrame([(1, 2, 3.0, 4.0, 9.0, 7.0, [1.0] * 784), (1, 5, 5.0, 5.0, 20.0, 20.0, [0.0] * 784), (1, 3, 8.0, 4.0, 8.0, 4.0, [1.0] * 784)], "slide_id long, label int, x0 double, y0 double, x1 double, y1 double, soft array<double>")
+    image = {(r["y"], r["x"]): r["label"] for r in pixels.label_image(masks.mask_pixels(dets)).collect()}
+    assert image == {(y, x): 3 if (y, x) == (4, 8) else 2 for y in range(4, 8) for x in range(3, 10)}
+    square = [{"x": float(x), "y": float(y)} for x, y in ((2, 3), (6, 3), (6, 8), (2, 8))]
+    polygons = spark.createDataFrame([(1, 7, square), (1, 8, [])], "slide_id long, label int, vertices array<struct<x:double,y:double>>")
+    assert {(r["y"], r["x"]) for r in masks.polygon_pixels(polygons).collect()} == {(y, x) for y in range(3, 9) for x in range(2, 7)}
+    shape = masks.region_props(dets, names=(), more={"filled": lambda m: float(m.sum())}).collect()
+    assert [r["filled"] for r in shape] == [28.0, None, 1.0]
+
+
+def test_polygons_as_annotation_rows_regions_and_coverage(spark):
+    from nucleispark.operators import annotations, masks, roi, tiles
+
+    rings = {1: [(0, 0), (64, 0), (64, 40), (0, 40)], 2: [(100, 100), (140, 100), (100, 140)]}
+    rows = [(1, k, 9, k + 1, [{"x": float(x), "y": float(y)} for x, y in v]) for k, v in rings.items()]
+    polygons = spark.createDataFrame(rows, "slide_id long, id long, image_id long, label int, vertices array<struct<x:double,y:double>>").withColumn("poly_id", F.col("id"))
+    back = masks.from_coco_polygons(masks.to_coco_polygons(polygons)).orderBy("id").collect()
+    assert [(r["id"], r["image_id"], r["label"], [(p["x"], p["y"]) for p in r["vertices"]]) for r in back] == [(k, 9, k + 1, [tuple(map(float, q)) for q in v]) for k, v in rings.items()]
+    cells = {(r["gr"], r["gc"]) for r in roi.cells_of_polygons(polygons, 8).collect()}
+    assert {(r, c) for r, c in cells if r < 12} == {(r, c) for r in range(5) for c in range(8)} and all(8 * (r + c + 1) <= 240 for r, c in cells)
+    grid = spark.createDataFrame([(1, c, r, 64 * c, 64 * r, 64, 64) for c in range(3) for r in range(3)], "slide_id long, tile_col int, tile_row int, x int, y int, w int, h int")
+    got = {(r["tile_col"], r["tile_row"]): (r["coverage"], r["poly_id"]) for r in tiles.polygon_coverage(grid, polygons, 64).collect()}
+    assert got[0, 0] == (40 / 64, 1) and got[1, 1][1] == 2 and abs(got[1, 1][0] - (28 * 28 - 16 * 16 / 2) / 4096) < 0.03 and got[2, 0] == (0.0, 0)
+    assert annotations.roi_regions(polygons, polygons) is polygons and annotations.roi_regions(polygons, lambda a: a.filter("id = 2")).count() == 1
+
+
+def test_tissue_from_pixels(spark):
+    """A noisy square with a flat hole on a flat ground, and a noisy speck apart."""
+    import numpy as np
+
+    from nucleispark.operators import pixels
+    from nucleispark.session import on_workers
+
+    on_workers(spark)
+    rng = np.random.default_rng(5)
+    noisy = {(r, c) for r in range(1, 6) for c in range(1, 6)} - {(3, 3)} | {(8, 8)}
+    rows = [(1, y, x, *(int(v) for v in (rng.integers(0, 256, 3) if (y // 8, x // 8) in noisy else (240, 240, 240)))) for y in range(80) for x in range(80)]
+    image = spark.createDataFrame(rows, "slide_id long, y int, x int, r int, g int, b int")
+    sizes = spark.createDataFrame([(1, 10, 10)], "slide_id long, gh int, gw int")
+    found = {(r["gr"], r["gc"]) for r in pixels.tissue_from_pixels(image, "slide_id", sizes, block=8, least_share=0.1).collect()}
+    assert found == noisy - {(8, 8)} | {(3, 3)}
+
+
+def test_progress_of_a_stream(spark, tmp_path):
+    from nucleispark.streaming import requests
+
+    rows = [(s, c, r) for s in (1, 2) for c in range(4) for r in range(2 * s)] * 2
+    spark.createDataFrame(rows, "slide_id long, tile_col int, tile_row int").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("slide_id long, tile_col int, tile_row int").parquet(f"{tmp_path}/in")
+    run = requests.progress_stream(stream, 16).writeStream.format("memory").queryName("progress").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/c").start()
+    run.awaitTermination(60)
+    got = {r["slide_id"]: (r["finished"], r["share"]) for r in spark.table("progress").collect()}
+    assert abs(got[1][0] - 8) <= 1 and got[2][0] <= 17 and got[2][1] <= 1.0 and got[1][1] == got[1][0] / 16
