@@ -81,16 +81,18 @@ def best_level(levels: DataFrame, factor: float, from_above: bool = False) -> Da
 
 def tile_coverage(tiles: DataFrame, roi_cells: DataFrame, cell: int) -> DataFrame:
     """Adds coverage, the share of each tile's cells of `cell` pixels that are in the ROI (slide_id, gr, gc), and poly_id, the region
-    with most of them (0 if roi_cells has none or names none). Tiles begin on cell borders."""
+    with most of them (0 if roi_cells has none or names none). A cell of several regions counts once. Tiles begin on cell borders."""
     regions = roi_cells if "poly_id" in roi_cells.columns else roi_cells.withColumn("poly_id", F.lit(0))
     per = F.ceil(F.col("w") / cell) * F.ceil(F.col("h") / cell)
     spread = tiles.select("slide_id", "tile_col", "tile_row", "x", "y", "w", "h", per.alias("cells"))
     rows = F.sequence(F.floor(F.col("y") / cell), F.floor((F.col("y") + F.col("h") - 1) / cell))
     cols = F.sequence(F.floor(F.col("x") / cell), F.floor((F.col("x") + F.col("w") - 1) / cell))
     at = spread.withColumn("gr", F.explode(rows)).withColumn("gc", F.explode(cols))
-    hit = at.join(regions, ["slide_id", "gr", "gc"]).groupBy("slide_id", "tile_col", "tile_row", "cells", "poly_id").agg(F.count("*").alias("n"))
-    best = hit.groupBy("slide_id", "tile_col", "tile_row", "cells").agg(F.sum("n").alias("n"), F.min_by("poly_id", F.struct(-F.col("n"), "poly_id")).alias("poly_id"))
-    found = best.select("slide_id", "tile_col", "tile_row", (F.col("n") / F.col("cells")).alias("coverage"), "poly_id")
+    hit = at.join(regions, ["slide_id", "gr", "gc"])
+    key = ["slide_id", "tile_col", "tile_row"]
+    share = hit.groupBy(*key, "cells").agg(F.count_distinct("gr", "gc").alias("n")).select(*key, (F.col("n") / F.col("cells")).alias("coverage"))
+    most = hit.groupBy(*key, "poly_id").agg(F.count("*").alias("n")).groupBy(*key).agg(F.min_by("poly_id", F.struct(-F.col("n"), "poly_id")).alias("poly_id"))
+    found = share.join(most, key)
     return tiles.join(found, ["slide_id", "tile_col", "tile_row"], "left").withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "poly_id": F.coalesce("poly_id", F.lit(0))})
 
 

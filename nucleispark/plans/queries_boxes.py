@@ -118,10 +118,17 @@ def S7_nuclei_table(spark, sf_dir):
     return features.nuclei_table(*tables(spark, sf_dir, "detections")).withColumn("scores", F.round("scores", 6))
 
 
-@query("SELECT DISTINCT slide_id FROM slides WHERE slide_id NOT IN (SELECT slide_id FROM detections WHERE score > 0.99 AND label = 1 AND nucleus_id % 97 = 0)", "slides", "detections")
+@query(
+    """WITH n AS (SELECT slide_id, count(*) AS n FROM detections GROUP BY slide_id) SELECT DISTINCT slide_id FROM slides
+      WHERE slide_id NOT IN (SELECT slide_id FROM n WHERE n * (SELECT count(*) FROM n) >= (SELECT count(*) FROM detections))""",
+    "slides", "detections",
+)
 def S9_pending(spark, sf_dir):
+    """Slides with at least the average number of nuclei are done."""
     slides, dets = tables(spark, sf_dir, "slides", "detections")
-    return io.pending(slides.select("slide_id"), dets.filter("score > 0.99 and label = 1 and nucleus_id % 97 = 0"))
+    counts = dets.groupBy("slide_id").agg(F.count("*").alias("n"))
+    mean = counts.agg(F.avg("n")).first()[0] or 0
+    return io.pending(slides.select("slide_id"), counts.filter(F.col("n") >= mean))
 
 
 @query("SELECT DISTINCT slide_id FROM slides WHERE slide_id NOT IN (SELECT slide_id FROM requests)", "slides", "requests")

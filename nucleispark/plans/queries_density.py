@@ -34,15 +34,13 @@ def A6_pool_density(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_CELLS}, b AS (SELECT CAST(i AS INT) AS i, CAST(floor(i * 4000 / 83) AS INT) AS a, CAST(ceil((i + 1) * 4000 / 83) AS INT) AS e FROM range(83) AS r(i))
+    f"""WITH {_CELLS}, b AS (SELECT CAST(i AS INT) AS i, CAST(floor(i * 4096 / 85) AS INT) AS a, CAST(ceil((i + 1) * 4096 / 85) AS INT) AS e FROM range(85) AS r(i))
       SELECT slide_id, cls, x.i AS gr, y.i AS gc, round(sum(val / ((x.e - x.a) * (y.e - y.a))), 9) AS d FROM cells JOIN slides USING (slide_id) JOIN b x ON row >= x.a AND row < x.e JOIN b y ON col >= y.a AND col < y.e GROUP BY ALL""",
     "detections", "slides",
 )
 def A6_pool_overlapping_bins(spark, sf_dir):
     (slides,) = tables(spark, sf_dir, "slides")
-    small = slides.select("slide_id", F.lit(4000).alias("h"), F.lit(4000).alias("w"))
-    inside = _cells(spark, sf_dir).filter("row < 4000 and col < 4000")
-    return density.pool_density(inside, small, 48).withColumn("d", F.round("d", 9))
+    return density.pool_density(_cells(spark, sf_dir), slides, 48).withColumn("d", F.round("d", 9))
 
 
 _DOTS = f"""{_POOL}, pairs(i, j) AS (VALUES (0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)),

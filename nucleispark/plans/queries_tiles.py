@@ -86,17 +86,18 @@ def K3_best_level(spark, sf_dir):
     return tiles.best_level(levels, 3.0).withColumnRenamed("level", "nearest").join(tiles.best_level(levels, 3.0, True).withColumnRenamed("level", "below"), "slide_id")
 
 
-_ROI = "roi AS (SELECT DISTINCT slide_id, CAST(floor((y0 + y1) / 128) AS INT) AS gr, CAST(floor((x0 + x1) / 128) AS INT) AS gc, CAST(1 + CAST(label = 2 AS INT) AS INT) AS poly_id FROM detections WHERE label IN (1, 2) AND score > 0.9)"
+_ROI = "roi AS (SELECT DISTINCT slide_id, CAST(floor((y0 + y1) / 128) AS INT) AS gr, CAST(floor((x0 + x1) / 128) AS INT) AS gc, CAST(1 + CAST(label = 2 AS INT) AS INT) AS poly_id FROM detections WHERE label IN (1, 2))"
 
 
 def _roi(dets):
-    rows = dets.filter("label in (1, 2) and score > 0.9")
+    rows = dets.filter("label in (1, 2)")
     at = lambda a: F.floor((F.col(f"{a}0") + F.col(f"{a}1")) / 128).cast("int")
     return rows.select("slide_id", at("y").alias("gr"), at("x").alias("gc"), (1 + (F.col("label") == 2).cast("int")).alias("poly_id")).distinct()
 
 
 _COVER = f"""{_ROI}, cell AS (SELECT slide_id, gr // 8 AS tile_row, gc // 8 AS tile_col, poly_id, count(*) AS n FROM roi GROUP BY ALL),
-  best AS (SELECT slide_id, tile_col, tile_row, sum(n) / 64 AS coverage, arg_min(poly_id, {{'a': -n, 'p': poly_id}}) AS poly_id FROM cell GROUP BY ALL),
+  whole AS (SELECT slide_id, gr // 8 AS tile_row, gc // 8 AS tile_col, count(DISTINCT gr * 1000 + gc) / 64 AS coverage FROM roi GROUP BY ALL),
+  best AS (SELECT slide_id, tile_col, tile_row, coverage, arg_min(poly_id, {{'a': -n, 'p': poly_id}}) AS poly_id FROM cell JOIN whole USING (slide_id, tile_col, tile_row) GROUP BY ALL),
   every AS (SELECT slide_id, CAST(c AS INT) AS tile_col, CAST(r AS INT) AS tile_row FROM slides, range(8) AS a(c), range(8) AS b(r)),
   covered AS (SELECT slide_id, tile_col, tile_row, coalesce(coverage, 0.0) AS coverage, coalesce(poly_id, 0) AS poly_id FROM every LEFT JOIN best USING (slide_id, tile_col, tile_row))"""
 
@@ -121,10 +122,15 @@ def J7_neighbor_tiles(spark, sf_dir):
     return tiles.neighbor_tiles(*tables(spark, sf_dir, "requests"), 8, 8)
 
 
-@query(f"WITH {_NEAR.replace('FROM requests', 'FROM (SELECT * FROM requests WHERE tile_col = 3 AND tile_row < 4)')} SELECT * FROM near EXCEPT SELECT slide_id, tile_col, tile_row FROM requests WHERE tile_col = 3 AND tile_row < 4", "requests")
+_NEWEST = "newest AS (SELECT slide_id, tile_col, tile_row FROM requests QUALIFY row_number() OVER (PARTITION BY slide_id ORDER BY ts DESC, event_id DESC) = 1)"
+
+
+@query(f"WITH {_NEWEST}, {_NEAR.replace('FROM requests', 'FROM newest')} SELECT * FROM near EXCEPT SELECT * FROM newest", "requests")
 def U2_open_neighbors(spark, sf_dir):
+    """Around each slide's newest request."""
     (rows,) = tables(spark, sf_dir, "requests")
-    return tiles.neighbor_tiles(rows.filter("tile_col = 3 and tile_row < 4").select("slide_id", "tile_col", "tile_row"), 8, 8, others_only=True)
+    newest = rows.groupBy("slide_id").agg(F.max_by(F.struct("tile_col", "tile_row"), F.struct("ts", "event_id")).alias("t"))
+    return tiles.neighbor_tiles(newest.select("slide_id", "t.tile_col", "t.tile_row"), 8, 8, others_only=True)
 
 
 @query(f"WITH {_NEAR} SELECT * FROM near EXCEPT SELECT slide_id, tile_col, tile_row FROM requests", "requests")
