@@ -156,6 +156,13 @@ def W2_best_patches(spark, sf_dir):
     return graph.best_patches(graph.score_patches(_patches(spark, sf_dir), _cells(spark, sf_dir), 512), 12).select("slide_id", "patch_id", "n_points", "n_core", "rank")
 
 
+@query(f"WITH {_SCORED} SELECT *, CAST(row_number() OVER (PARTITION BY slide_id ORDER BY n_points - 2 * n_core DESC, patch_id) AS INT) AS rank FROM scored QUALIFY rank <= 12", "detections", "slides")
+def F2_patches_by_own_score(spark, sf_dir):
+    """The caller's score: points of other classes less those of the core."""
+    scored = graph.score_patches(_patches(spark, sf_dir), _cells(spark, sf_dir), 512)
+    return graph.best_patches(scored, 12, F.col("n_points") - 2 * F.col("n_core")).select("slide_id", "patch_id", "n_points", "n_core", "rank")
+
+
 _CHOSEN = f"""{_SCORED}, pool2 AS (SELECT *, row_number() OVER (PARTITION BY slide_id ORDER BY n_core DESC, patch_id) AS rank FROM scored),
   chosen AS (SELECT slide_id, patch_id FROM pool2 WHERE rank <= 12 AND n_points >= 40 AND n_core >= 40 QUALIFY row_number() OVER (PARTITION BY slide_id ORDER BY rank) <= 6)"""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(rows: DataFrame) -> DataFrame:
     """The rows without lineage, in the shared folder."""
     spark = rows.sparkSession

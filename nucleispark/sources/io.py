@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from nucleispark.functions.scalars import file_extension, file_stem, half_even, tile_key, vertices_to_text
 from nucleispark.operators.features import feature_names, pivot_features
@@ -87,8 +88,9 @@ def write_plan(tiles: DataFrame, path: str) -> None:
     tiles.write.mode("overwrite").partitionBy("slide_id").parquet(path)
 
 
-def read_plan(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_plan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The written plan; without its schema, slide ids get the type that their folder names suggest."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def write_feature_summary(features: DataFrame, entity: str, n_classes: int, path: str) -> None:

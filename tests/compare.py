@@ -47,7 +47,8 @@ def differences(df, sql: str, folder: str) -> str:
     a, b = normal(df.collect(), df.columns), normal(found.fetchall(), found.columns)
     if a == b:
         return ""
-    more, less = [x for x in a if x not in set(b)][:3], [x for x in b if x not in set(a)][:3]
+    in_a, in_b = set(a), set(b)
+    more, less = [x for x in a if x not in in_b][:3], [x for x in b if x not in in_a][:3]
     return f"{len(a)} and {len(b)} rows; only Spark: {more}; only DuckDB: {less}"
 
 
