@@ -1,20 +1,9 @@
-"""Delaunay triangulation of integer points by incremental insertion with exact tests."""
+"""Delaunay triangulations of many sets of integer points at once, by incremental insertion with exact tests."""
 
 from __future__ import annotations
 
-from functools import lru_cache
-from itertools import combinations
-
 import numpy as np
 
-#: Up to so many points all triples are tried at once.
-FEW = 20
-
-
-@lru_cache(maxsize=None)
-def _triples(n: int) -> np.ndarray:
-    return np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3)
-
 
 def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Positive where a, b, c turn left."""
@@ -36,50 +25,65 @@ def inside(p: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, q: np.nda
     return (side > 0) | (side == 0) & (tie > 0)
 
 
-def triangulate(points: np.ndarray) -> np.ndarray:
-    """Triangles (m, 3) of indices into distinct integer points; one set for each order of the points (see `inside`).
+def triangulate(points: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Triangles (m, 3) of indices into integer points; one set for each order of the points (see `inside`).
 
-    Fewer than three points, or all on a line, have no triangles. Outside the hull each edge has a triangle with the point at
-    infinity, index -1.
+    starts: where each set of points begins, and the end of the last (None: one set). Points of a set are distinct. Fewer than
+    three points, or all on a line, have no triangles. All sets get their next point in one step, so that a step's work is one
+    for all of them. Outside the hull each edge has a triangle with the point at infinity, index -1.
     """
-    p = np.asarray(points, np.int64)
-    p = p - p.min(0) if len(p) else p
-    n = len(p)
-    if 3 <= n <= FEW:
-        return _of_few(p)
-    third = next((k for k in range(2, n) if _turn(p[0], p[1], p[k]) != 0), None)
-    if third is None:
-        return np.zeros((0, 3), np.int64)
-    a, b, c = (0, 1, third) if _turn(p[0], p[1], p[third]) > 0 else (1, 0, third)
-    tri = np.array([[a, b, c], [b, a, -1], [c, b, -1], [a, c, -1]], np.int64)
-    for k in range(2, n):
-        if k == third:
-            continue
-        q, ghost = p[k], tri[:, 2] < 0
-        bad = np.zeros(len(tri), bool)
-        real = tri[~ghost]
-        bad[~ghost] = inside(p, real[:, 0], real[:, 1], real[:, 2], np.full(len(real), k))
-        u, v = p[tri[ghost, 0]], p[tri[ghost, 1]]
-        side = _turn(u, v, q[None])
-        between = ((q - u) * (q - v)).sum(1) < 0
-        bad[ghost] = (side > 0) | (side == 0) & between
-        gone = tri[bad]
-        edges = np.concatenate([gone[:, [0, 1]], gone[:, [1, 2]], gone[:, [2, 0]]])
-        code, back = (edges[:, 0] + 1) * (n + 2) + edges[:, 1] + 1, (edges[:, 1] + 1) * (n + 2) + edges[:, 0] + 1
-        rim = edges[~np.isin(code, back)]
-        new = np.column_stack([rim, np.full(len(rim), k)])
-        at0, at1 = rim[:, 0] < 0, rim[:, 1] < 0
-        new[at0] = new[at0][:, [1, 2, 0]]
-        new[at1] = new[at1][:, [2, 0, 1]]
-        tri = np.concatenate([tri[~bad], new])
+    p = np.asarray(points, np.int64).reshape(-1, 2)
+    starts = np.array([0, len(p)]) if starts is None else np.asarray(starts, np.int64)
+    turns, order = _insertion_order(p, starts)
+    sizes = np.diff(starts)
+    live = np.flatnonzero(turns != 0)
+    a, b, c = (order[starts[live] + x] for x in range(3))
+    a, b = np.where(turns[live] > 0, a, b), np.where(turns[live] > 0, b, a)
+    out = np.full(len(live), -1)
+    tri = np.stack([a, b, c, b, a, out, c, b, out, a, c, out], 1).reshape(-1, 3)
+    own, step, done = np.repeat(live, 4), 3, []
+    while len(tri):
+        full = sizes[own] <= step
+        if full.any():
+            done.append(tri[full])
+            tri, own = tri[~full], own[~full]
+        tri, own = _insert(p, tri, own, order[np.minimum(starts[:-1] + step, len(p) - 1)])
+        step += 1
+    tri = np.concatenate(done) if done else np.zeros((0, 3), np.int64)
     return tri[tri[:, 2] >= 0]
 
 
-def _of_few(p: np.ndarray) -> np.ndarray:
-    """The triangles whose circles hold no point."""
-    t = _triples(len(p))
-    turn = _turn(p[t[:, 0]], p[t[:, 1]], p[t[:, 2]])
-    t = np.where((turn < 0)[:, None], t[:, [0, 2, 1]], t)[turn != 0]
-    held = inside(p, t[:, :1], t[:, 1:2], t[:, 2:], np.arange(len(p))[None])
-    held[np.arange(len(t))[:, None], t] = False
-    return t[~held.any(1)]
+def _insertion_order(p: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each set how its first two points and the first that is not on their line turn (0: there is none), and all indices with
+    that point moved to the third place."""
+    turns, order = np.zeros(len(starts) - 1, np.int64), np.arange(len(p))
+    for s in np.flatnonzero(np.diff(starts) >= 3):
+        lo, hi = starts[s], starts[s + 1]
+        turn = _turn(p[lo], p[lo + 1], p[lo + 2 : hi])
+        third = int((turn != 0).argmax())
+        turns[s] = turn[third]
+        order[lo + 2 : lo + 3 + third] = np.roll(order[lo + 2 : lo + 3 + third], 1)
+    return turns, order
+
+
+def _insert(p: np.ndarray, tri: np.ndarray, own: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Triangles and their sets after point new[s] came into each set s that has triangles here."""
+    k, ghost = new[own], tri[:, 2] < 0
+    bad = np.zeros(len(tri), bool)
+    real = tri[~ghost]
+    bad[~ghost] = inside(p, real[:, 0], real[:, 1], real[:, 2], k[~ghost])
+    u, v, q = p[tri[ghost, 0]], p[tri[ghost, 1]], p[k[ghost]]
+    side = _turn(u, v, q)
+    between = ((q - u) * (q - v)).sum(1) < 0
+    bad[ghost] = (side > 0) | (side == 0) & between
+    gone, sets = tri[bad], np.tile(own[bad], 3)
+    edges = np.concatenate([gone[:, [0, 1]], gone[:, [1, 2]], gone[:, [2, 0]]])
+    n = len(p) + 1
+    code, back = (edges[:, 0] + 1) * n + edges[:, 1] + 1, (edges[:, 1] + 1) * n + edges[:, 0] + 1
+    rim = ~np.isin(code, back)
+    edges, sets = edges[rim], sets[rim]
+    more = np.column_stack([edges, new[sets]])
+    at0, at1 = edges[:, 0] < 0, edges[:, 1] < 0
+    more[at0] = more[at0][:, [1, 2, 0]]
+    more[at1] = more[at1][:, [2, 0, 1]]
+    return np.concatenate([tri[~bad], more]), np.concatenate([own[~bad], sets])

@@ -1,10 +1,18 @@
-"""Groups of sorted rows in batches."""
+"""Groups of rows for Python: dealt to tasks, and sorted ones in batches."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def deal(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with groups spread over enough tasks. Groups hold few bytes, but take much work: by size alone Spark would put
+    too many of them into one task."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *keys)
 
 
 def whole_groups(names: list[str], function: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import half_even
 from nucleispark.kernels.conv import density_kernel, spread
-from nucleispark.operators.batches import whole_groups
+from nucleispark.operators.batches import deal, whole_groups
 
 #: Cells a side of a smoothing block.
 BLOCK = 64
@@ -102,7 +102,7 @@ def smooth_density(pooled: DataFrame, radius: DataFrame, sizes: DataFrame, scale
         return pd.DataFrame(out)[(i < pdf["gh"].to_numpy()[at]) & (j < pdf["gw"].to_numpy()[at])]
 
     kind = pooled.schema["slide_id"].dataType.simpleString()
-    dealt = rows.select(*names, "gr", "gc", "d", "radius", "gh", "gw").repartition(*names).sortWithinPartitions(*names, "gr", "gc")
+    dealt = deal(rows.select(*names, "gr", "gc", "d", "radius", "gh", "gw"), *names).sortWithinPartitions(*names, "gr", "gc")
     return dealt.mapInPandas(whole_groups(names, one), f"slide_id {kind}, cls int, gr int, gc int, d double")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.kernels.delaunay import triangulate
-from nucleispark.operators.batches import whole_groups
+from nucleispark.operators.batches import deal, whole_groups
 from nucleispark.operators.features import each_class
 
 
@@ -74,18 +74,13 @@ def delaunay_edges(points: DataFrame, max_dist: float | None = 100.0, keys: tupl
         pdf = pdf[~pdf.duplicated([*names, "row", "col"])]
         begins = np.flatnonzero((pdf[names] != pdf[names].shift()).any(axis=1).to_numpy())
         xy, cls = pdf[["row", "col"]].to_numpy(np.int64), pdf["cls"].to_numpy()
-        ends, owner = [], []
-        for lo, hi in zip(begins, np.append(begins[1:], len(pdf)), strict=True):
-            tri = triangulate(xy[lo:hi])
-            ends.append(tri + lo)
-            owner.append(np.full(3 * len(tri), lo))
-        tri, owner = np.concatenate(ends), np.concatenate(owner)
+        tri = triangulate(xy, np.append(begins, len(pdf)))
         i, j = tri.ravel(), tri[:, [1, 2, 0]].ravel()
         found = {"i": np.minimum(cls[i], cls[j]), "j": np.maximum(cls[i], cls[j]), "dist": np.sqrt(((xy[i] - xy[j]) ** 2).sum(1).astype(float))}
-        return pd.DataFrame({**{k: pdf[k].to_numpy()[owner] for k in names}, **found})
+        return pd.DataFrame({**{k: pdf[k].to_numpy()[i] for k in names}, **found})
 
     kinds = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
-    dealt = points.select(*names, "row", "col", "cls").repartition(*names).sortWithinPartitions(*names, "row", "col", "cls")
+    dealt = deal(points.select(*names, "row", "col", "cls"), *names).sortWithinPartitions(*names, "row", "col", "cls")
     edges = dealt.mapInPandas(whole_groups(names, sides), f"{kinds}, i int, j int, dist double")
     edges = edges.filter("dist > 0")
     return edges if max_dist is None else edges.filter(F.col("dist") < max_dist)

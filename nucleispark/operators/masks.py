@@ -13,6 +13,7 @@ from nucleispark.functions.scalars import ratio
 from nucleispark.kernels.components import label as components
 from nucleispark.kernels.contour import area, contours, fill_polygon, resize
 from nucleispark.kernels.regionprops import NAMES, region_properties
+from nucleispark.operators.batches import deal
 
 
 def rle_encode(pixels: DataFrame, key: str, h: int, value: str = "mask") -> DataFrame:
@@ -72,7 +73,7 @@ def split_masks(values: DataFrame, key: str, h: int, w: int, least_area: int = 2
                     parts.append(pd.DataFrame({key: pdf[key].iloc[0], "value": int(v), "instance": last, "y": y, "x": x}))
         return pd.concat(parts) if parts else pd.DataFrame({key: [], "value": [], "instance": [], "y": [], "x": []})
 
-    return values.groupBy(key).applyInPandas(one, f"{key} {values.schema[key].dataType.simpleString()}, value int, instance int, y int, x int")
+    return deal(values, key).groupBy(key).applyInPandas(one, f"{key} {values.schema[key].dataType.simpleString()}, value int, instance int, y int, x int")
 
 
 def merge_masks(instances: DataFrame, key: str) -> DataFrame:
@@ -101,7 +102,7 @@ def pixels_to_polygons(pixels: DataFrame, key: str, h: int, w: int, scale: float
         rings = [r * scale for r in contours(mask)]
         return pd.DataFrame({key: pdf[key].iloc[0], "ring": range(len(rings)), "vertices": pd.Series([[{"x": float(x), "y": float(y)} for y, x in r] for r in rings], dtype=object), "area": [area(r) for r in rings]})
 
-    return pixels.groupBy(key).applyInPandas(one, f"{key} {pixels.schema[key].dataType.simpleString()}, ring int, vertices array<struct<x:double,y:double>>, area double")
+    return deal(pixels, key).groupBy(key).applyInPandas(one, f"{key} {pixels.schema[key].dataType.simpleString()}, ring int, vertices array<struct<x:double,y:double>>, area double")
 
 
 def mask_pixels(dets: DataFrame, side: int = 28) -> DataFrame:

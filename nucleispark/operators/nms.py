@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nucleispark.operators.batches import deal
 from nucleispark.session import checkpointed
 
 
@@ -36,7 +37,7 @@ def nms_by_group(dets: DataFrame, keys: list[str], threshold: float) -> DataFram
                 alive &= ~(w * h / (area[i] + area - w * h) > threshold)
         return pdf.iloc[kept]
 
-    return dets.groupBy(*keys).applyInPandas(one, dets.schema)
+    return deal(dets, *keys).groupBy(*keys).applyInPandas(one, dets.schema)
 
 
 def overlapping_pairs(dets: DataFrame, threshold: float, bin_size: int) -> DataFrame:

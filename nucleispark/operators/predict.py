@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from nucleispark.operators.batches import deal
 from nucleispark.operators.boxes import filter_scores, tile_to_slide
 from nucleispark.operators.nms import nms_by_group, top_by_score
 
@@ -22,7 +23,8 @@ def score_tiles(tiles: DataFrame, make_detector: Callable[[], Callable[[pd.DataF
         for pdf in batches:
             yield detect(pdf)
 
-    spread = tiles.repartition(*([partitions] if partitions else []), "slide_id", "tile_col", "tile_row")
+    key = ["slide_id", "tile_col", "tile_row"]
+    spread = tiles.repartition(partitions, *key) if partitions else deal(tiles, *key)
     return spread.mapInPandas(run, DETECTED)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import polygon_area
 from nucleispark.kernels import components, contour
+from nucleispark.operators.batches import deal
 
 
 def roi_cells(density: DataFrame, classes: tuple[int, ...] = (0,)) -> DataFrame:
@@ -33,7 +34,7 @@ def fill_and_label(cells: DataFrame, sizes: DataFrame, least_share: float = 0.0)
         return pd.DataFrame({"slide_id": pdf["slide_id"].iloc[0], "gr": r, "gc": c, "component": numbers[r, c]})
 
     kind = cells.schema["slide_id"].dataType.simpleString()
-    return cells.join(sizes, "slide_id").groupBy("slide_id").applyInPandas(one, f"slide_id {kind}, gr int, gc int, component int")
+    return deal(cells.join(sizes, "slide_id"), "slide_id").groupBy("slide_id").applyInPandas(one, f"slide_id {kind}, gr int, gc int, component int")
 
 
 def quad_codes(cells: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def roi_polygons(cells: DataFrame, sizes: DataFrame, divisor: int, least_share:
         return pd.DataFrame({"slide_id": pdf["slide_id"].iloc[0], "ring": range(len(kept)), "vertices": pd.Series([[{"x": float(x), "y": float(y)} for y, x in rings[i]] for i in kept], dtype=object), "area": [areas[i] for i in kept]})
 
     kind = cells.schema["slide_id"].dataType.simpleString()
-    return cells.join(sizes, "slide_id").groupBy("slide_id").applyInPandas(one, f"slide_id {kind}, ring int, vertices array<struct<x:double,y:double>>, area double")
+    return deal(cells.join(sizes, "slide_id"), "slide_id").groupBy("slide_id").applyInPandas(one, f"slide_id {kind}, ring int, vertices array<struct<x:double,y:double>>, area double")
 
 
 def in_polygon(x: Column, y: Column, vertices: Column) -> Column:

@@ -15,7 +15,7 @@ def tme_features(dets: DataFrame, slides: DataFrame, n_classes: int = 3, divisor
     little, and of those the first n_patches with enough points."""
     dets = boxes.filter_labels(dets, n_classes)
     radius = features.class_radius(dets, n_classes)
-    cells = density.nuclei_map(dets)
+    cells = cut(density.nuclei_map(dets))
     sizes = density.pooled_sizes(slides, divisor)
     smooth = cut(density.smooth_density(density.pool_density(cells, slides, divisor), radius, sizes, 1 / divisor))
     dots = density.dot_products(smooth, n_classes)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 from math import pi, sqrt
 
 import numpy as np
@@ -40,18 +41,28 @@ def test_delaunay_special_cases():
     assert len(delaunay.triangulate(np.zeros((0, 2)))) == 0
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4)), unique=True, min_size=3, max_size=16))
-def test_insertion_and_all_triples_agree_on_points_of_one_circle(points):
-    p = np.array(sorted(points), np.int64)
-    few = delaunay.FEW
-    try:
-        delaunay.FEW = 0
-        one_by_one = delaunay.triangulate(p)
-    finally:
-        delaunay.FEW = few
-    whole = lambda tri: {frozenset(t) for t in tri.tolist()}
-    assert whole(one_by_one) == whole(delaunay.triangulate(p))
+def all_triples(p: np.ndarray) -> set[frozenset[int]]:
+    """The triangles whose circles hold no point, by trying all."""
+    found = set()
+    for a, b, c in combinations(range(len(p)), 3):
+        turn = delaunay._turn(p[a], p[b], p[c])
+        if turn:
+            b, c = (b, c) if turn > 0 else (c, b)
+            rest = np.array([k for k in range(len(p)) if k not in (a, b, c)], np.int64)
+            if not len(rest) or not delaunay.inside(p, *(np.full(len(rest), x) for x in (a, b, c)), rest).any():
+                found.add(frozenset((a, b, c)))
+    return found
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4)), unique=True, max_size=14), max_size=4))
+def test_insertion_into_many_sets_agrees_with_all_triples_on_points_of_one_circle(sets):
+    sets = [np.array(sorted(s), np.int64).reshape(-1, 2) for s in sets]
+    starts = np.cumsum([0] + [len(s) for s in sets])
+    tri = delaunay.triangulate(np.concatenate([np.zeros((0, 2), np.int64), *sets]), starts)
+    assert sum(len(all_triples(s)) for s in sets) == len(tri)
+    for s, lo, hi in zip(sets, starts[:-1], starts[1:], strict=True):
+        assert {frozenset(t) for t in (tri[(tri[:, 0] >= lo) & (tri[:, 0] < hi)] - lo).tolist()} == all_triples(s)
 
 
 @settings(max_examples=60, deadline=None)
