@@ -94,4 +94,102 @@ WITH a AS (
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
 """
 
-ORACLES = {"op1_chat_formatting": OP1, "op2_url_filters": OP2, "op4_ngram_jaccard_join": OP4, "op5_html_extraction": OP5, "op6_benchmark_decontamination": OP6}
+_TABLE = "crc(tab) AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)))"
+# crc32 of ASCII text {0}, by the table of 256 remainders.
+_CRC = "xor(list_reduce(list_transform(string_split({0}, ''), lambda s: CAST(ascii(s) AS BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    one = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+    return "sha256(" + " || ".join(one.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_HASH = "sha256(string_agg(h, '' ORDER BY pos))"
+OP11 = f"""
+WITH RECURSIVE {_TABLE}, d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf('text')} AS leaf,
+    CASE WHEN {_CRC.format('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS now
+  FROM documents, crc
+), s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY source
+), l AS (SELECT r, doc_id, leaf, now, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source
+), up AS (
+  SELECT tree, 0 AS lvl, pos, n, leaf AS h FROM l
+  UNION ALL SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, {_HASH} FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 3, n
+), top AS (
+  SELECT 0 AS lvl, tree AS pos, (SELECT count(*) FROM s) AS n, h FROM up WHERE n = 1
+  UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, {_HASH} FROM top WHERE n > 1 GROUP BY lvl, pos // 3, n
+), runs AS (
+  SELECT 0 AS part, tree, lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM up WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT 1, 0, lvl, pos // 3, list(h ORDER BY pos) FROM top WHERE n > 1 GROUP BY ALL
+), fold AS (
+  SELECT r, 0 AS part, tree, 0 AS lvl, pos, tree AS own, now AS h, '' AS proof FROM l
+  UNION ALL
+  SELECT r, CASE WHEN hs IS NULL THEN 1 ELSE f.part END, CASE WHEN hs IS NULL THEN 0 ELSE f.tree END, CASE WHEN hs IS NULL THEN 0 ELSE f.lvl + 1 END, CASE WHEN hs IS NULL THEN own ELSE f.pos // 3 END, own,
+    CASE WHEN hs IS NULL THEN h ELSE sha256(array_to_string(list_transform(hs, lambda x, i: CASE WHEN i = f.pos % 3 + 1 THEN h ELSE x END), '')) END,
+    proof || coalesce(array_to_string(list_filter(hs, lambda x, i: i <> f.pos % 3 + 1), ''), '')
+  FROM fold f LEFT JOIN runs ON runs.part = f.part AND runs.tree = f.tree AND runs.lvl = f.lvl AND runs.run = f.pos // 3
+  WHERE hs IS NOT NULL OR f.part = 0
+), done AS (SELECT r, max_by(h, part * 100 + lvl) AS folded_root, max_by(proof, part * 100 + lvl) AS proof FROM fold GROUP BY r)
+SELECT doc_id, leaf, up.h AS subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN done USING (r) JOIN up ON up.tree = l.tree AND up.n = 1 JOIN (SELECT h AS root FROM top WHERE n = 1) ON true
+"""
+
+_BEST = "list_min([{}])"
+_EMPTY = "chr(10) || '{}:'"
+
+
+def _edit(cost: str, letter: str, rest: str, line: str = "''") -> str:
+    return f"{{'c': {rest}.c + {cost}, 'a': '{letter}' || {rest}.a, 't': {line} || {rest}.t}}"
+
+
+def _own(place: str) -> str:
+    """The best of deleting, keeping and rerole-ing a turn at a place of the grammar (n, s, u, a), f being the rests."""
+    to = "a" if place == "u" else "u"
+    stay = {"n": "CASE WHEN ini = 's' THEN f.s WHEN ini = 'u' THEN f.u END", "s": "CASE WHEN ini = 'u' THEN f.u END", "u": "CASE WHEN ini = 'a' THEN f.a END", "a": "CASE WHEN ini = 'u' THEN f.u END"}[place]
+    keep = f"CASE WHEN NOT must AND ({stay}) IS NOT NULL THEN {_edit('cut', 'K', f'({stay})', 'chr(10) || role || chr(58) || text')} END"
+    rerole = f"CASE WHEN NOT must THEN {_edit('2 + cut', 'R', f'f.{to}', _EMPTY.format({'u': 'user', 'a': 'assistant'}[to]) + ' || text')} END"
+    return _BEST.format(f"{_edit('3', 'D', f'f.{place}')}, {keep}, {rerole}")
+
+
+def _with_insert(own: str, source: str, role: str) -> str:
+    return _BEST.format(f"{own}, {_edit('2', 'I', source, _EMPTY.format(role))}")
+
+
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP13 = f"""
+WITH RECURSIVE {_TABLE}, hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS m FROM conversations, crc
+), dam AS (
+  SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role, CASE WHEN m = 1 THEN '' WHEN m = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN m = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE m <> 0
+), pos AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p, rtrim(text, {_WS}) AS body, left(role, 1) AS ini FROM dam
+), flt AS (
+  SELECT *, CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY p) AS before, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM pos
+), stat AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM flt GROUP BY conv_id
+), dp AS (
+  SELECT conv_id, n + 1 AS p, {{'n': {{'c': 0, 'a': '', 't': ''}}, 's': {{'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}}, 'u': {{'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'}}, 'a': {{'c': 0, 'a': '', 't': ''}}}} AS f FROM flt WHERE p = n
+  UNION ALL
+  SELECT conv_id, p, {{'n': {_with_insert('gn', 'fu', 'user')}, 's': {_with_insert('gs', 'fu', 'user')}, 'u': fu, 'a': {_with_insert('ga', 'gu', 'user')}}}
+  FROM (
+    SELECT conv_id, p, gn, gs, gu, ga, {_with_insert('gu', 'ga', 'assistant')} AS fu
+    FROM (
+      SELECT t.conv_id, t.p, {_own('n')} AS gn, {_own('s')} AS gs, {_own('u')} AS gu, {_own('a')} AS ga
+      FROM dp JOIN (SELECT *, fault IN (1, 2) AS must, CAST(fault = 3 AS INT) AS cut FROM flt) t ON t.conv_id IS NOT DISTINCT FROM dp.conv_id AND t.p = dp.p - 1
+    )
+  )
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(f.n.c, 0) AS BIGINT) AS cost, coalesce(f.n.a, '') AS audit, sha256(coalesce(substr(f.n.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN stat ON stat.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM o.conv_id AND dp.p = 1
+"""
+
+ORACLES = {
+    "op1_chat_formatting": OP1, "op2_url_filters": OP2, "op4_ngram_jaccard_join": OP4, "op5_html_extraction": OP5, "op6_benchmark_decontamination": OP6, "op11_merkle_manifest": OP11,
+    "op13_conversation_repair": OP13,
+}

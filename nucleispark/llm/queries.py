@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nucleispark.llm import bpe, chat, decontaminate, html_text, language, near_duplicates, oracles, quality, substring_dedup, transport, url_filter
+from nucleispark.llm import bpe, chat, conversation_repair, decontaminate, html_text, language, merkle, near_duplicates, oracles, quality, substring_dedup, token_counts, transport, url_filter
 from nucleispark.llm._text import modulus_of_id
 from nucleispark.session import on_workers, read
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(read(on_workers(spark), sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in columns]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(read(on_workers(spark), sf_dir, "documents"), columns, id="doc_id", tree="source", tampered=tampered, when=even)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(on_workers(spark), sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(conversation_repair.damaged(read(on_workers(spark), sf_dir, "conversations")), gone="gone")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -75,7 +90,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_chat_formatting, op2_url_filters, op3_media_columns, op4_ngram_jaccard_join, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id, op10_substring_dedup, pipeline,
+        op1_chat_formatting, op2_url_filters, op3_media_columns, op4_ngram_jaccard_join, op5_html_extraction, op6_benchmark_decontamination, op7_quality, op8_bpe, op9_language_id, op10_substring_dedup, op11_merkle_manifest, op12_token_counts,
+        op13_conversation_repair, pipeline,
     )
 }
 ORACLES = oracles.ORACLES
