@@ -22,7 +22,6 @@ from nucleispark.session import checkpointed
 
 #: Children of a node, and levels of a superblock (3 ** 7 = 2187 places).
 FAN, DEPTH = 3, 7
-_SPAN = FAN**DEPTH
 _OUTER = "before array<string>, after array<string>, top string, root string"
 
 
@@ -54,10 +53,10 @@ def _placed(numbered: DataFrame, shifts: DataFrame, tree: str) -> DataFrame:
     return joined.withColumn("pos", (F.col("_at") + F.col("_shift")).cast("long")).drop("_part", "_at", "_t", "_p", "_n", "_shift")
 
 
-def _levels(n: int) -> int:
-    """Levels that a superblock of a tree of n nodes reduces: DEPTH, or fewer if the tree is reduced to one node before."""
+def _levels(n: int, depth: int) -> int:
+    """Levels that a superblock of a tree of n nodes reduces: depth, or fewer if the tree is reduced to one node before."""
     k = 0
-    while n > 1 and k < DEPTH:
+    while n > 1 and k < depth:
         n, k = -(-n // FAN), k + 1
     return k
 
@@ -71,11 +70,11 @@ def _reduce(hashes: list[str], k: int) -> list[list[str]]:
     return levels
 
 
-def _blocks(pdf: pd.DataFrame) -> list[tuple[int, int]]:
+def _blocks(pdf: pd.DataFrame, span: int) -> list[tuple[int, int]]:
     """Ranges of rows of each superblock, of rows sorted by tree and place."""
     if not len(pdf):
         return []
-    t, b = pdf["tree"].to_numpy(), pdf["pos"].to_numpy() // _SPAN
+    t, b = pdf["tree"].to_numpy(), pdf["pos"].to_numpy() // span
     cut = np.flatnonzero((t[1:] != t[:-1]) | (b[1:] != b[:-1])) + 1
     return list(zip([0, *cut.tolist()], [*cut.tolist(), len(pdf)], strict=True))
 
@@ -85,20 +84,21 @@ def _grouped(rows: DataFrame, place: Column, groups: int) -> DataFrame:
     return rows.withColumn("_g", F.pmod(F.xxhash64("tree", place), F.lit(groups)))
 
 
-def _tops(nodes: DataFrame, groups: int) -> DataFrame:
+def _tops(nodes: DataFrame, groups: int, depth: int) -> DataFrame:
     """(tree, pos, n, h): the next tier, superblocks reduced to their top nodes."""
+    span = FAN**depth
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["tree", "pos"], ignore_index=True)
         out = []
-        for a, b in _blocks(pdf):
+        for a, b in _blocks(pdf, span):
             n = int(pdf["n"].iat[a])
-            top = _reduce(pdf["h"].iloc[a:b].tolist(), _levels(n))[-1]
-            out.append((pdf["tree"].iat[a], pdf["pos"].iat[a] // _SPAN, -(-n // _SPAN), top[0]))
+            top = _reduce(pdf["h"].iloc[a:b].tolist(), _levels(n, depth))[-1]
+            out.append((pdf["tree"].iat[a], pdf["pos"].iat[a] // span, -(-n // span), top[0]))
         return pd.DataFrame(out, columns=["tree", "pos", "n", "h"])
 
     own = nodes.select("tree", "pos", "n", "h")
-    return _grouped(own, F.floor(F.col("pos") / _SPAN), groups).groupBy("_g").applyInPandas(one, "tree long, pos long, n long, h string")
+    return _grouped(own, F.floor(F.col("pos") / span), groups).groupBy("_g").applyInPandas(one, "tree long, pos long, n long, h string")
 
 
 def _siblings(levels: list[list[str]], i: int, k: int) -> tuple[list[str], list[str]]:
@@ -112,57 +112,60 @@ def _siblings(levels: list[list[str]], i: int, k: int) -> tuple[list[str], list[
     return before, after
 
 
-def _outer_of_nodes(nodes: DataFrame, above: DataFrame, groups: int) -> DataFrame:
+def _outer_of_nodes(nodes: DataFrame, above: DataFrame, groups: int, depth: int) -> DataFrame:
     """(tree, pos, before, after, top, root) of each node of a tier, from those of the tier above."""
+    span = FAN**depth
 
     def one(own: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["tree", "pos"], ignore_index=True)
         up = {(t, p): rest for t, p, *rest in outer[["tree", "pos", "before", "after", "top", "root"]].itertuples(index=False)}
         out = []
-        for a, b in _blocks(own):
-            k = _levels(int(own["n"].iat[a]))
+        for a, b in _blocks(own, span):
+            k = _levels(int(own["n"].iat[a]), depth)
             levels = _reduce(own["h"].iloc[a:b].tolist(), k)
             t, base = own["tree"].iat[a], own["pos"].iat[a]
-            far_before, far_after, top, root = up[t, base // _SPAN]
+            far_before, far_after, top, root = up[t, base // span]
             for i in range(b - a):
                 before, after = _siblings(levels, i, k)
                 out.append((t, base + i, [*before, *far_before], [*after, *far_after], top, root))
         return pd.DataFrame(out, columns=["tree", "pos", "before", "after", "top", "root"])
 
-    left = _grouped(nodes.select("tree", "pos", "n", "h"), F.floor(F.col("pos") / _SPAN), groups).groupBy("_g")
+    left = _grouped(nodes.select("tree", "pos", "n", "h"), F.floor(F.col("pos") / span), groups).groupBy("_g")
     return left.cogroup(_grouped(above, F.col("pos"), groups).groupBy("_g")).applyInPandas(one, f"tree long, pos long, {_OUTER}")
 
 
-def _up(nodes: DataFrame) -> tuple[list[DataFrame], list[int]]:
+def _up(nodes: DataFrame, depth: int) -> tuple[list[DataFrame], list[int]]:
     """The tiers of trees of nodes (tree, pos, n, h), up to one node a tree, and how many groups the superblocks of each are dealt to."""
+    span = FAN**depth
     tiers, groups = [nodes], []
     while True:
         rows, most = tiers[-1].agg(F.count("*"), F.max("n")).first()
-        groups.append(max(1, -(-rows // _SPAN)))
+        groups.append(max(1, -(-rows // span)))
         if len(tiers) > 1 and (most or 0) <= 1:
             return tiers, groups
-        tiers.append(checkpointed(_tops(tiers[-1], groups[-1])))
+        tiers.append(checkpointed(_tops(tiers[-1], groups[-1], depth)))
 
 
-def _down(tiers: list[DataFrame], groups: list[int], above: DataFrame) -> DataFrame:
+def _down(tiers: list[DataFrame], groups: list[int], above: DataFrame, depth: int) -> DataFrame:
     """From the outer nodes of the trees' tops those of the lowest tier's superblocks."""
     for tier, g in list(zip(tiers, groups, strict=True))[-2:0:-1]:
-        above = checkpointed(_outer_of_nodes(tier, above, g))
+        above = checkpointed(_outer_of_nodes(tier, above, g, depth))
     return above
 
 
-def _finish(nodes: DataFrame, above: DataFrame, groups: int) -> DataFrame:
+def _finish(nodes: DataFrame, above: DataFrame, groups: int, depth: int) -> DataFrame:
     """Leaves cogrouped with their superblocks' outer nodes: reduced, proven and folded."""
+    span = FAN**depth
 
     def one(own: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["tree", "pos"], ignore_index=True)
         up = {(t, p): rest for t, p, *rest in outer[["tree", "pos", "before", "after", "top", "root"]].itertuples(index=False)}
         out = []
-        for a, b in _blocks(own):
-            k = _levels(int(own["n"].iat[a]))
+        for a, b in _blocks(own, span):
+            k = _levels(int(own["n"].iat[a]), depth)
             hashes = own["h"].iloc[a:b].tolist()
             levels = _reduce(hashes, k)
-            far_before, far_after, top, root = up[own["tree"].iat[a], own["pos"].iat[a] // _SPAN]
+            far_before, far_after, top, root = up[own["tree"].iat[a], own["pos"].iat[a] // span]
             for i, (key, h, new) in enumerate(zip(own["id"].iloc[a:b], hashes, own["changed"].iloc[a:b], strict=True)):
                 before, after = _siblings(levels, i, k)
                 pairs = [*zip(before, after, strict=True), *zip(far_before, far_after, strict=True)]
@@ -174,17 +177,18 @@ def _finish(nodes: DataFrame, above: DataFrame, groups: int) -> DataFrame:
         return pd.DataFrame(out, columns=["id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"], dtype=object)
 
     kind = nodes.schema["id"].dataType.simpleString()
-    left = _grouped(nodes, F.floor(F.col("pos") / _SPAN), groups).groupBy("_g")
+    left = _grouped(nodes, F.floor(F.col("pos") / span), groups).groupBy("_g")
     return left.cogroup(_grouped(above, F.col("pos"), groups).groupBy("_g")).applyInPandas(one, f"id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
 
 
-def manifest(rows: DataFrame, columns: Sequence[str], *, id: str, tree: str, tampered: Sequence[Column] | None = None, when: Column | None = None) -> DataFrame:
+def manifest(rows: DataFrame, columns: Sequence[str], *, id: str, tree: str, tampered: Sequence[Column] | None = None, when: Column | None = None, depth: int = DEPTH) -> DataFrame:
     """One row per row: id, leaf, subroot (of its tree's leaves), root, proof_sha256 (of all siblings on the way, in order),
     folded_root (from the tampered columns' leaf where `when` holds, else its own, and the siblings) and verified (equals root).
 
     Leaves of a tree go by id, nulls first, then by their hash; trees go by their value, null first. Null values have a mark of
     their own and differ from empty ones. Equal rows are leaves of their own, and alike but for their place. Texts are hashed
-    where they are read; only hashes are shuffled. An empty table gives no rows; other columns are not looked at.
+    where they are read; only hashes are shuffled. An empty table gives no rows; other columns are not looked at. depth: levels of a
+    superblock; the result is the same for all.
     """
     changed = F.lit(None).cast("string") if when is None or tampered is None else F.when(when, leaf_hash(tampered))
     leaves = checkpointed(rows.select(F.col(f"`{id}`").alias("id"), F.col(f"`{tree}`").alias("source"), leaf_hash([F.col(f"`{c}`") for c in columns]).alias("h"), changed.alias("changed")))
@@ -192,12 +196,12 @@ def manifest(rows: DataFrame, columns: Sequence[str], *, id: str, tree: str, tam
     sizes, places = _ranged(shifts.groupBy(F.col("_t").alias("source")).agg(F.sum("_n").alias("n")).withColumn("all", F.lit(0)), "all", ["source"])
     trees = _placed(sizes, places, "all").select(F.col("source").alias("_source"), F.col("pos").alias("tree"), "n")
     nodes = checkpointed(_placed(numbered, shifts.join(trees, shifts["_t"].eqNullSafe(trees["_source"])).drop("_source"), "source").select("id", "tree", "pos", "n", "h", "changed"))
-    tiers, groups = _up(nodes)
+    tiers, groups = _up(nodes, depth)
     # The trees' tops are the leaves of the tree above.
     subroots = tiers[-1].select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(tiers[-1].count()).cast("long").alias("n"), "h")
-    upper, upper_groups = _up(subroots)
+    upper, upper_groups = _up(subroots, depth)
     none = F.array().cast("array<string>")
     last = upper[-1].select("tree", "pos", none.alias("before"), none.alias("after"), F.col("h").alias("top"), F.col("h").alias("root"))
-    far = _outer_of_nodes(subroots, _down(upper, upper_groups, last), upper_groups[0]).select(F.col("pos").alias("tree"), "before", "after", "root")
+    far = _outer_of_nodes(subroots, _down(upper, upper_groups, last, depth), upper_groups[0], depth).select(F.col("pos").alias("tree"), "before", "after", "root")
     tops = tiers[-1].select("tree", "pos", F.col("h").alias("top")).join(far, "tree").select("tree", "pos", "before", "after", "top", "root")
-    return _finish(nodes, _down(tiers, groups, checkpointed(tops)), groups[0]).withColumnRenamed("id", id)
+    return _finish(nodes, _down(tiers, groups, checkpointed(tops), depth), groups[0], depth).withColumnRenamed("id", id)
