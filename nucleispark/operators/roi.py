@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import polygon_area
-from nucleispark.kernels import components, contour
-from nucleispark.operators.batches import deal
+from nucleispark.operators import regions
 
 
 def roi_cells(density: DataFrame, classes: tuple[int, ...] = (0,)) -> DataFrame:
@@ -19,22 +16,10 @@ def roi_cells(density: DataFrame, classes: tuple[int, ...] = (0,)) -> DataFrame:
     return density.filter(F.col("cls").isin(*classes) & (F.col("d") > 0)).select("slide_id", "gr", "gc").distinct()
 
 
-def fill_and_label(cells: DataFrame, sizes: DataFrame, least_share: float = 0.0) -> DataFrame:
+def fill_and_label(cells: DataFrame, sizes: DataFrame, least_share: float = 0.0, block: int = regions.BLOCK) -> DataFrame:
     """(slide_id, gr, gc, component): cells with holes filled, numbered by 4-connected part; parts below a share of the grid go.
-
-    One task holds one slide's mask, of h * w / divisor ** 2 cells, some hundred thousand for the largest slides.
-    """
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.zeros((int(pdf["gh"].iloc[0]), int(pdf["gw"].iloc[0])), bool)
-        mask[pdf["gr"], pdf["gc"]] = True
-        mask = components.fill_holes(mask)
-        numbers, _ = components.label(components.remove_small(mask, least_share * mask.size) if least_share else mask)
-        r, c = np.nonzero(numbers)
-        return pd.DataFrame({"slide_id": pdf["slide_id"].iloc[0], "gr": r, "gc": c, "component": numbers[r, c]})
-
-    kind = cells.schema["slide_id"].dataType.simpleString()
-    return deal(cells.join(sizes, "slide_id"), "slide_id").groupBy("slide_id").applyInPandas(one, f"slide_id {kind}, gr int, gc int, component int")
+    Worked out by blocks of block * block cells, whatever the slide's size."""
+    return regions.run_cells(regions.filled_runs(cells, sizes, least_share, block))
 
 
 def quad_codes(cells: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -57,19 +42,9 @@ def roi_area(cells: DataFrame, sizes: DataFrame, divisor: int) -> DataFrame:
     return quad_codes(cells, sizes).groupBy("slide_id").agg((F.sum(share) * divisor**2).alias("roi_area"))
 
 
-def roi_polygons(cells: DataFrame, sizes: DataFrame, divisor: int, least_share: float = 0.05) -> DataFrame:
-    """(slide_id, ring, vertices, area): contours in slide pixels, without those below a share of all area."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.zeros((int(pdf["gh"].iloc[0]), int(pdf["gw"].iloc[0])), bool)
-        mask[pdf["gr"], pdf["gc"]] = True
-        rings = [r * divisor for r in contour.contours(mask)]
-        areas = [contour.area(r) for r in rings]
-        kept = [i for i, a in enumerate(areas) if sum(areas) and a / sum(areas) >= least_share]
-        return pd.DataFrame({"slide_id": pdf["slide_id"].iloc[0], "ring": range(len(kept)), "vertices": pd.Series([[{"x": float(x), "y": float(y)} for y, x in rings[i]] for i in kept], dtype=object), "area": [areas[i] for i in kept]})
-
-    kind = cells.schema["slide_id"].dataType.simpleString()
-    return deal(cells.join(sizes, "slide_id"), "slide_id").groupBy("slide_id").applyInPandas(one, f"slide_id {kind}, ring int, vertices array<struct<x:double,y:double>>, area double")
+def roi_polygons(cells: DataFrame, sizes: DataFrame, divisor: int, least_share: float = 0.05, block: int = regions.BLOCK) -> DataFrame:
+    """(slide_id, ring, vertices, area): contours in slide pixels, without those below a share of all area; traced by blocks."""
+    return regions.contours(cells, sizes, divisor, least_share, block)
 
 
 def in_polygon(x: Column, y: Column, vertices: Column) -> Column:

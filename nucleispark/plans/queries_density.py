@@ -267,28 +267,60 @@ def A12_quad_area(spark, sf_dir):
     return roi.roi_area(roi.roi_cells(_pooled(spark, sf_dir)), density.pooled_sizes(slides, 32), 32)
 
 
-@query(None)
-def A12_roi_area(spark, sf_dir):
-    on_workers(spark)
+# Background that leads to the grid's edge, step by step; what is left is the mask with its holes filled.
+_FILLED = f"""{_ROI}, near(dr, dc) AS (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)), bg AS (SELECT slide_id, CAST(r AS INT) AS gr, CAST(c AS INT) AS gc FROM slides, range(128) AS a(r), range(128) AS b(c) WHERE (slide_id, r, c) NOT IN (SELECT (slide_id, gr, gc) FROM roi)),
+  way_out AS (SELECT * FROM bg WHERE gr IN (0, 127) OR gc IN (0, 127)
+    UNION SELECT bg.slide_id, bg.gr, bg.gc FROM way_out o JOIN near ON true JOIN bg ON bg.slide_id = o.slide_id AND bg.gr = o.gr + dr AND bg.gc = o.gc + dc),
+  filled AS (SELECT slide_id, CAST(gr AS INT) AS gr, CAST(gc AS INT) AS gc FROM roi UNION ALL SELECT * FROM bg WHERE (slide_id, gr, gc) NOT IN (SELECT (slide_id, gr, gc) FROM way_out))"""
+_FILLED_QUADS = f"""{_FILLED}, q AS (SELECT slide_id, gr - dr AS qr, gc - dc AS qc, CAST(sum(b) AS INT) AS code FROM filled, (VALUES (0, 0, 1), (0, 1, 2), (1, 0, 4), (1, 1, 8)) AS v(dr, dc, b) GROUP BY ALL)"""
+
+
+def _region(spark, sf_dir):
     (slides,) = tables(spark, sf_dir, "slides")
-    sizes = density.pooled_sizes(slides, 32)
-    return roi.roi_area(roi.fill_and_label(roi.roi_cells(_pooled(spark, sf_dir)), sizes), sizes, 32)
+    return roi.roi_cells(_pooled(on_workers(spark), sf_dir)), density.pooled_sizes(slides, 32)
 
 
-@query(None)
+@query(
+    f"""WITH RECURSIVE {_FILLED_QUADS} SELECT slide_id, CAST(sum(CASE WHEN code IN (6, 9) THEN 0.25 WHEN bit_count(code) = 1 THEN 0.125 WHEN bit_count(code) = 2 THEN 0.5 WHEN bit_count(code) = 3 THEN 0.875 ELSE 1 END) * 1024 AS DOUBLE) AS roi_area
+      FROM q WHERE qr BETWEEN 0 AND 126 AND qc BETWEEN 0 AND 126 GROUP BY slide_id""",
+    "detections", "slides",
+)
+def A12_roi_area(spark, sf_dir):
+    cells, sizes = _region(spark, sf_dir)
+    return roi.roi_area(roi.fill_and_label(cells, sizes), sizes, 32)
+
+
+@query(
+    f"""WITH RECURSIVE {_FILLED}, part USING KEY (slide_id, gr, gc) AS (SELECT slide_id, gr, gc, gr * 128 + gc AS root FROM filled
+        UNION SELECT f.slide_id, f.gr, f.gc, min(p.root) AS root FROM part p JOIN near ON true JOIN recurring.part f ON f.slide_id = p.slide_id AND f.gr = p.gr + dr AND f.gc = p.gc + dc WHERE p.root < f.root GROUP BY f.slide_id, f.gr, f.gc),
+      big AS (SELECT slide_id, root FROM part GROUP BY ALL HAVING count(*) >= 0.0001 * 16384)
+      SELECT slide_id, gr, gc, CAST(dense_rank() OVER (PARTITION BY slide_id ORDER BY root) AS INT) AS component FROM part SEMI JOIN big USING (slide_id, root)""",
+    "detections", "slides",
+)
 def G10_fill_and_label(spark, sf_dir):
-    on_workers(spark)
-    (slides,) = tables(spark, sf_dir, "slides")
-    return roi.fill_and_label(roi.roi_cells(_pooled(spark, sf_dir)), density.pooled_sizes(slides, 32), 0.0001)
+    """In blocks of 32 cells, so that a slide here has several."""
+    return roi.fill_and_label(*_region(spark, sf_dir), 0.0001, 32)
 
 
-@query(None)
+_LINES = ", ".join(f"({c}, {sy}, {sx}, {ey}, {ex})" for c, sy, sx, ey, ex in (
+    (1, 1, 0, 0, 1), (2, 0, 1, 1, 2), (3, 1, 0, 1, 2), (4, 2, 1, 1, 0), (5, 2, 1, 0, 1), (6, 0, 1, 1, 2), (6, 2, 1, 1, 0), (7, 2, 1, 1, 2), (8, 1, 2, 2, 1), (9, 1, 0, 0, 1), (9, 1, 2, 2, 1),
+    (10, 0, 1, 2, 1), (11, 1, 0, 2, 1), (12, 1, 2, 1, 0), (13, 1, 2, 0, 1), (14, 0, 1, 1, 0),
+))
+_CUT = "greatest(0, least({} / 2, 127))"
+_RINGS = f"""{_FILLED_QUADS}, line(code, sy, sx, ey, ex) AS (VALUES {_LINES}), piece AS (SELECT slide_id, 2 * qr + sy AS y, 2 * qc + sx AS x, 2 * qr + ey AS y2, 2 * qc + ex AS x2 FROM q JOIN line USING (code)),
+  term AS (SELECT slide_id, y * 1000 + x AS here, y2 * 1000 + x2 AS after, {_CUT.format('x')} AS cx, {_CUT.format('y')} AS cy, {_CUT.format('x')} * {_CUT.format('y2')} - {_CUT.format('x2')} * {_CUT.format('y')} AS twice FROM piece),
+  walk AS (SELECT slide_id, here AS start, after AS here, 1 AS n, twice, cx, cy FROM term
+    UNION ALL SELECT w.slide_id, start, t.after, n + 1, w.twice + t.twice, w.cx + t.cx, w.cy + t.cy FROM walk w JOIN term t ON t.slide_id = w.slide_id AND t.here = w.here WHERE w.here > start),
+  ring AS (SELECT slide_id, CAST(row_number() OVER (PARTITION BY slide_id ORDER BY start) - 1 AS INT) AS ring, n + 1 AS n_vertices, abs(twice) / 2 * 1024 AS area, cx * 32 AS x_sum, cy * 32 AS y_sum FROM walk WHERE here = start)"""
+
+
+@query(f"WITH RECURSIVE {_RINGS} SELECT * FROM ring", "detections", "slides")
 def G11_roi_polygons(spark, sf_dir):
-    on_workers(spark)
-    (slides,) = tables(spark, sf_dir, "slides")
-    sizes = density.pooled_sizes(slides, 32)
-    rings = roi.roi_polygons(roi.fill_and_label(roi.roi_cells(_pooled(spark, sf_dir)), sizes), sizes, 32, 0.0)
-    return rings.select("slide_id", "ring", F.size("vertices").alias("n_vertices"), "area")
+    """In blocks of 32 cells, so that contours go over several; the sums are of the vertices without the last, which repeats the first."""
+    cells, sizes = _region(spark, sf_dir)
+    rings = roi.roi_polygons(roi.fill_and_label(cells, sizes), sizes, 32, 0.0, 32)
+    total = lambda c: F.aggregate(F.slice("vertices", 2, F.size("vertices")), F.lit(0.0), lambda s, p: s + p[c])
+    return rings.select("slide_id", "ring", F.size("vertices").alias("n_vertices"), "area", total("x").alias("x_sum"), total("y").alias("y_sum"))
 
 
 @query(None)
