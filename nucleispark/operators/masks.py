@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import ratio
 from nucleispark.kernels.components import label as components
-from nucleispark.kernels.contour import area, contours, fill_polygon, resize
+from nucleispark.kernels.contour import area, contours, resize
 from nucleispark.kernels.regionprops import NAMES, region_properties
+from nucleispark.operators import raster
 from nucleispark.operators.batches import deal
 
 
@@ -82,15 +83,11 @@ def merge_masks(instances: DataFrame, key: str) -> DataFrame:
 
 
 def polygons_to_pixels(polygons: DataFrame, key: str, h: int, w: int) -> DataFrame:
-    """(key, y, x): pixels inside or on polygons (key, vertices array<struct<x,y>>)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for k, v in zip(pdf[key], pdf["vertices"], strict=True):
-                y, x = np.nonzero(fill_polygon(np.array([(p["x"], p["y"]) for p in v]), h, w)) if len(v) else ([], [])
-                yield pd.DataFrame({key: k, "y": y, "x": x})
-
-    return polygons.select(key, "vertices").mapInPandas(run, f"{key} {polygons.schema[key].dataType.simpleString()}, y int, x int")
+    """(key, y, x): pixels of the grid inside of or on polygons (key, vertices array<struct<x,y>>), those of a key being the outer and
+    inner rings of one shape (even-odd rule)."""
+    runs = raster.merged_runs(raster.polygon_runs(polygons, [key]), [key]).filter((F.col("y") >= 0) & (F.col("y") < h))
+    cut = runs.withColumns({"x0": F.greatest("x0", F.lit(0)), "x1": F.least("x1", F.lit(w - 1))}).filter("x0 <= x1")
+    return raster.run_pixels(cut).select(key, "y", "x")
 
 
 def pixels_to_polygons(pixels: DataFrame, key: str, h: int, w: int, scale: float = 1.0) -> DataFrame:
@@ -121,21 +118,10 @@ def mask_pixels(dets: DataFrame, side: int = 28) -> DataFrame:
 
 
 def polygon_pixels(polygons: DataFrame) -> DataFrame:
-    """(slide_id, y, x, label): the pixels of each polygon (slide_id, label, vertices), filled in its own bounding box."""
-    schema = f"slide_id {polygons.schema['slide_id'].dataType.simpleString()}, y int, x int, label {polygons.schema['label'].dataType.simpleString()}"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for v, slide, label in zip(pdf["vertices"], pdf["slide_id"], pdf["label"], strict=True):
-                if v is None or not len(v):
-                    continue
-                p = np.array([(q["x"], q["y"]) for q in v], float)
-                x, y = np.floor(p.min(0)).astype(int)
-                w, h = np.ceil(p.max(0)).astype(int) - (x, y) + 1
-                i, j = np.nonzero(fill_polygon(p - (x, y), int(h), int(w)))
-                yield pd.DataFrame({"slide_id": slide, "y": i + y, "x": j + x, "label": label})
-
-    return polygons.select("slide_id", "label", "vertices").mapInPandas(run, schema)
+    """(slide_id, y, x, label): the pixels of each polygon (slide_id, label, vertices); where they overlap the greatest label."""
+    own = polygons.select("slide_id", "label", "vertices", F.monotonically_increasing_id().alias("_i"))
+    runs = raster.polygon_runs(own, ["slide_id", "label", "_i"]).drop("_i")
+    return raster.run_pixels(raster.label_runs(runs)).select("slide_id", "y", "x", "label")
 
 
 def region_props(dets: DataFrame, side: int = 28, names: tuple[str, ...] = NAMES, more: dict[str, Callable[[np.ndarray], float | None]] | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nucleispark.operators import raster
+
 from nucleispark.functions.scalars import ratio
 
 LUMA = (0.2125, 0.7154, 0.0721)
@@ -146,16 +148,10 @@ def label_image(pixels: DataFrame) -> DataFrame:
 
 def filled_pixels(dets: DataFrame) -> DataFrame:
     """The label image of filled integer boxes (x1, y1 outside)."""
-    rows = dets.filter("x1 > x0 and y1 > y0").select("slide_id", "label", "x0", "x1", F.explode(F.sequence("y0", F.col("y1") - 1)).alias("y"))
-    return label_image(rows.select("slide_id", "label", "y", F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x")))
+    return raster.run_pixels(raster.label_runs(raster.box_runs(dets))).select("slide_id", "y", "x", "label")
 
 
 def outline_pixels(dets: DataFrame, border: int = 3) -> DataFrame:
     """(slide_id, y, x, label): pixels within `border` of the edges of integer boxes (x1, y1 outside); of boxes that overlap the greatest label.
-    Boxes of at most two borders are filled."""
-    grid = dets.select("slide_id", "label", "x0", "y0", "x1", "y1", F.explode(F.sequence("y0", F.col("y1") - 1)).alias("y"))
-    edge_row = (F.col("y") < F.col("y0") + border) | (F.col("y") >= F.col("y1") - border)
-    left = F.sequence(F.col("x0"), F.least(F.col("x0") + border, F.col("x1")) - 1)
-    right = F.sequence(F.greatest(F.col("x1") - border, F.col("x0")), F.col("x1") - 1)
-    xs = F.when(edge_row, F.sequence("x0", F.col("x1") - 1)).otherwise(F.array_union(left, right))
-    return grid.select("slide_id", "label", "y", F.explode(xs).alias("x")).groupBy("slide_id", "y", "x").agg(F.max("label").alias("label"))
+    Boxes of at most two borders are filled. raster.label_runs gives the same image without a row for each pixel."""
+    return raster.run_pixels(raster.label_runs(raster.outline_runs(dets, border))).select("slide_id", "y", "x", "label")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nucleispark.operators import boxes, masks, pixels
+from nucleispark.operators import boxes, masks, pixels, raster
 from nucleispark.plans.fixtures import tables
 from nucleispark.plans.registry import query
 from nucleispark.session import on_workers
@@ -96,12 +96,61 @@ def M3_split_masks(spark, sf_dir):
     return masks.split_masks(rows, "vec_id", 8, 8)
 
 
-@query(None)
+@query("SELECT vec_id, CAST(y AS INT) AS y, CAST(x AS INT) AS x FROM pixels WHERE v > 0", "pixels")
 def M1_mask_polygons(spark, sf_dir):
-    """Contours of masks as polygons, and their pixels again."""
+    """Contours of masks as polygons, outer and inner rings, and their pixels again, which are the mask's."""
     on_workers(spark)
     rings = masks.pixels_to_polygons(_pixels(spark, sf_dir).filter("mask"), "vec_id", 8, 8)
-    return masks.polygons_to_pixels(rings.select("vec_id", "vertices"), "vec_id", 8, 8).distinct()
+    return masks.polygons_to_pixels(rings.select("vec_id", "vertices"), "vec_id", 8, 8)
+
+
+# Each nucleus as a slanted six-cornered shape with corners between pixels and on them.
+_HEX = """[{'x': x0 + (x1 - x0) / 4, 'y': y0}, {'x': x1, 'y': y0 + (y1 - y0) / 3}, {'x': x1 - 2, 'y': y1 - 1.25E0}, {'x': x0 + (x1 - x0) / 2, 'y': y1}, {'x': x0 + 1, 'y': y1}, {'x': x0, 'y': (y0 + y1) / 2}]"""
+_FILL = f"""hexa AS (SELECT slide_id, nucleus_id, label, {_HEX} AS v FROM detections),
+  edge AS (SELECT slide_id, nucleus_id, label, s[1].x AS ax, s[1].y AS ay, s[2].x AS bx, s[2].y AS by_ FROM (SELECT slide_id, nucleus_id, label, unnest(list_zip(v, list_concat(v[2:], v[1:1]))) AS s FROM hexa)),
+  up AS (SELECT *, (bx - ax) * (y - ay) / (by_ - ay) + ax AS x FROM (SELECT *, unnest(range(CAST(ceil(least(ay, by_)) AS INT), CAST(floor(greatest(ay, by_)) AS INT) + 1)) AS y FROM edge WHERE ay <> by_)),
+  spans AS (SELECT slide_id, nucleus_id, label, y, ceil(x) AS x0, ceil(lead(x) OVER w) - 1 AS x1, row_number() OVER w AS k FROM up WHERE y < greatest(ay, by_) WINDOW w AS (PARTITION BY slide_id, nucleus_id, y ORDER BY x)),
+  drawn AS (SELECT slide_id, nucleus_id, label, y, CAST(x0 AS INT) AS x0, CAST(x1 AS INT) AS x1 FROM spans WHERE k % 2 = 1 AND x0 <= x1
+    UNION ALL SELECT slide_id, nucleus_id, label, y, CAST(round(x) AS INT), CAST(round(x) AS INT) FROM up WHERE abs(x - round(x)) < 1e-9
+    UNION ALL SELECT slide_id, nucleus_id, label, CAST(ay AS INT), CAST(ceil(least(ax, bx)) AS INT), CAST(floor(greatest(ax, bx)) AS INT) FROM edge WHERE ay = by_ AND ay = round(ay) AND ceil(least(ax, bx)) <= floor(greatest(ax, bx)))"""
+
+
+def _hexagons(dets):
+    p = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
+    return F.array(p("x0 + (x1 - x0) / 4", "y0"), p("x1", "y0 + (y1 - y0) / 3"), p("x1 - 2", "y1 - 1.25E0"), p("x0 + (x1 - x0) / 2", "y1"), p("x0 + 1", "y1"), p("x0", "(y0 + y1) / 2"))
+
+
+@query(
+    f"""WITH {_FILL}, px AS (SELECT DISTINCT slide_id, nucleus_id, y, unnest(range(x0, x1 + 1)) AS x FROM drawn)
+      SELECT slide_id, nucleus_id, count(*) AS n, CAST(sum(x) AS BIGINT) AS sx, CAST(sum(y) AS BIGINT) AS sy, CAST(sum(x * y) AS BIGINT) AS sxy FROM px GROUP BY ALL""",
+    "detections",
+)
+def M1_polygon_fill(spark, sf_dir):
+    """Sums over the pixels of each nucleus' polygon, drawn row by row."""
+    (dets,) = tables(spark, sf_dir, "detections")
+    key = ["slide_id", "nucleus_id"]
+    runs = raster.merged_runs(raster.polygon_runs(dets.select(*key, _hexagons(dets).alias("vertices")), key), key)
+    n, s = F.col("x1") - F.col("x0") + 1, (F.col("x0") + F.col("x1")) * (F.col("x1") - F.col("x0") + 1) / 2
+    whole = lambda c: F.sum(c).cast("long")
+    return runs.groupBy(*key).agg(whole(n).alias("n"), whole(s).alias("sx"), whole(n * F.col("y")).alias("sy"), whole(s * F.col("y")).alias("sxy"))
+
+
+@query(
+    f"""WITH {_FILL}, px AS (SELECT DISTINCT slide_id, nucleus_id, y, unnest(range(x0, x1 + 1)) AS x FROM drawn),
+      m AS (SELECT slide_id, nucleus_id, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1, avg(x) AS xc, avg(y) AS yc, var_pop(y) + 1 / 12 AS a, var_pop(x) + 1 / 12 AS b, covar_pop(x, y) AS c FROM px GROUP BY ALL),
+      e AS (SELECT *, (a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c * c) AS big, (a + b) / 2 - sqrt(((a - b) / 2) ** 2 + c * c) AS small FROM m)
+      SELECT slide_id, nucleus_id, area, x0, y0, x1, y1, round(xc, 6) AS xc, round(yc, 6) AS yc, round(area / ((x1 - x0 + 1) * (y1 - y0 + 1)), 6) AS extent, round(sqrt(1 - small / big), 5) AS eccentricity, round(4 * sqrt(big), 6) AS major_axis_length,
+        round(4 * sqrt(small), 6) AS minor_axis_length,
+        round(CASE WHEN abs(a - b) < 1e-9 THEN CASE WHEN abs(c) < 1e-9 THEN 0 ELSE sign(c) * pi() / 4 END ELSE 0.5 * atan2(2 * CASE WHEN abs(c) < 1e-9 THEN 0 ELSE c END, a - b) END, 5) AS orientation FROM e""",
+    "detections",
+)
+def D4_run_moments(spark, sf_dir):
+    """Area, box, centre, axes, eccentricity, extent and orientation of each nucleus' polygon, by sums over its runs."""
+    (dets,) = tables(spark, sf_dir, "detections")
+    key = ["slide_id", "nucleus_id"]
+    found = raster.run_moments(raster.merged_runs(raster.polygon_runs(dets.select(*key, _hexagons(dets).alias("vertices")), key), key), key)
+    places = {"eccentricity": 5, "orientation": 5}
+    return found.select(*key, "area", "x0", "y0", "x1", "y1", *(F.round(c, places.get(c, 6)).alias(c) for c in ("xc", "yc", "extent", "eccentricity", "major_axis_length", "minor_axis_length", "orientation")))
 
 
 @query(None)
@@ -228,3 +277,40 @@ def G12_outline_pixels_all(spark, sf_dir):
     """All clipped detections of a class, as boxes of several labels overlap; the one above has the SQL for one label."""
     dets, slides = tables(spark, sf_dir, "detections", "slides")
     return pixels.outline_pixels(boxes.clip_boxes(dets.filter("label > 0"), slides))
+
+
+_BOXES = """cut AS (SELECT d.slide_id, label, CAST(greatest(0, least(round_even(x0, 0), w)) AS INT) AS x0, CAST(greatest(0, least(round_even(y0, 0), h)) AS INT) AS y0, CAST(greatest(0, least(round_even(x1, 0), w)) AS INT) AS x1, CAST(greatest(0, least(round_even(y1, 0), h)) AS INT) AS y1
+    FROM detections d JOIN slides USING (slide_id) WHERE label > 0 {}), box AS (SELECT *, unnest(range(y0, y1)) AS y FROM cut WHERE x0 < x1 AND y0 < y1),
+  line AS (SELECT slide_id, label, y, x0, x1 - 1 AS x1 FROM box WHERE y < y0 + 3 OR y >= y1 - 3 OR x1 - x0 <= 6
+    UNION ALL SELECT slide_id, label, y, x0, x0 + 2 FROM box WHERE y >= y0 + 3 AND y < y1 - 3 AND x1 - x0 > 6 UNION ALL SELECT slide_id, label, y, x1 - 3, x1 - 1 FROM box WHERE y >= y0 + 3 AND y < y1 - 3 AND x1 - x0 > 6)"""
+# A sweep over the run ends of each row of `line`.
+_SWEEP = """ev AS (SELECT slide_id, y, x0 AS x, label AS l, x1 AS t FROM line UNION ALL SELECT slide_id, y, x1 + 1, NULL, NULL FROM line),
+  pl AS (SELECT slide_id, y, x, max(t) FILTER (l = 1) AS t1, max(t) FILTER (l = 2) AS t2, max(t) FILTER (l = 3) AS t3, max(t) FILTER (l = 4) AS t4 FROM ev GROUP BY ALL),
+  nw AS (SELECT slide_id, y, x, CASE WHEN max(t4) OVER w >= x THEN 4 WHEN max(t3) OVER w >= x THEN 3 WHEN max(t2) OVER w >= x THEN 2 WHEN max(t1) OVER w >= x THEN 1 END AS label FROM pl WINDOW w AS (PARTITION BY slide_id, y ORDER BY x)),
+  ch AS (SELECT * FROM nw QUALIFY label IS DISTINCT FROM lag(label) OVER (PARTITION BY slide_id, y ORDER BY x)),
+  fin AS (SELECT slide_id, y, label, x AS x0, lead(x) OVER (PARTITION BY slide_id, y ORDER BY x) - 1 AS x1 FROM ch)
+  SELECT slide_id, CAST(y AS INT) AS y, label, count(*) AS n_runs, CAST(sum(x1 - x0 + 1) AS BIGINT) AS n_pixels, CAST(sum(x0) AS BIGINT) AS starts FROM fin WHERE label IS NOT NULL GROUP BY ALL"""
+
+
+def _by_row(runs):
+    return runs.groupBy("slide_id", "y", "label").agg(F.count("*").alias("n_runs"), F.sum(F.col("x1") - F.col("x0") + 1).alias("n_pixels"), F.sum("x0").alias("starts"))
+
+
+@query(f"WITH {_BOXES.format('')}, {_SWEEP}", "detections", "slides")
+def G12_label_runs(spark, sf_dir):
+    """The label image of all outlines as runs, summed by row and label."""
+    dets, slides = tables(spark, sf_dir, "detections", "slides")
+    return _by_row(raster.draw_detections(dets, slides))
+
+
+@query(
+    f"""WITH {_BOXES.format('AND label <> 2').replace('line AS', 'outline AS')}, {_FILL},
+      line AS (SELECT * FROM outline UNION ALL SELECT p.slide_id, label, y, greatest(x0, 0), least(x1, w - 1) FROM drawn p JOIN slides USING (slide_id) WHERE label = 2 AND y >= 0 AND y < h AND x1 >= 0 AND x0 < w), {_SWEEP}""",
+    "detections", "slides",
+)
+def G12_draw_detections(spark, sf_dir):
+    """Class 2 as filled polygons, the others as outlines, in one label image."""
+    dets, slides = tables(spark, sf_dir, "detections", "slides")
+    own = dets.withColumn("vertices", F.when(F.col("label") == 2, _hexagons(dets)))
+    moved = F.transform("vertices", lambda p: F.struct((p["x"] - F.rint("x0")).alias("x"), (p["y"] - F.rint("y0")).alias("y")))
+    return _by_row(raster.draw_detections(own.withColumn("mask_poly", moved).drop("vertices"), slides))
