@@ -54,13 +54,29 @@ def in_polygon(x: Column, y: Column, vertices: Column) -> Column:
     return F.coalesce(F.aggregate(crosses, F.lit(0), lambda n, c: n + F.coalesce(c, F.lit(False)).cast("int")) % 2 == 1, F.lit(False))
 
 
+def polygon_edges(polygons: DataFrame, bin_size: int, keys: tuple[str, ...] = ("slide_id", "poly_id")) -> DataFrame:
+    """(keys, _bx, _by, edges): for each grid bin of a polygon's box the edges that a ray to the right from the bin can cross: those of the
+    bin's band of rows that don't end left of it. Polygons that share their keys are the rings of one shape."""
+    corner = F.col("vertices")
+    after = F.concat(F.slice(corner, 2, F.greatest(F.size(corner) - 1, F.lit(0))), F.slice(corner, 1, 1))
+    left = F.floor(F.array_min(F.transform(corner, lambda p: p["x"])) / bin_size)
+    pair = F.zip_with(corner, after, lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))
+    edges = polygons.filter(F.size(corner) > 2).select(*keys, left.alias("_left"), F.inline(pair)).filter("ay <> by")
+    at = lambda f, a, b: F.floor(f(a, b) / bin_size)
+    listed = edges.withColumn("_by", F.explode(F.sequence(at(F.least, "ay", "by"), at(F.greatest, "ay", "by")))).withColumn("_bx", F.explode(F.sequence("_left", at(F.greatest, "ax", "bx"))))
+    return listed.groupBy(*keys, "_bx", "_by").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("_edges"))
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, bin_size: int) -> DataFrame:
-    """Points (slide_id, x, y) with the poly_id of each polygon (slide_id, poly_id, vertices) that holds them, met by grid bins."""
-    side = lambda f, c: f(F.transform("vertices", lambda p: p[c]))
-    bins = lambda c: F.sequence(F.floor(side(F.array_min, c) / bin_size), F.floor(side(F.array_max, c) / bin_size))
-    spread = polygons.select("slide_id", "poly_id", "vertices", F.explode(bins("x")).alias("_bx"), bins("y").alias("_by")).withColumn("_by", F.explode("_by"))
-    near = points.withColumns({"_bx": F.floor(F.col("x") / bin_size), "_by": F.floor(F.col("y") / bin_size)}).join(spread, ["slide_id", "_bx", "_by"])
-    return near.filter(in_polygon(F.col("x"), F.col("y"), F.col("vertices"))).select(*points.columns, "poly_id")
+    """Points (slide_id, x, y) with the poly_id of each polygon (slide_id, poly_id, vertices) that holds them by the even-odd rule.
+
+    A point meets the edges listed under its own grid bin only, not whole polygons: those of its band of bin_size rows, to
+    its right. Rings that share a poly_id are one shape. Null and empty polygons hold nothing; repeated points stay.
+    """
+    near = points.withColumns({"_bx": F.floor(F.col("x") / bin_size), "_by": F.floor(F.col("y") / bin_size)}).join(polygon_edges(polygons, bin_size), ["slide_id", "_bx", "_by"])
+    crosses = lambda e: ((e["ay"] > F.col("y")) != (e["by"] > F.col("y"))) & (F.col("x") < (e["bx"] - e["ax"]) * (F.col("y") - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
+    odd = F.aggregate("_edges", F.lit(0), lambda n, e: n + crosses(e).cast("int")) % 2 == 1
+    return near.filter(odd).select(*points.columns, "poly_id")
 
 
 def cells_of_polygons(polygons: DataFrame, divisor: int) -> DataFrame:

@@ -8,8 +8,9 @@ from nucleispark.operators import annotations, boxes, features, tiles
 from nucleispark.plans.fixtures import tables
 from nucleispark.plans.queries_boxes import _CLASSES, _ring
 from nucleispark.plans.registry import query
-from nucleispark.session import new_folder
+from nucleispark.session import new_folder, on_workers
 from nucleispark.sources import io
+from nucleispark.streaming import batching
 from nucleispark.streaming import requests as stream
 
 _REGIONS = """regions AS (SELECT slide_id, CAST(label AS INT) AS region_id, 'cls_' || label AS label, min(x0) AS left_x, min(y0) AS top_y, max(x1) AS right_x, max(y1) AS bottom_y
@@ -155,3 +156,15 @@ def T4_stored_batches(spark, sf_dir):
     score = lambda t: t.select("slide_id", "tile_col", "tile_row", (F.col("tile_col") * F.col("tile_row")).alias("score"))
     stream.serve(stream.read_requests(spark, f"{folder}/in", 3), score, f"{folder}/out", f"{folder}/state", once_only=False, all_available=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("batch_id")
+
+
+@query("SELECT slide_id, count(DISTINCT (tile_col, tile_row)) AS finished, count(DISTINCT (tile_col, tile_row)) / 64 AS share FROM requests GROUP BY slide_id", "requests")
+def T5_exact_progress(spark, sf_dir):
+    """The last state of a replayed stream of requests, with a set of tiles for each slide."""
+    (rows,) = tables(on_workers(spark), sf_dir, "requests")
+    folder = new_folder(spark, "progress")
+    rows.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "slide_id", "tile_col", "tile_row").repartition(4, "event_id").write.parquet(f"{folder}/in")
+    found = batching.exact_progress(stream.read_requests(spark, f"{folder}/in", 2), 64)
+    store = lambda part, number: part.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+    found.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("slide_id").agg(F.max("finished").alias("finished"), F.max("share").alias("share"))

@@ -9,6 +9,7 @@ from nucleispark.operators import annotations, boxes, density, predict, roi, til
 from nucleispark.plans.fixtures import tables
 from nucleispark.plans.registry import query
 from nucleispark.session import on_workers
+from nucleispark.streaming import batching
 from nucleispark.streaming import requests as stream
 
 _GRID = """grid AS (SELECT slide_id, CAST(c AS INT) AS tile_col, CAST(r AS INT) AS tile_row, CAST(c * 500 AS INT) AS x, CAST(r * 500 AS INT) AS y,
@@ -208,6 +209,24 @@ def J8_points_in_polygons(spark, sf_dir):
     return roi.points_in_polygons(points, _polygons(spark, sf_dir), 512).select("slide_id", "nucleus_id", "poly_id")
 
 
+@query(
+    f"""WITH {_POLYS}, e AS (SELECT slide_id, poly_id, unnest(list_zip(v, list_concat(v[2:], v[1:1]))) AS s FROM polys),
+      p AS (SELECT slide_id, CAST(c AS INT) AS tile_col, CAST(r AS INT) AS tile_row, i, j, c * 512 + (i + 0.5) * 32 AS x, r * 512 + (j + 0.5) * 32 AS y FROM slides, range(8) AS a(c), range(8) AS b(r), range(16) AS d(i), range(16) AS g(j)),
+      h AS (SELECT p.slide_id, tile_col, tile_row, i, j, poly_id FROM p JOIN e USING (slide_id) WHERE (s[1].y > p.y) <> (s[2].y > p.y) AND p.x < (s[2].x - s[1].x) * (p.y - s[1].y) / (s[2].y - s[1].y) + s[1].x GROUP BY ALL HAVING count(*) % 2 = 1),
+      n AS (SELECT slide_id, tile_col, tile_row, poly_id, count(*) AS n FROM h GROUP BY ALL), m AS (SELECT slide_id, tile_col, tile_row, arg_min(poly_id, {{'a': -n, 'b': poly_id}}) AS poly_id FROM n GROUP BY ALL),
+      share AS (SELECT slide_id, tile_col, tile_row, count(DISTINCT (i, j)) / 256 AS coverage FROM h GROUP BY ALL)
+      SELECT t.slide_id, CAST(c AS INT) AS tile_col, CAST(r AS INT) AS tile_row, coalesce(coverage, 0) AS coverage, coalesce(poly_id, 0) AS poly_id FROM (SELECT slide_id, c, r FROM slides, range(8) AS a(c), range(8) AS b(r)) AS t
+      LEFT JOIN m ON m.slide_id = t.slide_id AND m.tile_col = c AND m.tile_row = r LEFT JOIN share s ON s.slide_id = t.slide_id AND s.tile_col = c AND s.tile_row = r""",
+    "slides",
+)
+def J6_polygon_coverage(spark, sf_dir):
+    """Tiles by the share of 16 x 16 points that polygons hold."""
+    (slides,) = tables(spark, sf_dir, "slides")
+    grid = tiles.tile_grid(slides.select("slide_id", "h", "w"), 512)
+    found = tiles.polygon_coverage(grid, _polygons(spark, sf_dir), 16)
+    return found.select("slide_id", "tile_col", "tile_row", "coverage", "poly_id")
+
+
 @query(
     f"""WITH {_POLYS}, f AS (SELECT slide_id, poly_id, list_transform(v, lambda p: {{'x': greatest(0, least((p.y) * 1.5, 4096 * 1.5)), 'y': greatest(0, least((4096 - p.x) * 1.5, 4096 * 1.5))}}) AS v FROM polys)
       SELECT slide_id, poly_id, v[1].x AS x, v[1].y AS y, round(abs(list_sum(list_transform(list_zip(v, list_concat(v[2:], v[1:1])), lambda s: s[1].x * s[2].y - s[2].x * s[1].y))) / 2, 6) AS area FROM f""",
@@ -291,3 +310,17 @@ def Z6_tile_keys(spark, sf_dir):
     (rows,) = tables(spark, sf_dir, "requests")
     keys = rows.select("slide_id", fn.tile_key(F.lit(0), F.col("tile_col"), F.col("tile_row")).alias("k")).distinct()
     return keys.select("slide_id", fn.parse_tile_key(F.col("k")).alias("p")).select("slide_id", "p.*")
+
+
+@query(
+    """WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY slide_id ORDER BY ts, event_id) AS k FROM requests),
+      b AS (SELECT slide_id, k, event_id, ts AS first, 1 AS batch, 1 AS place FROM r WHERE k = 1
+        UNION ALL SELECT r.slide_id, r.k, r.event_id, CASE WHEN place >= 16 OR r.ts >= first + INTERVAL 12 HOUR THEN r.ts ELSE first END, CASE WHEN place >= 16 OR r.ts >= first + INTERVAL 12 HOUR THEN batch + 1 ELSE batch END,
+          CASE WHEN place >= 16 OR r.ts >= first + INTERVAL 12 HOUR THEN 1 ELSE place + 1 END FROM b JOIN r ON r.slide_id = b.slide_id AND r.k = b.k + 1)
+      SELECT slide_id, CAST(batch AS BIGINT) AS batch, place, event_id FROM b""",
+    "requests",
+)
+def T3_request_batches(spark, sf_dir):
+    """The requests replayed in batches of 16, or of 12 hours, as they are few."""
+    on_workers(spark)
+    return batching.batched_requests(*tables(spark, sf_dir, "requests"), 16, "12 hours").select("slide_id", "batch", "place", "event_id")
