@@ -40,8 +40,8 @@ def nms_by_group(dets: DataFrame, keys: list[str], threshold: float) -> DataFram
     return deal(dets, *keys).groupBy(*keys).applyInPandas(one, dets.schema)
 
 
-def overlapping_pairs(dets: DataFrame, threshold: float, bin_size: int) -> DataFrame:
-    """(slide_id, better, worse): nucleus ids of boxes whose IoU is over the threshold, each pair once.
+def _overlaps(dets: DataFrame, threshold: float, bin_size: int) -> DataFrame:
+    """(slide_id, a, b): boxes as structs whose IoU is over the threshold, the better one as a, each pair once.
 
     Boxes are listed under all grid bins that they touch; a pair counts in the bin of its intersection's corner only.
     """
@@ -51,27 +51,76 @@ def overlapping_pairs(dets: DataFrame, threshold: float, bin_size: int) -> DataF
     both = spread.withColumnRenamed("box", "a").join(spread.withColumnRenamed("box", "b"), ["slide_id", "bx", "by"])
     first = (F.col("a.score") > F.col("b.score")) | (F.col("a.score") == F.col("b.score")) & (F.col("a.nucleus_id") < F.col("b.nucleus_id"))
     corner = (F.floor(F.greatest("a.x0", "b.x0") / bin_size) == F.col("bx")) & (F.floor(F.greatest("a.y0", "b.y0") / bin_size) == F.col("by"))
-    return both.filter(first & corner & (iou() > threshold)).select("slide_id", F.col("a.nucleus_id").alias("better"), F.col("b.nucleus_id").alias("worse"))
-
+    return both.filter(first & corner & (iou() > threshold)).select("slide_id", "a", "b")
 
-def nms_by_slide(dets: DataFrame, threshold: float, bin_size: int = 64) -> DataFrame:
-    """Greedy NMS over whole slides in rounds, the same result as one pass by score.
 
-    A round keeps the boxes that no undecided better one overlaps, and drops those that a kept one overlaps; rounds, each
-    checkpointed, end when all are decided, after as many as the longest chain of overlaps.
+def overlapping_pairs(dets: DataFrame, threshold: float, bin_size: int) -> DataFrame:
+    """(slide_id, better, worse): nucleus ids of boxes whose IoU is over the threshold, each pair once."""
+    return _overlaps(dets, threshold, bin_size).select("slide_id", F.col("a.nucleus_id").alias("better"), F.col("b.nucleus_id").alias("worse"))
+
+
+def _decide(worse: np.ndarray, score: np.ndarray, better: np.ndarray, foreign: np.ndarray, status: np.ndarray) -> dict[int, int]:
+    """1 kept, 2 dropped or 0 for each box of `worse`, in the order of scores: from pairs with better boxes, whose status is known (foreign
+    ones) or decided before."""
+    order = np.lexsort((worse, -score))
+    worse, better, foreign, status = (x[order].tolist() for x in (worse, better, foreign, status))
+    found = dict.fromkeys(worse, 0)
+    i = 0
+    while i < len(worse):
+        j, kept, open_ones = i, False, False
+        while j < len(worse) and worse[j] == worse[i]:
+            s = status[j] if foreign[j] else found.get(better[j], 1)  # a box here that nothing overlaps stays
+            kept |= s == 1
+            open_ones |= s == 0
+            j += 1
+        found[worse[i]] = 2 if kept else 0 if open_ones else 1
+        i = j
+    return found
+
+
+def suppress_slides(dets: DataFrame, threshold: float, bin_size: int = 64, block: int = 2048) -> tuple[DataFrame, int]:
+    """Greedy NMS over whole slides, the same result as one pass by score, and how many rounds it took.
+
+    A slide is cut into blocks, and a pair of overlapping boxes belongs to the worse one's block. A task decides all boxes of its block whose
+    better overlaps are decided; what waits for a box of another block goes on to the next round with that box's status.
+    Rounds go with the block borders that a chain of overlaps crosses, not with its length. nucleus_id tells a slide's boxes apart.
     """
-    pairs = checkpointed(overlapping_pairs(dets, threshold, bin_size))
-    # Boxes of some pair: 0 undecided, 1 kept, 2 dropped.
-    state = checkpointed(pairs.select("slide_id", F.explode(F.array("better", "worse")).alias("nucleus_id")).distinct().withColumn("status", F.lit(0)))
-    key = ["slide_id", "nucleus_id"]
-    worse_than = lambda rows: pairs.join(rows.withColumnRenamed("nucleus_id", "better"), ["slide_id", "better"]).select("slide_id", F.col("worse").alias("nucleus_id")).distinct()
-    while not state.filter("status = 0").isEmpty():
-        live = state.filter("status = 0").select(*key)
-        fresh = checkpointed(live.join(worse_than(live), key, "left_anti"))
-        marked = state.join(fresh.withColumn("k", F.lit(1)), key, "left").join(worse_than(fresh).withColumn("d", F.lit(1)), key, "left")
-        status = F.when(F.col("status") != 0, F.col("status")).when(F.col("k") == 1, 1).when(F.col("d") == 1, 2).otherwise(0)
-        state = checkpointed(marked.select(*key, status.alias("status")))
-    return dets.join(state.filter("status = 2").select(*key), key, "left_anti")
+    at = lambda s: (F.floor((F.col(f"{s}.x0") + F.col(f"{s}.x1")) / (2 * block)).cast("long"), F.floor((F.col(f"{s}.y0") + F.col(f"{s}.y1")) / (2 * block)).cast("long"))
+    (ax, ay), (bx, by) = at("a"), at("b")
+    pairs = _overlaps(dets, threshold, bin_size).select("slide_id", bx.alias("cx"), by.alias("cy"), F.col("b.nucleus_id").alias("worse"), F.col("b.score").alias("score"), F.col("a.nucleus_id").alias("better"), ((ax != bx) | (ay != by)).alias("foreign"))
+    pairs = checkpointed(pairs)
+    ids = pairs.select("slide_id", F.col("worse").alias("better")).distinct().withColumn("_w", F.lit(1))
+    free = F.when(F.col("foreign") & F.col("_w").isNull(), 1).otherwise(0)
+    waiting = pairs.join(ids, ["slide_id", "better"], "left").withColumn("status", free).drop("_w")
+    kind = {c: dets.schema[c].dataType.simpleString() for c in ("slide_id", "nucleus_id")}
+    schema = f"slide_id {kind['slide_id']}, cx long, cy long, worse {kind['nucleus_id']}, score double, better {kind['nucleus_id']}, foreign boolean, status int"
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = _decide(*(pdf[c].to_numpy() for c in ("worse", "score", "better", "foreign", "status")))
+        mine = np.array([found[w] for w in pdf["worse"].tolist()], np.int64)
+        known = np.array([s if f else found.get(b, 1) for b, f, s in zip(pdf["better"].tolist(), pdf["foreign"].tolist(), pdf["status"].tolist(), strict=True)], np.int64)
+        out = pdf.assign(status=mine)
+        out["better"] = np.where(mine > 0, pdf["worse"], pdf["better"])
+        first = ~pdf["worse"].duplicated().to_numpy()
+        return out[(mine > 0) & first | (mine == 0) & (known == 0)]
+
+    dropped, rounds = [], 0
+    columns = [c.split()[0] for c in schema.split(", ")]
+    while not waiting.isEmpty():
+        rounds += 1
+        grouped = deal(waiting.select(*columns), "slide_id", "cx", "cy").groupBy("slide_id", "cx", "cy")
+        made = checkpointed(grouped.applyInPandas(one, schema))
+        decided = made.filter("status > 0").select("slide_id", F.col("worse").alias("better"), F.col("status").alias("_s"))
+        dropped.append(decided.filter("_s = 2").select("slide_id", F.col("better").alias("nucleus_id")))
+        waiting = made.filter("status = 0").join(decided, ["slide_id", "better"], "left").withColumn("status", F.coalesce("_s", F.lit(0))).drop("_s")
+    for d in dropped:
+        dets = dets.join(d, ["slide_id", "nucleus_id"], "left_anti")
+    return dets, rounds
+
+
+def nms_by_slide(dets: DataFrame, threshold: float, bin_size: int = 64, block: int = 2048) -> DataFrame:
+    """The boxes that suppress_slides keeps."""
+    return suppress_slides(dets, threshold, bin_size, block)[0]
 
 
 def top_by_score(dets: DataFrame, keys: list[str], n: int = 1000) -> DataFrame:

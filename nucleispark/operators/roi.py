@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import polygon_area
+from nucleispark.kernels import ears
 from nucleispark.operators import regions
+from nucleispark.session import checkpointed
 
 
 def roi_cells(density: DataFrame, classes: tuple[int, ...] = (0,)) -> DataFrame:
@@ -120,23 +124,46 @@ def sample_in_cells(cells: DataFrame, n: int, cell: int, seed: int = 42) -> Data
     return at.select("slide_id", "k", ((F.col("gc") + uniform("x")) * cell).alias("x"), ((F.col("gr") + uniform("y")) * cell).alias("y"))
 
 
-def sample_in_polygons(polygons: DataFrame, n: int, seed: int = 42, tries: int = 64) -> DataFrame:
-    """(slide_id, k, x, y, poly_id): up to n points of each slide, evenly spread over the area of its polygons.
+def polygon_triangles(polygons: DataFrame) -> DataFrame:
+    """(slide_id, poly_id, tri, ax, ay, bx, by, cx, cy, area): the triangles of simple polygons (slide_id, poly_id, vertices), from 0 on."""
+    kinds = {c: polygons.schema[c].dataType.simpleString() for c in ("slide_id", "poly_id")}
+    names = ["ax", "ay", "bx", "by", "cx", "cy"]
 
-    Each of n * tries draws picks a polygon in proportion to its bounding box and a place in the box; the first n that are inside stay.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for slide, poly, v in pdf.itertuples(index=False):
+                t = ears.triangles(np.array([(q["x"], q["y"]) for q in v], float)).reshape(-1, 6)
+                own = pd.DataFrame(t, columns=names)
+                own.insert(0, "tri", np.arange(len(t)))
+                own.insert(0, "poly_id", poly)
+                own.insert(0, "slide_id", slide)
+                yield own
+
+    found = polygons.filter("size(vertices) > 2").select("slide_id", "poly_id", "vertices").mapInPandas(run, f"slide_id {kinds['slide_id']}, poly_id {kinds['poly_id']}, tri int, " + ", ".join(f"{n} double" for n in names))
+    return found.withColumn("area", F.abs((F.col("bx") - F.col("ax")) * (F.col("cy") - F.col("ay")) - (F.col("by") - F.col("ay")) * (F.col("cx") - F.col("ax"))) / 2)
+
+
+def sample_in_polygons(polygons: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """(slide_id, k, x, y, poly_id): n points of each slide, evenly spread over the area of its simple polygons; the same for the same seed.
+
+    Point k's hash picks a place in the slide's triangles laid end to end by area, and two more hashes a place in that triangle. Both
+    sides of this range join are listed by equal parts of the whole area, as many as there are points. Where polygons overlap, their
+    common area counts for each. Slides whose polygons have no area get no points.
     """
     from pyspark.sql import Window
 
-    side = lambda f, c: f(F.transform("vertices", lambda p: p[c]))
-    boxes = polygons.select("slide_id", "poly_id", "vertices", side(F.array_min, "x").alias("bx"), side(F.array_min, "y").alias("by"), side(F.array_max, "x").alias("ex"), side(F.array_max, "y").alias("ey"))
-    boxes = boxes.withColumn("box", (F.col("ex") - F.col("bx")) * (F.col("ey") - F.col("by"))).filter("box > 0")
-    share = F.col("box") / F.sum("box").over(Window.partitionBy("slide_id"))
-    draws = boxes.withColumn("m", F.ceil(share * n * tries).cast("int")).withColumn("t", F.explode(F.sequence(F.lit(1), F.col("m"))))
-    uniform = lambda salt: F.pmod(F.xxhash64(F.lit(seed), "slide_id", "poly_id", "t", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    placed = draws.withColumns({"x": F.col("bx") + uniform("x") * (F.col("ex") - F.col("bx")), "y": F.col("by") + uniform("y") * (F.col("ey") - F.col("by"))})
-    inside = placed.filter(in_polygon(F.col("x"), F.col("y"), F.col("vertices")))
-    order = Window.partitionBy("slide_id").orderBy(F.xxhash64(F.lit(seed), "poly_id", "t"), "poly_id", "t")
-    return inside.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= n).select("slide_id", "k", "x", "y", "poly_id")
+    order = Window.partitionBy("slide_id").orderBy("poly_id", "tri")
+    laid = polygon_triangles(polygons).filter("area > 0").withColumn("_to", F.sum("area").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    laid = laid.withColumns({"_from": F.coalesce(F.lag("_to").over(order), F.lit(0.0)), "_all": F.max("_to").over(Window.partitionBy("slide_id"))})
+    laid = checkpointed(laid)
+    share = lambda place: F.least(F.lit(n - 1), F.floor(place / F.col("_all") * n).cast("int"))
+    parts = laid.withColumn("_part", F.explode(F.sequence(share(F.col("_from")), share(F.col("_to")))))
+    uniform = lambda salt: F.pmod(F.xxhash64(F.lit(seed), "slide_id", "k", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    draws = laid.select("slide_id", "_all").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("_at", uniform("area") * F.col("_all"))
+    at = draws.withColumn("_part", share(F.col("_at"))).drop("_all").join(parts, ["slide_id", "_part"]).filter("_at >= _from and _at < _to")
+    root, v = F.sqrt(uniform("x")), uniform("y")
+    place = lambda c: ((1 - root) * F.col(f"a{c}") + root * (1 - v) * F.col(f"b{c}") + root * v * F.col(f"c{c}")).alias(c)
+    return at.select("slide_id", "k", place("x"), place("y"), "poly_id")
 
 
 def random_patches(points: DataFrame, slides: DataFrame, cells: DataFrame, n: int, size: int, threshold: float = 0.3, least_score: float = 0.8, core: tuple[int, ...] = (0,), seed: int = 42, score: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

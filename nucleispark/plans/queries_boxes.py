@@ -221,8 +221,8 @@ def J2_nms_by_tile(spark, sf_dir):
 
 
 # Boxes meet in the bins of 64 pixels that they touch; a pair counts in the bin of its intersection's corner.
-_PAIR = """WITH c AS (SELECT *, unnest(range(CAST(floor(x0 / 64) AS BIGINT), CAST(floor(x1 / 64) AS BIGINT) + 1)) AS bx FROM detections),
-  n AS (SELECT *, unnest(range(CAST(floor(y0 / 64) AS BIGINT), CAST(floor(y1 / 64) AS BIGINT) + 1)) AS bin FROM c)
+_PAIR = """WITH c AS MATERIALIZED (SELECT *, unnest(range(CAST(floor(x0 / 64) AS BIGINT), CAST(floor(x1 / 64) AS BIGINT) + 1)) AS bx FROM detections),
+  n AS MATERIALIZED (SELECT *, unnest(range(CAST(floor(y0 / 64) AS BIGINT), CAST(floor(y1 / 64) AS BIGINT) + 1)) AS bin FROM c)
   SELECT a.slide_id, a.nucleus_id AS better, b.nucleus_id AS worse FROM n a JOIN n b ON a.slide_id = b.slide_id AND a.bx = b.bx AND a.bin = b.bin
   AND a.bx = CAST(floor(greatest(a.x0, b.x0) / 64) AS BIGINT) AND a.bin = CAST(floor(greatest(a.y0, b.y0) / 64) AS BIGINT)
   AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 AND (a.score > b.score OR a.score = b.score AND a.nucleus_id < b.nucleus_id)
@@ -234,9 +234,16 @@ def J2_overlapping_pairs(spark, sf_dir):
     return nms.overlapping_pairs(*tables(spark, sf_dir, "detections"), 0.1, 64)
 
 
-@query(None)
+@query(
+    f"""WITH RECURSIVE pairs AS MATERIALIZED ({{}}), st USING KEY (slide_id, id) AS (
+        SELECT slide_id, nucleus_id AS id, CASE WHEN (slide_id, nucleus_id) IN (SELECT (slide_id, worse) FROM pairs) THEN 0 ELSE 1 END AS s FROM detections
+        UNION SELECT w.slide_id, w.id, CASE WHEN bool_or(b.s = 1) THEN 2 ELSE 1 END AS s FROM recurring.st w JOIN pairs p ON p.slide_id = w.slide_id AND p.worse = w.id JOIN recurring.st b ON b.slide_id = p.slide_id AND b.id = p.better
+          WHERE w.s = 0 AND (SELECT count(*) FROM st) > 0 GROUP BY w.slide_id, w.id HAVING bool_or(b.s = 1) OR bool_and(b.s = 2))
+      SELECT slide_id, id AS nucleus_id FROM st WHERE s = 1""".format(_PAIR),
+    "detections",
+)
 def J2_nms_by_slide(spark, sf_dir):
-    return nms.nms_by_slide(*tables(spark, sf_dir, "detections"), 0.1).select("slide_id", "nucleus_id")
+    return nms.nms_by_slide(*tables(on_workers(spark), sf_dir, "detections"), 0.1).select("slide_id", "nucleus_id")
 
 
 @query(f"SELECT slide_id, tc, tr, nucleus_id FROM (SELECT *, row_number() OVER (PARTITION BY slide_id, tc, tr ORDER BY score DESC, nucleus_id) AS k FROM (SELECT *, {_T} FROM detections)) WHERE k <= 20", "detections")

@@ -9,7 +9,7 @@ from nucleispark.plans.fixtures import tables
 from nucleispark.plans.queries_boxes import _CLASSES, _ring
 from nucleispark.plans.registry import query
 from nucleispark.session import new_folder, on_workers
-from nucleispark.sources import io
+from nucleispark.sources import io, tile_table
 from nucleispark.streaming import batching
 from nucleispark.streaming import requests as stream
 
@@ -168,3 +168,31 @@ def T5_exact_progress(spark, sf_dir):
     store = lambda part, number: part.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
     found.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out").groupBy("slide_id").agg(F.max("finished").alias("finished"), F.max("share").alias("share"))
+
+
+_TILED = "SELECT *, CAST(least(floor((x0 + x1) / 2 / 512), 7) AS INT) AS tile_col, CAST(least(floor((y0 + y1) / 2 / 512), 7) AS INT) AS tile_row FROM detections"
+
+
+def _tile_table(spark, sf_dir) -> str:
+    """Detections appended by tile rows in two batches, with a failed batch before and a repeated one after."""
+    (dets,) = tables(spark, sf_dir, "detections")
+    at = lambda a: F.least(F.floor((F.col(f"{a}0") + F.col(f"{a}1")) / 2 / 512), F.lit(7)).cast("int")
+    own = dets.withColumns({"tile_col": at("x"), "tile_row": at("y")})
+    folder = new_folder(spark, "tiles")
+    own.filter("tile_row < 2").write.partitionBy("slide_id").parquet(f"{folder}/data/batch=1")  # without a manifest
+    for batch in (0, 1, 1):
+        tile_table.append_tiles(own.filter((F.col("tile_row") % 2) == batch), folder, batch)
+    return folder
+
+
+@query(f"SELECT slide_id, '0_' || tile_col || '_' || tile_row AS tile_key, count(*) AS n, round(sum(score), 6) AS total FROM ({_TILED}) GROUP BY ALL", "detections")
+def S10_append_tiles(spark, sf_dir):
+    found = tile_table.read_tiles(spark, _tile_table(spark, sf_dir))
+    return found.groupBy("slide_id", "tile_key").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("total"))
+
+
+@query(f"SELECT nucleus_id, x0, y0, x1, y1, label FROM ({_TILED}) WHERE slide_id = 0 AND tile_col BETWEEN 2 AND 4 AND tile_row BETWEEN 3 AND 5", "detections")
+def P12_fetch_stored_tiles(spark, sf_dir):
+    """A tile with its neighbours, read from the stored table."""
+    stored = tile_table.read_tiles(spark, _tile_table(spark, sf_dir))
+    return tile_table.fetch_tiles(stored, 0, 3, 4, 1).select("nucleus_id", "x0", "y0", "x1", "y1", "label")

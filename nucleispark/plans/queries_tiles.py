@@ -227,6 +227,26 @@ def J6_polygon_coverage(spark, sf_dir):
     return found.select("slide_id", "tile_col", "tile_row", "coverage", "poly_id")
 
 
+@query(
+    f"""WITH {_POLYS} SELECT slide_id, poly_id, len(v) - 2 AS n, round(abs(list_sum(list_transform(list_zip(v, list_concat(v[2:], v[1:1])), lambda s: s[1].x * s[2].y - s[2].x * s[1].y))) / 2, 6) AS area FROM polys""",
+    "slides",
+)
+def G7_polygon_triangles(spark, sf_dir):
+    """Triangles make up their polygon."""
+    on_workers(spark)
+    return roi.polygon_triangles(_polygons(spark, sf_dir)).groupBy("slide_id", "poly_id").agg(F.count("*").alias("n"), F.round(F.sum("area"), 6).alias("area"))
+
+
+@query("SELECT slide_id, 400 AS n, 400 AS inside, 1 AS first_k, 400 AS last_k FROM slides", "slides")
+def G7_sample_in_polygons(spark, sf_dir):
+    """As many points as asked for, all inside."""
+    on_workers(spark)
+    polygons = _polygons(spark, sf_dir)
+    points = roi.sample_in_polygons(polygons, 400)
+    inside = roi.points_in_polygons(points.drop("poly_id"), polygons, 512).select("slide_id", "k").distinct().withColumn("_in", F.lit(1))
+    return points.join(inside, ["slide_id", "k"], "left").groupBy("slide_id").agg(F.count("*").alias("n"), F.count("_in").alias("inside"), F.min("k").alias("first_k"), F.max("k").alias("last_k"))
+
+
 @query(
     f"""WITH {_POLYS}, f AS (SELECT slide_id, poly_id, list_transform(v, lambda p: {{'x': greatest(0, least((p.y) * 1.5, 4096 * 1.5)), 'y': greatest(0, least((4096 - p.x) * 1.5, 4096 * 1.5))}}) AS v FROM polys)
       SELECT slide_id, poly_id, v[1].x AS x, v[1].y AS y, round(abs(list_sum(list_transform(list_zip(v, list_concat(v[2:], v[1:1])), lambda s: s[1].x * s[2].y - s[2].x * s[1].y))) / 2, 6) AS area FROM f""",
