@@ -30,15 +30,21 @@ from nucleispark.llm.url_filter import host_and_path
 DOUBT = 0.1
 # Fixed names of HTML elements by their role.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
+_RAW = frozenset("script style textarea title noscript iframe template svg annotation annotation-xml xmp noembed noframes".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded mphantom mfenced menclose mmultiscripts mtable mtr mtd".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dt dd td th tr table tbody thead tfoot ul ol dl figure figcaption caption address hr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _OUT = frozenset("head nav aside footer button select dialog menu object".split()) | _RAW
-_OUT_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:nav|navbar|navigation|menu|sidebar|footer|header|masthead|ads?|advert|advertisement|sponsor|sponsored|promo|banner|cookies?|consent|gdpr|notice|alert|comments?|disqus|respond|replies|share|sharing|social|related|recommended|subscribe|newsletter|signup|login|form|breadcrumbs?|widget|popup|modal|pagination|pager|toolbar|copyright)(?:$|[-_\s])"
-)
+# Words in class and id of what stands around articles. Inside of an article the weak ones say little, as in `share-price`, `related-work`
+# or `entry-header`: they count alone or with the words of such boxes.
+_STRONG = r"nav|navbar|navigation|sidebar|footer|ads?|advert|advertisement|sponsor|sponsored|cookies?|consent|gdpr|comments?|disqus|respond|replies|subscribe|newsletter|signup|login|breadcrumbs?|widget|popup|modal|pagination|pager|toolbar"
+_WEAK = r"menu|promo|banner|notice|alert|share|sharing|social|related|recommended|form|copyright"
+_BOX = r"posts?|articles?|stories|story|links?|buttons?|bar|box|list|icons?|tools?|items?|content|widget|area|wrap|wrapper|container|block|media|reading|topics|videos|pages|message|fields?|group"
+_OUT_NAMES = re.compile(rf"(?:^|[-_\s])(?:{_STRONG}|{_WEAK}|header|masthead)(?:$|[-_\s])")
+_STRONG_NAMES = re.compile(rf"(?:^|[-_\s])(?:{_STRONG})(?:$|[-_\s])")
+_WEAK_NAMES = re.compile(rf"(?:^|\s)(?:(?:entry|post|article|page|site|content|block|js|wp)[-_]+)?(?:{_WEAK})(?:[-_]+(?:{_BOX}))*(?=\s|$)")
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
 _ATTRIBUTES = r"""((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>]*+))?)*+)(?:>|\Z)"""
 _TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*+){_ATTRIBUTES}|<(?:[!?]|/(?=[^A-Za-z]))[^>]*(?:>|\Z)", re.S)
@@ -75,6 +81,13 @@ class _Open:
         self.vote = self.own = 0.0
 
 
+def _named_out(tag: str, names: str, article: bool) -> bool:
+    """Whether class and id are those of things around articles. Headings never are; inside of an article weak words need company."""
+    if tag in _HEADINGS or not names.strip():
+        return False
+    return bool(_STRONG_NAMES.search(names) or _WEAK_NAMES.search(names)) if article else bool(_OUT_NAMES.search(names))
+
+
 def parse(page: str) -> tuple[list[str], list[Container]]:
     """The text blocks of a page in order, without those in menus, headers, footers and the like, and the containers with blocks.
 
@@ -111,12 +124,17 @@ def parse(page: str) -> tuple[list[str], list[Container]]:
         nonlocal out, links
         for tag, _, inside in reversed(stack[to:]):
             links -= tag == "a"
+            places[tag].pop()
+            if tag not in _INLINE:
+                blocks.pop()
             while open_[-1] is not inside:
                 close()
         del stack[to:]
         out = bool(stack) and stack[-1][1]
 
-    count: dict[str, int] = {}  # how often each element is open, so that an end tag without a beginning costs no search
+    # Where in the stack each element and any block is open, so that end tags cost no search.
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
     while True:
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else len(page)]
@@ -139,32 +157,28 @@ def parse(page: str) -> tuple[list[str], list[Container]]:
         if m[1]:
             if tag in _RAW:
                 continue
-            to = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if count.get(tag) else None
-            if to is not None:
+            if places.get(tag):
+                to = places[tag][-1]
                 if tag not in _INLINE:
                     flush()
-                elif any(t not in _INLINE for t, _, _ in stack[to:]):
+                elif blocks and blocks[-1] > to:
                     continue  # a stray end of an inline element closes no block
-                for t, _, _ in stack[to:]:
-                    count[t] -= 1
                 pop(to)
             continue
         if tag in _RAW:
             end = _raw_end(tag).search(page, at)
             at = end.end() if end else len(page)
             continue
-        count[tag] = count.get(tag, 0) + 1
         if tag in _INLINE:
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, out, open_[-1]))
             links += tag == "a"
             continue
         flush()
         shut = _CLOSES_SAME.get(tag) or ({"p"} if tag in _CLOSES_P else None)
-        if shut and any(count.get(t) for t in shut):
+        if shut and any(places.get(t) for t in shut):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in shut:
-                    for t, _, _ in stack[i:]:
-                        count[t] -= 1
                     pop(i)
                     break
                 if stack[i][0] not in _INLINE and stack[i][0] not in ("td", "th", "p") or stack[i][0] in ("td", "th") and tag not in ("td", "th", "tr"):
@@ -174,7 +188,9 @@ def parse(page: str) -> tuple[list[str], list[Container]]:
             attributes.setdefault(k.lower(), html.unescape(a or b or c))
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
         gone = tag in _OUT or tag == "header" and not open_[-1].article or "hidden" in attributes or attributes.get("role", "").lower() in _OUT_ROLES
-        doubtful = tag == "form" or tag not in ("html", "body", "article", "main") and names.strip() != "" and bool(_OUT_NAMES.search(names))
+        doubtful = tag == "form" or tag not in ("html", "body", "article", "main") and _named_out(tag, names, open_[-1].article)
+        places.setdefault(tag, []).append(len(stack))
+        blocks.append(len(stack))
         stack.append((tag, out or gone, open_[-1]))
         out = out or gone
         if (tag not in _LEAVES or doubtful) and tag not in ("html", "body"):

@@ -352,6 +352,31 @@ def test_articles_over_nested_containers_are_whole(spark):
         assert "other" not in text and (url is None or len(text.split("\n\n")) == kinds[url[7:12]][1])
 
 
+PROSE = "<p>" + "Prose of the article goes on and on, with many words in it. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "extra",
+    ['<header class="entry-header"><h1>Kept</h1></header>', '<section id="related-work"><p>Kept</p></section>', '<p class="share-price">Kept</p>', '<p class="form-letter">Kept</p>', '<h2 id="notice-period">Kept</h2>', "<p>Kept <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>"],
+)
+def test_names_cost_no_article_text(extra):
+    text = html_text.main_text(f"<body><nav>Menu</nav><article>{extra}{PROSE}</article><footer>foot</footer></body>")
+    assert text.startswith("Kept") and len(text.split("\n\n")) == 2 and "Menu" not in text and ("math" not in extra or text.startswith("Kept x=2"))
+
+
+@pytest.mark.parametrize("extra", ['<div class="comments"><p>Gone</p></div>', '<div class="share">Gone</div>', '<div class="related-posts"><a href=x>Gone</a></div>', '<div class="post-share-buttons">Gone</div>', '<div class="cookie-notice">Gone</div>', '<section id="comments"><h3>Gone</h3><p>Gone</p></section>', '<ul class="social-links"><li>Gone</li></ul>'])
+def test_what_stands_around_articles_still_goes(extra):
+    assert "Gone" not in html_text.main_text(f"<body><article>{PROSE}{extra}</article></body>")
+
+
+def test_stray_ends_cost_no_search():
+    import time
+
+    began = time.time()
+    texts, _ = html_text.parse("<i>" + "<div>" * 40_000 + "x" + "</i>" * 40_000)
+    assert texts == ["x"] and time.time() - began < 20
+
+
 # 6
 
 
