@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nucleispark.operators.batches import deal
+from nucleispark.operators.batches import deal, whole_groups
 from nucleispark.session import checkpointed
 
 
@@ -21,23 +21,28 @@ def iou(a: str = "a", b: str = "b") -> Column:
 
 
 def nms_by_group(dets: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """Greedy NMS inside each group (a tile): by score, then nucleus_id, a box goes if its IoU with a kept one is over the threshold."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "nucleus_id"], ascending=[False, True])
-        x0, y0, x1, y1 = (pdf[c].to_numpy(float) for c in ("x0", "y0", "x1", "y1"))
-        area, alive, kept = (x1 - x0) * (y1 - y0), np.ones(len(pdf), bool), []
-        for i in range(len(pdf)):
-            if not alive[i]:
-                continue
-            kept.append(i)
-            w = np.maximum(np.minimum(x1[i], x1) - np.maximum(x0[i], x0), 0)
-            h = np.maximum(np.minimum(y1[i], y1) - np.maximum(y0[i], y0), 0)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                alive &= ~(w * h / (area[i] + area - w * h) > threshold)
-        return pdf.iloc[kept]
-
-    return deal(dets, *keys).groupBy(*keys).applyInPandas(one, dets.schema)
+    """Greedy NMS inside each group (a tile): by score, then nucleus_id, a box goes if its IoU with a kept one is over the threshold.
+    Rows dealt and sorted by group are read in batches of many groups."""
+
+    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+        group = np.cumsum(np.append(False, (pdf[keys].iloc[1:].to_numpy() != pdf[keys].iloc[:-1].to_numpy()).any(axis=1)))
+        order = np.lexsort((pdf["nucleus_id"].to_numpy(), -pdf["score"].to_numpy(float), group))
+        x0, y0, x1, y1 = (pdf[c].to_numpy(float)[order] for c in ("x0", "y0", "x1", "y1"))
+        area, kept = (x1 - x0) * (y1 - y0), []
+        cuts = np.flatnonzero(np.diff(group[order])) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pdf)], strict=True):
+            alive = np.ones(hi - lo, bool)
+            for i in range(lo, hi):
+                if not alive[i - lo]:
+                    continue
+                kept.append(i)
+                w = np.maximum(np.minimum(x1[i], x1[lo:hi]) - np.maximum(x0[i], x0[lo:hi]), 0)
+                h = np.maximum(np.minimum(y1[i], y1[lo:hi]) - np.maximum(y0[i], y0[lo:hi]), 0)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    alive &= ~(w * h / (area[i] + area[lo:hi] - w * h) > threshold)
+        return pdf.iloc[order[kept]]
+
+    return deal(dets, *keys).sortWithinPartitions(*keys).mapInPandas(whole_groups(keys, greedy), dets.schema)
 
 
 def _overlaps(dets: DataFrame, threshold: float, bin_size: int) -> DataFrame:

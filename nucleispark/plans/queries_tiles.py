@@ -134,10 +134,15 @@ def U2_open_neighbors(spark, sf_dir):
     return tiles.neighbor_tiles(newest.select("slide_id", "t.tile_col", "t.tile_row"), 8, 8, others_only=True)
 
 
-@query(f"WITH {_NEAR} SELECT * FROM near EXCEPT SELECT slide_id, tile_col, tile_row FROM requests", "requests")
+@query(
+    """SELECT DISTINCT slide_id, tile_col + c AS tile_col, tile_row + r AS tile_row FROM requests, range(-1, 2) AS a(c), range(-1, 2) AS b(r) WHERE tile_col + c BETWEEN 0 AND 9 AND tile_row + r BETWEEN 0 AND 9
+      EXCEPT SELECT slide_id, tile_col, tile_row FROM requests""",
+    "requests",
+)
 def U2_open_neighbors_all(spark, sf_dir):
+    """In a grid that goes on beyond the requested tiles."""
     (rows,) = tables(spark, sf_dir, "requests")
-    return tiles.neighbor_tiles(rows.select("slide_id", "tile_col", "tile_row"), 8, 8, others_only=True)
+    return tiles.neighbor_tiles(rows.select("slide_id", "tile_col", "tile_row"), 10, 10, others_only=True)
 
 
 @query(

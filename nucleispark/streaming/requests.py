@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -52,10 +53,13 @@ def serve(requests: DataFrame, score: Callable[[DataFrame], DataFrame], path: st
         spark = rows.sparkSession
         key = ["slide_id", "tile_col", "tile_row"]
         open_tiles = rows.dropDuplicates(key)
-        jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if jvm.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm):
-            done = spark.read.parquet(path).filter(F.col("batch_id") != batch_id).select(*key).distinct()
-            open_tiles = open_tiles.join(done, key, "left_anti")
+        try:
+            stored = spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        else:
+            open_tiles = open_tiles.join(stored.filter(F.col("batch_id") != batch_id).select(*key).distinct(), key, "left_anti")
         score(open_tiles).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
     rows = once(requests) if once_only else requests
