@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -63,6 +63,22 @@ def kernel_rows(spark, kernels: dict[int, np.ndarray]) -> DataFrame:
     return spark.createDataFrame(rows, "cls int, dr int, dc int, weight double")
 
 
+def class_kernels(radius: DataFrame, scale: float, method: str = "gaussian") -> DataFrame:
+    """(slide_id, cls, dr, dc, weight): the taps of each class's smoothing kernel, from (slide_id, cls, radius); none for a radius
+    that is null or at most 1."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for slide, cls, r in pdf.itertuples(index=False):
+                kernel = density_kernel(float(r), scale, method)
+                if kernel is not None:
+                    i, j = np.nonzero(kernel)
+                    yield pd.DataFrame({"slide_id": slide, "cls": cls, "dr": i - len(kernel) // 2, "dc": j - len(kernel) // 2, "weight": kernel[i, j]})
+
+    kind = radius.schema["slide_id"].dataType.simpleString()
+    return radius.filter("radius > 1").select("slide_id", "cls", "radius").mapInPandas(run, f"slide_id {kind}, cls int, dr int, dc int, weight double")
+
+
 def smooth_by_taps(pooled: DataFrame, kernels: DataFrame, sizes: DataFrame) -> DataFrame:
     """Same-size correlation with zero padding: each cell adds its taps to its neighbours. For kernels of few taps; kernels: (cls, dr,
     dc, weight); sizes: (slide_id, gh, gw). Classes without kernel stay as they are."""

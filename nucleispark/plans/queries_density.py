@@ -95,7 +95,28 @@ def D2_smooth_by_taps(spark, sf_dir):
     return density.smooth_by_taps(_pooled(spark, sf_dir), taps, density.pooled_sizes(slides, 32)).withColumn("d", F.round("d", 9))
 
 
-@query(None)
+# Kernels from their definition: a disk of half the reach, blurred by a Gaussian with mirrored ends, inside the disk of the reach.
+_KERNELS = """rad AS (SELECT slide_id, CAST(label - 1 AS INT) AS cls, quantile_disc(sqrt((x1 - x0) * (y1 - y0)), 0.5) / 2 AS radius FROM detections WHERE label BETWEEN 1 AND 3 GROUP BY ALL),
+  own AS (SELECT *, CAST(round_even(radius / 4, 0) AS INT) AS a, CAST(round_even(radius / 2, 0) AS INT) AS b FROM rad WHERE radius > 1), ker AS (SELECT DISTINCT a, b, 2 * b + 1 AS n FROM own),
+  tap AS (SELECT a, b, n, t, e / sum(e) OVER (PARTITION BY a, b) AS w FROM (SELECT *, CASE WHEN a = 0 THEN 1 ELSE exp(-0.5 * (t / (a / 2)) ** 2) END AS e FROM (SELECT *, unnest(range(-2 * a, 2 * a + 1)) AS t FROM ker))),
+  line AS (SELECT a, b, i, least(s, 2 * n - 1 - s) AS j, sum(w) AS w FROM (SELECT *, (i + t + 2 * n) % (2 * n) AS s FROM (SELECT *, unnest(range(n)) AS i FROM tap)) GROUP BY ALL),
+  kern AS (SELECT x.a, x.b, CAST(x.i - x.b AS INT) AS dr, CAST(y.i - y.b AS INT) AS dc, sum(x.w * y.w) AS weight FROM line x JOIN line y ON x.a = y.a AND x.b = y.b AND (x.j - x.b) ** 2 + (y.j - y.b) ** 2 <= x.a ** 2
+    WHERE (x.i - x.b) ** 2 + (y.i - y.b) ** 2 <= x.b ** 2 GROUP BY ALL)"""
+
+
+@query(f"WITH {_KERNELS} SELECT slide_id, cls, dr, dc, round(weight, 9) AS weight FROM own JOIN kern USING (a, b) WHERE weight <> 0", "detections")
+def D1_density_kernels(spark, sf_dir):
+    on_workers(spark)
+    (dets,) = tables(spark, sf_dir, "detections")
+    return density.class_kernels(features.class_radius(boxes.filter_labels(dets, 3), 3), 1 / 32).withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    f"""WITH {_POOL}, {_KERNELS} SELECT p.slide_id, p.cls, CAST(gr - dr AS INT) AS gr, CAST(gc - dc AS INT) AS gc, round(sum(d * weight), 9) AS d FROM pool p JOIN own USING (slide_id, cls) JOIN kern USING (a, b)
+      WHERE gr - dr BETWEEN 0 AND 127 AND gc - dc BETWEEN 0 AND 127 GROUP BY ALL HAVING sum(d * weight) <> 0
+      UNION ALL SELECT slide_id, cls, CAST(gr AS INT), CAST(gc AS INT), round(d, 9) FROM pool ANTI JOIN own USING (slide_id, cls)""",
+    "detections",
+)
 def D2_smooth_density(spark, sf_dir):
     on_workers(spark)
     dets, slides = tables(spark, sf_dir, "detections", "slides")

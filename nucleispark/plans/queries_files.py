@@ -118,8 +118,8 @@ def S13_tile_plan(spark, sf_dir):
 
 
 @query(
-    """SELECT d.slide_id, d.nucleus_id, m.area FROM detections d
-      LEFT JOIN (SELECT slide_id, nucleus_id, (x1 - x0) * (y1 - y0) AS area FROM detections WHERE label > 0) m USING (slide_id, nucleus_id)""",
+    """WITH d AS MATERIALIZED (SELECT slide_id, nucleus_id, label, (x1 - x0) * (y1 - y0) AS area FROM detections), m AS MATERIALIZED (SELECT slide_id, nucleus_id, area FROM d WHERE label > 0)
+      SELECT d.slide_id, d.nucleus_id, m.area FROM d LEFT JOIN m ON m.slide_id = d.slide_id AND m.nucleus_id = d.nucleus_id""",
     "detections",
 )
 def J5_attach_masks(spark, sf_dir):
