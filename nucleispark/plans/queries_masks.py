@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from nucleispark.functions.scalars import polygon_area
 from nucleispark.operators import boxes, masks, pixels, raster
 from nucleispark.plans.fixtures import tables
 from nucleispark.plans.registry import query
@@ -241,7 +242,19 @@ def X7_entropy(spark, sf_dir):
     return pixels.entropy(pixels.histogram(_levels(spark, sf_dir), ["vec_id"]), ["vec_id"]).withColumn("entropy", F.round("entropy", 6))
 
 
-@query(None)
+# Thresholds of the entropies `en` (image, gr, gc, channel, level) by image and channel, and the blocks at or over one of them.
+_OVER = """lev AS (SELECT DISTINCT image, channel, level FROM en), side AS (SELECT lev.image, lev.channel, lev.level, count(*) FILTER (en.level < lev.level) AS w0, count(*) FILTER (en.level >= lev.level) AS w1,
+    avg(en.level) FILTER (en.level < lev.level) AS m0, avg(en.level) FILTER (en.level >= lev.level) AS m1 FROM lev JOIN en USING (image, channel) GROUP BY ALL),
+  thr AS (SELECT image, channel, arg_min(level, {'a': -round(w0 * w1 * (m0 - m1) ** 2, 6), 'l': level}) AS threshold FROM side WHERE w0 > 0 GROUP BY ALL),
+  tis AS (SELECT DISTINCT image, gr, gc FROM en JOIN thr USING (image, channel) WHERE level >= threshold)"""
+_AT = "vec_id // 100 AS image, CAST(vec_id // 10 % 10 AS INT) AS gr, CAST(vec_id % 10 AS INT) AS gc"
+
+
+@query(
+    f"""WITH {_LEVEL}, p AS (SELECT vec_id, level // 8 AS l, count(*) / 64 AS p FROM lv GROUP BY ALL), en AS (SELECT {_AT}, 0 AS channel, floor(-sum(p * log2(p)) * 32) AS level FROM p GROUP BY vec_id), {_OVER}
+      SELECT image, gr, gc FROM tis""",
+    "pixels",
+)
 def X7_tissue_blocks(spark, sf_dir):
     """Vectors as blocks of images of a hundred."""
     blocks = pixels.histogram(_levels(spark, sf_dir).withColumn("level", F.expr("level div 8")), ["vec_id"])
@@ -249,6 +262,27 @@ def X7_tissue_blocks(spark, sf_dir):
     return pixels.tissue_blocks(own, "image")
 
 
+@query(
+    f"""WITH RECURSIVE ch AS (SELECT vec_id, c, CAST(floor((v + 1) * f) AS INT) AS l FROM pixels, (VALUES ('r', 4), ('g', 3), ('b', 5)) AS k(c, f)), p AS (SELECT vec_id, c, l, count(*) / 64 AS p FROM ch GROUP BY ALL),
+      en AS (SELECT {_AT}, c AS channel, floor(-sum(p * log2(p)) * 32) AS level FROM p GROUP BY vec_id, c), {_OVER}, near(dr, dc) AS (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)),
+      bg AS (SELECT image, CAST(r AS INT) AS gr, CAST(c AS INT) AS gc FROM (SELECT DISTINCT image FROM en), range(10) AS a(r), range(10) AS b(c) WHERE (image, r, c) NOT IN (SELECT (image, gr, gc) FROM tis)),
+      way_out AS (SELECT * FROM bg WHERE gr IN (0, 9) OR gc IN (0, 9) UNION SELECT bg.image, bg.gr, bg.gc FROM way_out o JOIN near ON true JOIN bg ON bg.image = o.image AND bg.gr = o.gr + dr AND bg.gc = o.gc + dc),
+      filled AS (SELECT * FROM tis UNION ALL SELECT * FROM bg WHERE (image, gr, gc) NOT IN (SELECT (image, gr, gc) FROM way_out)),
+      part USING KEY (image, gr, gc) AS (SELECT image, gr, gc, gr * 10 + gc AS root FROM filled
+        UNION SELECT f.image, f.gr, f.gc, min(p.root) AS root FROM part p JOIN near ON true JOIN recurring.part f ON f.image = p.image AND f.gr = p.gr + dr AND f.gc = p.gc + dc WHERE p.root < f.root GROUP BY f.image, f.gr, f.gc),
+      big AS (SELECT image, root FROM part GROUP BY ALL HAVING count(*) >= 4)
+      SELECT image, gr, gc, CAST(dense_rank() OVER (PARTITION BY image ORDER BY root) AS INT) AS component FROM part SEMI JOIN big USING (image, root)""",
+    "pixels",
+)
+def X7_tissue_from_pixels(spark, sf_dir):
+    """A hundred vectors as the blocks of an image of 80 x 80 pixels in three channels; parts of fewer than four blocks go."""
+    on_workers(spark)
+    level = lambda f: F.floor((F.col("v") + 1) * f).cast("int")
+    rows = _pixels(spark, sf_dir).select(F.expr("vec_id div 100").alias("image"), (F.expr("vec_id div 10 % 10") * 8 + F.col("y")).alias("y"), (F.col("vec_id") % 10 * 8 + F.col("x")).alias("x"), level(4).alias("r"), level(3).alias("g"), level(5).alias("b"))
+    sizes = rows.select("image").distinct().withColumns({"gh": F.lit(10), "gw": F.lit(10)})
+    return pixels.tissue_from_pixels(rows, "image", sizes, block=8, least_share=0.04)
+
+
 @query("SELECT vec_id, y, x, round(CASE WHEN v * 100 <= 39.5 - 59 / 2.0E0 THEN 0 WHEN v * 100 > 39.5 + 59 / 2.0E0 THEN 255 ELSE ((v * 100 - 39.5) / 59 + 0.5) * 255 END, 6) AS shown FROM pixels", "pixels")
 def X8_window_center(spark, sf_dir):
     return _pixels(spark, sf_dir).select("vec_id", "y", "x", F.round(pixels.window_center(F.col("v") * 100, 40, 60), 6).alias("shown"))
@@ -314,3 +348,18 @@ def G12_draw_detections(spark, sf_dir):
     own = dets.withColumn("vertices", F.when(F.col("label") == 2, _hexagons(dets)))
     moved = F.transform("vertices", lambda p: F.struct((p["x"] - F.rint("x0")).alias("x"), (p["y"] - F.rint("y0")).alias("y")))
     return _by_row(raster.draw_detections(own.withColumn("mask_poly", moved).drop("vertices"), slides))
+
+
+@query(
+    f"""WITH hexa AS (SELECT slide_id, nucleus_id, label, {_HEX} AS v FROM detections)
+      SELECT slide_id AS image_id, nucleus_id % 100000 AS id, label, len(v) AS n, round(list_sum(list_transform(v, lambda p: p.x)), 6) AS x_sum, round(list_sum(list_transform(v, lambda p: p.y)), 6) AS y_sum,
+        round(abs(list_sum(list_transform(list_zip(v, list_concat(v[2:], v[1:1])), lambda s: s[1].x * s[2].y - s[2].x * s[1].y))) / 2, 6) AS area FROM hexa""",
+    "detections",
+)
+def S12_polygon_rows(spark, sf_dir):
+    """Polygons as annotation rows in JSON, and back."""
+    (dets,) = tables(spark, sf_dir, "detections")
+    rows = dets.select((F.col("slide_id") * 100_000 + F.col("nucleus_id")).alias("id"), F.col("slide_id").alias("image_id"), "label", _hexagons(dets).alias("vertices"))
+    back = masks.from_coco_polygons(masks.to_coco_polygons(rows))
+    total = lambda c: F.round(F.aggregate("vertices", F.lit(0.0), lambda s, p: s + p[c]), 6)
+    return back.select("image_id", (F.col("id") % 100_000).alias("id"), "label", F.size("vertices").alias("n"), total("x").alias("x_sum"), total("y").alias("y_sum"), F.round(polygon_area(F.col("vertices")), 6).alias("area"))
