@@ -17,7 +17,8 @@ about 2 / (width + 1) of them a token. Two passages share a MinHash value exactl
 
 So a passage that an earlier document has word for word is always found (but for collisions of 64-bit hashes): the first
 holder of a range never finds it in an earlier document, so it always gives the range's key. A passage of similarity s is
-found if NEED of HASHES functions agree, with probability 0.973 at s = 0.8 and 0.996 at 0.9.
+found if NEED of HASHES functions agree, with probability 0.973 at s = 0.8 and 0.996 at 0.9, where no earlier document holds
+those values with only a part of the passage; one that does stands first under the key, and the search ends there.
 
 Whole texts are never collected: heads' texts are cut to tiles of powers of two, so the pieces that a document gives are
 bounded by its length, whatever the number of its copies.
