@@ -116,13 +116,18 @@ _FILL = f"""hexa AS (SELECT slide_id, nucleus_id, label, {_HEX} AS v FROM detect
     UNION ALL SELECT slide_id, nucleus_id, label, CAST(ay AS INT), CAST(ceil(least(ax, bx)) AS INT), CAST(floor(greatest(ax, bx)) AS INT) FROM edge WHERE ay = by_ AND ay = round(ay) AND ceil(least(ax, bx)) <= floor(greatest(ax, bx)))"""
 
 
+# Each pixel once: of every run what lies beyond those before it.
+_PX = """ahead AS (SELECT *, coalesce(max(x1) OVER (PARTITION BY slide_id, nucleus_id, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), x0 - 1) AS done FROM drawn),
+  px AS (SELECT slide_id, nucleus_id, y, unnest(range(greatest(x0, done + 1), x1 + 1)) AS x FROM ahead WHERE x1 > done)"""
+
+
 def _hexagons(dets):
     p = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
     return F.array(p("x0 + (x1 - x0) / 4", "y0"), p("x1", "y0 + (y1 - y0) / 3"), p("x1 - 2", "y1 - 1.25E0"), p("x0 + (x1 - x0) / 2", "y1"), p("x0 + 1", "y1"), p("x0", "(y0 + y1) / 2"))
 
 
 @query(
-    f"""WITH {_FILL}, px AS (SELECT DISTINCT slide_id, nucleus_id, y, unnest(range(x0, x1 + 1)) AS x FROM drawn)
+    f"""WITH {_FILL}, {_PX}
       SELECT slide_id, nucleus_id, count(*) AS n, CAST(sum(x) AS BIGINT) AS sx, CAST(sum(y) AS BIGINT) AS sy, CAST(sum(x * y) AS BIGINT) AS sxy FROM px GROUP BY ALL""",
     "detections",
 )
@@ -137,7 +142,7 @@ def M1_polygon_fill(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_FILL}, px AS (SELECT DISTINCT slide_id, nucleus_id, y, unnest(range(x0, x1 + 1)) AS x FROM drawn),
+    f"""WITH {_FILL}, {_PX},
       m AS (SELECT slide_id, nucleus_id, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1, avg(x) AS xc, avg(y) AS yc, var_pop(y) + 1 / 12 AS a, var_pop(x) + 1 / 12 AS b, covar_pop(x, y) AS c FROM px GROUP BY ALL),
       e AS (SELECT *, (a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c * c) AS big, (a + b) / 2 - sqrt(((a - b) / 2) ** 2 + c * c) AS small FROM m)
       SELECT slide_id, nucleus_id, area, x0, y0, x1, y1, round(xc, 6) AS xc, round(yc, 6) AS yc, round(area / ((x1 - x0 + 1) * (y1 - y0 + 1)), 6) AS extent, round(sqrt(1 - small / big), 5) AS eccentricity, round(4 * sqrt(big), 6) AS major_axis_length,
