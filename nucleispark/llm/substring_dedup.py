@@ -12,13 +12,16 @@ about 2 / (width + 1) of them a token. Two passages share a MinHash value exactl
 4. Where a key has three windows or more it is crowded: its first document may hold only a part of a passage that others
    share. So ranges of the shortest passage's length get keys of their own. Where so many functions are crowded that fewer
    than NEED have a complete link: the range's hash, unless step 3 found it word for word in an earlier document. Where any
-   is crowded: its value and another linked function's together, unless the range lies in a passage found. The first holder
-   of such a key has the whole range, or both values in one range. Those links go through step 3 too.
+   is crowded: its value and another linked function's together, and, where NEED functions are linked, the range's two ends,
+   unless the range lies in a passage found. The first holder of such a key has the whole range, or both values in one range,
+   or both ends as far apart. Those links go through step 3 too.
 
 So a passage that an earlier document has word for word is always found (but for collisions of 64-bit hashes): the first
 holder of a range never finds it in an earlier document, so it always gives the range's key. A passage of similarity s is
-found if NEED of HASHES functions agree, with probability 0.973 at s = 0.8 and 0.996 at 0.9, where no earlier document holds
-those values with only a part of the passage; one that does stands first under the key, and the search ends there.
+found if NEED of HASHES functions agree, with probability 0.973 at s = 0.8 and 0.996 at 0.9. Earlier documents with a part of
+the passage hold the values, but not its ends: a passage begins and ends with shingles that both have, and of the ranges in
+it one has both ends in the counterpart too, at most EDITS shingles nearer or farther. A range's ends are no key of two
+documents where their lengths differ by more words; there the search by two values ends with the key's first holder.
 
 Whole texts are never collected: heads' texts are cut to tiles of powers of two, so the pieces that a document gives are
 bounded by its length, whatever the number of its copies.
@@ -42,6 +45,8 @@ from nucleispark.session import checkpointed as cut
 MIN_WORDS = 50
 THRESHOLD = 0.8
 HASHES, NEED = 4, 2
+#: By how many words at most a passage of the shortest length may be longer in its counterpart for their ends to be one key.
+EDITS = 2
 #: Keys of at least one in SHARE windows of a sample (one in SAMPLE documents), so at most SHARE keys, are dealt into PARTS.
 #: This spreads work only: results are the same with any of these numbers.
 SAMPLE, SHARE, PARTS = 64, 20_000, 64
@@ -422,6 +427,12 @@ def _open_keys(g: np.ndarray, valid: np.ndarray, centres: np.ndarray, crowded: n
     if len(at):
         out.append((range_hashes(g, width)[at], at, at, ~known[at]))
     at = np.flatnonzero(valid & many.any(0) & ~known)
+    linked = at[(centres[:, at] >= 0).sum(0) >= NEED]
+    for more in range(EDITS + 1):
+        x = linked[linked + more < len(valid)]
+        x = x[valid[x + more]]
+        if len(x):
+            out.append((mix(mix(g[x]) * _ODD + g[x + width - 1 + more]), x, x, np.ones(len(x), bool)))
     for a in range(HASHES):
         for b in range(a + 1, HASHES):
             x = at[(centres[a, at] >= 0) & (centres[b, at] >= 0) & (many[a, at] | many[b, at])]

@@ -624,6 +624,23 @@ def test_near_repeats_of_all_pairs(spark, crowd):
     assert got <= want and len(got) >= 0.95 * len(want) and len(want) > 60
 
 
+@pytest.mark.parametrize("holders", [1, 2, 6, 20])
+def test_holders_of_parts_hide_no_near_repeat(spark, holders):
+    """Passages of 60 words with a word changed, added or left out, of which earlier documents hold 45 words."""
+    rng = random.Random(35)
+    texts, want = {}, set()
+    for n in range(120):
+        p = prose(rng, 60).split()
+        q = p[:30] + (["changed"], ["added", p[30]], [])[n % 3] + p[31:]
+        for h in range(holders):
+            at = rng.randint(0, 15)
+            texts[1000 * n + h] = f"{prose(rng, 20)} {' '.join(p[at : at + 45])} {prose(rng, 20)}"
+        texts |= {1000 * n + 100: f"{prose(rng, 30)} {' '.join(p)} {prose(rng, 30)}", 1000 * n + 200: f"{prose(rng, 25)} {' '.join(q)} {prose(rng, 30)}"}
+        want.add((1000 * n + 200, 1000 * n + 100))
+    got = {(r["doc_id"], r["kept_id"]) for r in substring_dedup.repeated_passages(docs_of(spark, texts)).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
 def test_rows_that_share_an_id_or_have_none(spark):
     t = prose(random.Random(6), 100)
     other = prose(random.Random(7), 100)
