@@ -19,9 +19,10 @@ about 2 / (width + 1) of them a token. Two passages share a MinHash value exactl
 So a passage that an earlier document has word for word is always found (but for collisions of 64-bit hashes): the first
 holder of a range never finds it in an earlier document, so it always gives the range's key. A passage of similarity s is
 found if NEED of HASHES functions agree, with probability 0.973 at s = 0.8 and 0.996 at 0.9. Earlier documents with a part of
-the passage hold the values, but not its ends: a passage begins and ends with shingles that both have, and of the ranges in
-it one has both ends in the counterpart too, at most EDITS shingles nearer or farther. A range's ends are no key of two
-documents where their lengths differ by more words; there the search by two values ends with the key's first holder.
+the passage hold the values, but not the ends of ranges in it, as far apart up to EDITS shingles. Of SPARE ranges in a row one
+gives its ends, chosen by its first shingle, so a passage with as many whose ends both have too is found. Where a passage is
+shorter than SPARE - 1 words more than the shortest, or its sides differ by more words, the search by two values may end with
+a holder of a part, the key's first.
 
 Whole texts are never collected: heads' texts are cut to tiles of powers of two, so the pieces that a document gives are
 bounded by its length, whatever the number of its copies.
@@ -47,6 +48,8 @@ THRESHOLD = 0.8
 HASHES, NEED = 4, 2
 #: By how many words at most a passage of the shortest length may be longer in its counterpart for their ends to be one key.
 EDITS = 2
+#: Of so many ranges that begin one after the other, one gives its ends as a key.
+SPARE = 6
 #: Keys of at least one in SHARE windows of a sample (one in SAMPLE documents), so at most SHARE keys, are dealt into PARTS.
 #: This spreads work only: results are the same with any of these numbers.
 SAMPLE, SHARE, PARTS = 64, 20_000, 64
@@ -260,9 +263,10 @@ def join_intervals(linked: DataFrame, width: int) -> DataFrame:
 
 def key_links(keys: DataFrame, width: int) -> DataFrame:
     """(doc, ranges, places: none) of rows (doc, key, s, e, ask): those that ask, with the key's first row if it is an earlier
-    document's. Minima are combined before they are shuffled, and no group is gathered."""
+    document's. Minima are combined before they are shuffled, no group is gathered, and rows whose key no other document has
+    mostly stay where they are."""
     firsts = cut(keys.groupBy("key").agg(F.min(F.struct("doc", "s", "e")).alias("head"), F.max("doc").alias("last")).filter("head.doc < last").drop("last"))
-    links = keys.filter("ask").join(firsts, "key").filter("head.doc < doc")
+    links = _only(keys.filter("ask"), firsts, "key").join(firsts, "key").filter("head.doc < doc")
     links = links.groupBy("doc").agg(F.collect_set(F.struct("s", "e", F.col("head.doc").alias("other"), F.col("head.s").alias("os"), F.col("head.e").alias("oe"), F.xxhash64("head.doc").alias("code"))).alias("links"))
 
     def run(lists: pa.Array) -> list[pa.Array]:
@@ -273,10 +277,10 @@ def key_links(keys: DataFrame, width: int) -> DataFrame:
     return map_column(links, "links", ["doc"], f"{_ranges_ddl(links.schema['doc'].dataType)}, places array<bigint>", run)
 
 
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows that may have a `doc` of `ids`: a filter of FILTER_BITS bits, at most FILTER_BITS / 64 rows of two numbers, spares
+def _only(rows: DataFrame, ids: DataFrame, id: str = "doc") -> DataFrame:
+    """The rows that may have an `id` of `ids`: a filter of FILTER_BITS bits, at most FILTER_BITS / 64 rows of two numbers, spares
     the others a shuffle. With very many ids it lets all pass; the join that follows decides."""
-    bit = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+    bit = F.pmod(F.xxhash64(id), F.lit(FILTER_BITS))
     filled = ids.select(bit.alias("b")).groupBy(F.expr("b div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits"))
     kept = rows.withColumn("b", bit).withColumn("w", F.expr("b div 64")).join(F.broadcast(filled), "w")
     return kept.filter("shiftright(bits, cast(b % 64 as int)) & 1 = 1").drop("b", "w", "bits")
@@ -427,7 +431,9 @@ def _open_keys(g: np.ndarray, valid: np.ndarray, centres: np.ndarray, crowded: n
     if len(at):
         out.append((range_hashes(g, width)[at], at, at, ~known[at]))
     at = np.flatnonzero(valid & many.any(0) & ~known)
-    linked = at[(centres[:, at] >= 0).sum(0) >= NEED]
+    chosen = winnow(np.where(valid, mix(g), ~np.uint64(0)), np.arange(len(g)) + SPARE <= len(g), SPARE)
+    linked = np.intersect1d(at, chosen, assume_unique=True)
+    linked = linked[(centres[:, linked] >= 0).sum(0) >= NEED]
     for more in range(EDITS + 1):
         x = linked[linked + more < len(valid)]
         x = x[valid[x + more]]
