@@ -17,6 +17,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nucleispark.session import checkpointed as cut
+
 MIN_SUPPORT = 0.02
 MIN_CONFIDENCE = 0.8
 DEFAULT = "allow"
@@ -72,22 +74,48 @@ def items_of(labelled: DataFrame, min_support: float) -> DataFrame:
 def mine(labelled: DataFrame, items: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (items, label, confidence, support, index) from rows (tokens array<string>, label string) and items_of() them.
 
-    There are at most 2^t / min_support rules for urls of t items, whatever the number of rows. Rows with a null label or
-    without tokens are left out; none at all give no rules. index: the rule's rarest item among the labelled rows.
+    An item that only urls of one label have is a rule of confidence 1, which none with more items can beat: it is left out of the
+    transactions, whose number stays. Of the other items, urls of t of them give up to 2^t / min_support itemsets, whatever the
+    number of rows. Rows with a null label or without tokens are left out; none at all give no rules. index: the rule's rarest item
+    among the labelled rows.
     """
     rows = labelled.filter("label is not null and size(tokens) > 0").groupBy("tokens", "label").agg(F.count("*").alias("n"))
-    known = rows.withColumn("token", F.explode("tokens")).join(items, "token").groupBy("tokens", "label").agg(F.collect_set("item").alias("items"))
-    rows = rows.join(known, ["tokens", "label"], "left").withColumn("items", F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.concat(F.lit(_LABEL), "label")))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows.select("items", F.explode(F.sequence(F.lit(1), F.col("n")))).select("items"))
-    found = model.associationRules.filter(F.startswith(F.get("consequent", F.lit(0)), F.lit(_LABEL)) & ~F.exists("antecedent", lambda t: F.startswith(t, F.lit(_LABEL))))
-    rules = found.select(F.array_sort("antecedent").alias("items"), F.substring(F.get("consequent", F.lit(0)), len(_LABEL) + 1, 1 << 20).alias("label"), "confidence", "support")
-    parts = F.transform(F.sequence(F.lit(1), F.expr("shiftleft(1, size(items)) - 2")), lambda m: F.filter("items", lambda _, i: F.call_function("getbit", m.cast("long"), i) == 1))
-    smaller = rules.filter(F.size("items") > 1).select("items", "label", "confidence", F.explode(parts).alias("part"))
-    other = rules.select(F.col("items").alias("part"), "label", F.col("confidence").alias("had"))
-    needless = smaller.join(other, ["part", "label"]).filter("had >= confidence").select("items", "label").distinct()
-    counts = model.freqItemsets.filter(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("item"), "freq")
-    by_item = rules.join(needless, ["items", "label"], "left_anti").withColumn("item", F.explode("items")).join(counts, "item")
-    return by_item.groupBy("items", "label", "confidence", "support").agg(F.min_by("item", F.struct("freq", "item")).alias("index"))
+    known = cut(rows.withColumn("token", F.explode("tokens")).join(items, "token").select("tokens", "label", "n", "item").distinct())
+    counts = cut(known.groupBy("item").agg(F.sum("n").alias("n"), F.min("label").alias("label"), F.max("label").alias("other")))
+    total = F.lit(max(1, rows.agg(F.sum("n")).first()[0] or 0))
+    pure = counts.filter("label = other").select(F.array("item").alias("items"), "label", F.lit(1.0).alias("confidence"), (F.col("n") / total).alias("support"), F.col("item").alias("index"))
+
+    open_items = known.join(counts.filter("label <> other").select("item"), "item").groupBy("tokens", "label").agg(F.collect_set("item").alias("items"))
+    sets = rows.join(open_items, ["tokens", "label"], "left").withColumn("items", F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.concat(F.lit(_LABEL), "label")))
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(sets.select("items", F.explode(F.sequence(F.lit(1), F.col("n")))).select("items"))
+    rules = best_rules(model.freqItemsets, min_confidence).withColumn("support", F.col("both") / total)
+    by_item = rules.withColumn("item", F.explode("items")).join(counts.select("item", "n"), "item")
+    mined = by_item.groupBy("items", "label", "confidence", "support").agg(F.min_by("item", F.struct("n", "item")).alias("index"))
+    return pure.filter(F.col("confidence") >= min_confidence).unionByName(mined)
+
+
+def best_rules(itemsets: DataFrame, min_confidence: float) -> DataFrame:
+    """Rules (items, label, both, confidence) from frequent itemsets (items, freq), labels among the items: those with enough
+    confidence and more than any rule of the label has with fewer of the items. both: how many have the items and the label.
+
+    Level by level: the best confidence of a rule's parts is that of the parts with one item less and of their parts.
+    """
+    is_label = lambda i: F.startswith(i, F.lit(_LABEL))
+    plain = itemsets.filter(~F.exists("items", is_label)).select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))
+    named = itemsets.filter(F.exists("items", is_label)).select(
+        F.array_sort(F.filter("items", lambda i: ~is_label(i))).alias("items"), F.substring(F.get(F.filter("items", is_label), F.lit(0)), len(_LABEL) + 1, 1 << 20).alias("label"), F.col("freq").alias("both")
+    )
+    rules = cut(named.join(plain, "items").select("items", "label", "both", (F.col("both") / F.col("n")).alias("confidence")))
+    level = rules.filter("size(items) = 1").withColumn("best", F.col("confidence"))
+    kept = level.filter(F.col("confidence") >= min_confidence)
+    for size in range(2, (rules.agg(F.max(F.size("items"))).first()[0] or 0) + 1):
+        parts = F.transform("items", lambda i: F.array_remove("items", i))
+        here = rules.filter(F.size("items") == size).withColumn("part", F.explode(parts))
+        had = here.join(level.select(F.col("items").alias("part"), "label", "best"), ["part", "label"])
+        had = cut(had.groupBy("items", "label", "both", "confidence").agg(F.max("best").alias("had")))
+        level = had.withColumn("best", F.greatest("confidence", "had"))
+        kept = kept.unionByName(level.filter((F.col("confidence") >= min_confidence) & (F.col("had") < F.col("confidence"))).drop("had"))
+    return kept.drop("best")
 
 
 def match(urls: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
@@ -112,17 +140,17 @@ def filter_urls(
     path and no tokens: the default. Repeated rows are judged alike; other columns are not looked at.
     """
     host, path = host_and_path(F.col("url"))
-    cut = pages.select(F.col(id).alias("id"), F.col(url).alias("url")).select("id", "url", host.alias("host"), path.alias("path"))
+    split = pages.select(F.col(id).alias("id"), F.col(url).alias("url")).select("id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    cut = cut.select("id", "url", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
+    split = split.select("id", "url", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
     if labelled is None:
-        labelled = cut.filter("verdict is not null").select("url", F.col("verdict").alias("label"))
+        labelled = split.filter("verdict is not null").select("url", F.col("verdict").alias("label"))
     labelled = labelled.select(tokens(F.col("url")).alias("tokens"), "label")
     items = items_of(labelled, min_support)
     mined = mine(labelled, items, min_support=min_support, min_confidence=min_confidence)
     nothing = [F.lit(None).cast("array<string>").alias("mined_tokens"), F.lit(None).cast("double").alias("confidence")]
-    ruled = cut.filter("verdict is not null").select("id", "host", "path", "rule", "verdict", *nothing)
-    rest = cut.filter("verdict is null").withColumn("tokens", tokens(F.col("url")))
+    ruled = split.filter("verdict is not null").select("id", "host", "path", "rule", "verdict", *nothing)
+    rest = split.filter("verdict is null").withColumn("tokens", tokens(F.col("url")))
     bare = rest.filter("size(tokens) = 0").select("id", "host", "path", "rule", F.lit(default).alias("verdict"), *nothing)
     rest = rest.filter("size(tokens) > 0")
     other = rest.join(match(rest, mined, items), "tokens", "left").select("id", "host", "path", "rule", F.coalesce("label", F.lit(default)).alias("verdict"), F.col("rule_tokens").alias("mined_tokens"), "confidence")

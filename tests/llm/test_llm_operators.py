@@ -100,24 +100,57 @@ def test_url_rules_and_tokens(spark):
     assert url_filter.filter_urls(pages.filter("page_id > 99"), queries.RULES).count() == 0
 
 
+def rules_plainly(rows, names, longest, min_support=0.02, min_confidence=0.8):
+    rules = {}
+    for n in range(1, longest + 1):
+        for s in combinations(names, n):
+            has = [lab for t, lab in rows if set(s) <= set(t)]
+            for lab in ("block", "allow"):
+                if has.count(lab) >= np.ceil(min_support * len(rows)) and has.count(lab) / len(has) >= min_confidence:
+                    rules[s, lab] = has.count(lab) / len(has)
+    return {(s, lab, round(c, 9)) for (s, lab), c in rules.items() if not any(o != s and set(o) < set(s) and ol == lab and oc >= c for (o, ol), oc in rules.items())}
+
+
+def rules_mined(spark, rows):
+    table = spark.createDataFrame(rows, "tokens array<string>, label string")
+    mined = url_filter.mine(table, url_filter.items_of(table, 0.02), min_support=0.02, min_confidence=0.8).collect()
+    assert all(r["index"] in r["items"] for r in mined)
+    for r in mined:
+        assert round(r["support"] * len(rows)) == sum(set(r["items"]) <= set(t) and lab == r["label"] for t, lab in rows)
+    return {(tuple(r["items"]), r["label"], round(r["confidence"], 9)) for r in mined}
+
+
 def test_mined_rules_against_brute_force(spark):
     rng = random.Random(3)
     rows = []
     for _ in range(300):
         t = sorted({rng.choice("abcdef") for _ in range(rng.randint(1, 4))})
         rows.append((t, "block" if ("a" in t and rng.random() < 0.95) or rng.random() < 0.1 else "allow"))
-    table = spark.createDataFrame(rows, "tokens array<string>, label string")
-    items = url_filter.items_of(table, 0.02)
-    got = {(tuple(r["items"]), r["label"], round(r["confidence"], 9)) for r in url_filter.mine(table, items, min_support=0.02, min_confidence=0.8).collect()}
-    rules = {}
-    for n in range(1, 5):
-        for s in combinations("abcdef", n):
-            has = [lab for t, lab in rows if set(s) <= set(t)]
-            for lab in ("block", "allow"):
-                if has.count(lab) >= np.ceil(0.02 * len(rows)) and has.count(lab) / len(has) >= 0.8:
-                    rules[s, lab] = has.count(lab) / len(has)
-    want = {(s, lab, round(c, 9)) for (s, lab), c in rules.items() if not any(o != s and set(o) < set(s) and ol == lab and oc >= c for (o, ol), oc in rules.items())}
-    assert got == want and got
+    got = rules_mined(spark, rows)
+    assert got == rules_plainly(rows, "abcdef", 4) and got
+
+
+def test_optional_keys_against_brute_force(spark):
+    """Eight keys, each in 90 % of the urls of one label or of both; one in those of one label alone."""
+    rng = random.Random(8)
+    for noise in (0.0, 0.1):
+        rows = []
+        for _ in range(250):
+            t = [k for k in "abcdefgh" if rng.random() < 0.9] or ["a"]
+            rows.append((t, "allow" if rng.random() < noise else "block"))
+        rows = [([*t, "p"] if lab == "block" else t, lab) for t, lab in rows] + [(["z"], "allow")] * 50
+        got = rules_mined(spark, rows)
+        assert got == rules_plainly(rows, "abcdefghpz", 9) and (("p",), "block", 1.0) in got
+
+
+def test_many_optional_keys_of_one_label(spark):
+    """25 query keys, each in 90 % of 2,000 urls of a blocked shop: every token of the shop alone decides."""
+    rng = random.Random(25)
+    keys = [f"key{c}" for c in "abcdefghijklmnopqrstuvwxy"]
+    rows = [("http://shop.org/list?" + "&".join(f"{k}=1" for k in keys if rng.random() < 0.9), "block") for _ in range(2000)] + [(f"http://b.net/x/{i}", "allow") for i in range(200)]
+    pages = spark.createDataFrame([(0, "http://other.com/?keyc=4"), (1, "http://b.net/y"), (2, "http://other.com/?keyz=1")], "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["mined_tokens"]) for r in url_filter.filter_urls(pages, [], spark.createDataFrame(rows, "url string, label string")).collect()}
+    assert got == {0: ("block", ["q=keyc"]), 1: ("allow", ["h1=net"]), 2: ("allow", None)}
 
 
 def test_long_templates_are_one_item(spark):
