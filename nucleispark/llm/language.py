@@ -4,9 +4,10 @@ Subwords are runs of 2 to 4 bytes of the text, with A-Z lower-cased and all but
 read as spaces, hashed into BUCKETS. A text's mean embedding goes through a linear layer. A fifth of the training rows
 fixes a temperature that makes the scores probabilities; texts whose score is below a level are rejected.
 
-Training reads about `per_language` documents of each of the `languages` most frequent languages, chosen by a hash of their
-ids, twice as many in all at most, and of each only the counts of its buckets, so that what reaches the driver is bounded
-whatever the corpus or the length of texts. The choice does not depend on how rows are dealt out.
+Training reads about `per_language` documents of each language, or fewer of each where that would be more than `max_rows` in all,
+chosen by a hash of their ids; twice as many at most, and of each only the counts of its buckets (98 kB at most), so that what
+reaches the driver is bounded whatever the corpus, the number of languages or the length of texts. The choice does not depend on how
+rows are dealt out.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from pyspark.sql import functions as F
 
 from nucleispark.llm._carry import map_column
 from nucleispark.llm._text import IS_WORD, LOWER, chunks, modulus_of_id
+from nucleispark.session import checkpointed as cut
 
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 14
 DIMENSIONS = 16
 PER_LANGUAGE = 600
-#: Languages learned, the most frequent ones.
-LANGUAGES = 500
+#: Documents to learn from, of all languages together.
+MAX_ROWS = 20_000
 EPOCHS, BATCH, RATE = 6, 16, 20.0
 REJECT_BELOW = 0.4
 UNDETERMINED = "und"
@@ -135,17 +137,19 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
-    """A model of the rows with text and language. No such rows: a model without languages."""
+def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, max_rows: int = MAX_ROWS) -> Model:
+    """A model of the rows with text and language. No such rows: a model without languages. More languages than `max_rows`: of some
+    of them only, which the hash picks."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not sizes:
+    sizes = cut(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    known = sizes.count()
+    if not known:
         return fit([])
-    share = F.create_map(*(F.lit(v) for r in sizes for v in (r["lang"], min(1.0, per_language / r["count"]))))
+    quota = min(per_language, max_rows / known)
     chance = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.withColumn("chance", chance).filter(F.col("chance") < F.try_element_at(share, F.col("lang")))
+    sample = rows.withColumn("chance", chance).join(sizes, "lang").filter(F.col("chance") < F.lit(float(quota)) / F.col("n"))
     found = map_column(sample, "text", ["lang", "chance"], "which binary, counts binary", _histograms)
-    found = found.orderBy("chance", "lang", "which", "counts").limit(2 * per_language * len(sizes)).collect()
+    found = found.orderBy("chance", "lang", "which", "counts").limit(int(2 * quota * known)).collect()
     return fit([(r["lang"], bytes(r["which"]), bytes(r["counts"])) for r in found])
 
 

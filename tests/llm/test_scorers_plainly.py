@@ -134,3 +134,17 @@ def test_one_step_of_the_embeddings_by_hand(monkeypatch):
             for b, w in zip(at, weight, strict=True):
                 new_emb[b] -= language.RATE * w * miss[k] * old_out[:, k]
     assert np.allclose(model.logits[:-1], new_emb @ new_out, atol=1e-4) and np.allclose(model.bias, new_bias, atol=1e-5) and not model.logits[-1].any()
+
+
+def test_every_language_is_learned_from_rows_bounded_in_all(spark, monkeypatch):
+    """520 languages of one document each are all in the model; four of 100 each share 40 rows, the rare fifth gives all it has."""
+    many = spark.createDataFrame([(i, f"zort{i} blah{i}", f"l{i}") for i in range(520)], "doc_id long, text string, lang string")
+    assert len(language.train(many).languages) == 520
+    seen = []
+    monkeypatch.setattr(language, "fit", seen.append)
+    rows = [(i, f"word{i}", f"l{i % 4}") for i in range(400)] + [(1000, "rare", "l4"), (1001, None, "l5"), (1002, "x", None)]
+    language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_rows=40)
+    counts = [sum(lang == f"l{k}" for lang, _, _ in seen[0]) for k in range(6)]
+    assert min(counts[:4]) > 0 and 16 < sum(counts[:4]) < 64 and counts[4:] == [1, 0]
+    language.train(many, max_rows=100)
+    assert 50 < len(seen[1]) <= 200
