@@ -147,7 +147,7 @@ def train(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str
         return fit([])
     quota = min(per_language, max_rows / known)
     chance = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.withColumn("chance", chance).join(sizes, "lang").filter(F.col("chance") < F.lit(float(quota)) / F.col("n"))
+    sample = rows.withColumn("chance", chance).join(F.broadcast(sizes) if known <= max_rows else sizes, "lang").filter(F.col("chance") < F.lit(float(quota)) / F.col("n"))
     found = map_column(sample, "text", ["lang", "chance"], "which binary, counts binary", _histograms)
     found = found.orderBy("chance", "lang", "which", "counts").limit(int(2 * quota * known)).collect()
     return fit([(r["lang"], bytes(r["which"]), bytes(r["counts"])) for r in found])
