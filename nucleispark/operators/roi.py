@@ -71,6 +71,12 @@ def polygon_edges(polygons: DataFrame, bin_size: int, keys: tuple[str, ...] = ("
     return listed.groupBy(*keys, "_bx", "_by").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("_edges"))
 
 
+def odd_crossings(x: Column, y: Column, edges: Column) -> Column:
+    """Whether a ray to the right crosses an odd number of edges, as polygon_edges lists them."""
+    crosses = lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
+    return F.aggregate(edges, F.lit(0), lambda n, e: n + crosses(e).cast("int")) % 2 == 1
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, bin_size: int) -> DataFrame:
     """Points (slide_id, x, y) with the poly_id of each polygon (slide_id, poly_id, vertices) that holds them by the even-odd rule.
 
@@ -78,9 +84,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, bin_size: int) ->
     its right. Rings that share a poly_id are one shape. Null and empty polygons hold nothing; repeated points stay.
     """
     near = points.withColumns({"_bx": F.floor(F.col("x") / bin_size), "_by": F.floor(F.col("y") / bin_size)}).join(polygon_edges(polygons, bin_size), ["slide_id", "_bx", "_by"])
-    crosses = lambda e: ((e["ay"] > F.col("y")) != (e["by"] > F.col("y"))) & (F.col("x") < (e["bx"] - e["ax"]) * (F.col("y") - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
-    odd = F.aggregate("_edges", F.lit(0), lambda n, e: n + crosses(e).cast("int")) % 2 == 1
-    return near.filter(odd).select(*points.columns, "poly_id")
+    return near.filter(odd_crossings(F.col("x"), F.col("y"), F.col("_edges"))).select(*points.columns, "poly_id")
 
 
 def cells_of_polygons(polygons: DataFrame, divisor: int) -> DataFrame:

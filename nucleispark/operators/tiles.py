@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import tile_key
+from nucleispark.operators.batches import deal
 
 OFFSETS = [(dc, dr) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
+#: Cells a side of the squares in which tiles meet their cells.
+BIN = 8
 
 
 def tile_grid(slides: DataFrame, patch: int, box: tuple[Column, Column, Column, Column] | None = None) -> DataFrame:
@@ -83,33 +86,42 @@ def tile_coverage(tiles: DataFrame, roi_cells: DataFrame, cell: int) -> DataFram
     """Adds coverage, the share of each tile's cells of `cell` pixels that are in the ROI (slide_id, gr, gc), and poly_id, the region
     with most of them (0 if roi_cells has none or names none). A cell of several regions counts once. Tiles begin on cell borders."""
     regions = roi_cells if "poly_id" in roi_cells.columns else roi_cells.withColumn("poly_id", F.lit(0))
+    key, part = ["slide_id", "tile_col", "tile_row"], ["slide_id", "_br", "_bc"]
     per = F.ceil(F.col("w") / cell) * F.ceil(F.col("h") / cell)
-    spread = tiles.select("slide_id", "tile_col", "tile_row", "x", "y", "w", "h", per.alias("cells"))
-    rows = F.sequence(F.floor(F.col("y") / cell), F.floor((F.col("y") + F.col("h") - 1) / cell))
-    cols = F.sequence(F.floor(F.col("x") / cell), F.floor((F.col("x") + F.col("w") - 1) / cell))
-    at = spread.withColumn("gr", F.explode(rows)).withColumn("gc", F.explode(cols))
-    hit = at.join(regions, ["slide_id", "gr", "gc"])
-    key = ["slide_id", "tile_col", "tile_row"]
-    share = hit.groupBy(*key, "cells").agg(F.count_distinct("gr", "gc").alias("n")).select(*key, (F.col("n") / F.col("cells")).alias("coverage"))
+    last = lambda a, n: F.floor((F.col(a) + F.col(n) - 1) / cell)
+    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / BIN), F.floor(F.col(b) / BIN)))
+    spans = deal(tiles, "slide_id").select(*key, per.alias("cells"), F.floor(F.col("y") / cell).alias("_r0"), last("y", "h").alias("_r1"), F.floor(F.col("x") / cell).alias("_c0"), last("x", "w").alias("_c1"))
+    listed = spans.withColumn("_br", bins("_r0", "_r1")).withColumn("_bc", bins("_c0", "_c1"))
+    # Tiles and cells meet in squares of cells; neither side is sent whole, as tiles are many more than the slides that Spark sees.
+    cells = regions.select("slide_id", "gr", "gc", "poly_id", F.floor(F.col("gr") / BIN).alias("_br"), F.floor(F.col("gc") / BIN).alias("_bc"))
+    hit = cells.join(listed.hint("shuffle_hash"), part).filter("gr between _r0 and _r1 and gc between _c0 and _c1")
+    own = [*part, "tile_col", "tile_row"]
+    share = hit.select(*own, "cells", "gr", "gc").distinct().groupBy(*own, "cells").agg(F.count("*").alias("n")).groupBy(*key, "cells").agg(F.sum("n").alias("n")).select(*key, (F.col("n") / F.col("cells")).alias("coverage"))
     most = hit.groupBy(*key, "poly_id").agg(F.count("*").alias("n")).groupBy(*key).agg(F.min_by("poly_id", F.struct(-F.col("n"), "poly_id")).alias("poly_id"))
     found = share.join(most, key)
-    return tiles.join(found, ["slide_id", "tile_col", "tile_row"], "left").withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "poly_id": F.coalesce("poly_id", F.lit(0))})
+    return tiles.join(found, key, "left").withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "poly_id": F.coalesce("poly_id", F.lit(0))})
 
 
 def polygon_coverage(tiles: DataFrame, polygons: DataFrame, samples: int = 16) -> DataFrame:
     """Adds coverage and poly_id by polygons (slide_id, poly_id, vertices): the share of each tile's samples * samples evenly spread
     points that any of them holds, and the one that holds most (0 if none does; of equal ones the least)."""
-    from nucleispark.operators.roi import points_in_polygons
+    from nucleispark.operators.roi import odd_crossings, polygon_edges
 
     key = ["slide_id", "tile_col", "tile_row"]
-    size = tiles.agg(F.max(F.greatest("w", "h"))).first()[0] or 1
-    step = F.sequence(F.lit(0), F.lit(samples - 1))
-    at = tiles.select(*key, "x", "y", "w", "h", F.explode(step).alias("i")).withColumn("j", F.explode(step))
-    at = at.select(*key, "i", "j", (F.col("x") + (F.col("i") + 0.5) * F.col("w") / samples).alias("x"), (F.col("y") + (F.col("j") + 0.5) * F.col("h") / samples).alias("y"))
-    held = points_in_polygons(at, polygons, int(size)).select(*key, "i", "j", "poly_id").distinct()
-    found = held.groupBy(*key, "i", "j").agg(F.lit(1).alias("n")).groupBy(*key).agg((F.count("*") / (samples * samples)).alias("coverage"))
-    best = held.groupBy(*key, "poly_id").agg(F.count("*").alias("n")).groupBy(*key).agg(F.min_by("poly_id", F.struct(-F.col("n"), "poly_id")).alias("poly_id"))
-    joined = tiles.join(found.join(best, key), key, "left")
+    size = int(tiles.agg(F.max(F.greatest("w", "h"))).first()[0] or 1)
+    at = lambda c, n, i: F.col(c) + (i + 0.5) * F.col(n) / samples
+    bins = lambda c, n: F.explode(F.sequence(F.floor(at(c, n, F.lit(0)) / size), F.floor(at(c, n, F.lit(samples - 1)) / size)))
+    listed = tiles.select(*key, "x", "y", "w", "h").withColumn("_bx", bins("x", "w")).withColumn("_by", bins("y", "h"))
+    on = ["slide_id", "_bx", "_by"]
+    near = deal(listed, *on).join(deal(polygon_edges(polygons, size), *on), on)
+    # The points of a tile and bin are one array of their numbers, of which those stay that the polygon holds.
+    i, j = (lambda k: F.floor(k / samples)), (lambda k: k % samples)
+    mine = lambda k: (F.floor(at("x", "w", i(k)) / size) == F.col("_bx")) & (F.floor(at("y", "h", j(k)) / size) == F.col("_by"))
+    held = F.filter(F.sequence(F.lit(0), F.lit(samples * samples - 1)), lambda k: mine(k) & odd_crossings(at("x", "w", i(k)), at("y", "h", j(k)), F.col("_edges")))
+    held = near.select(*key, "poly_id", held.alias("_held")).filter(F.size("_held") > 0).groupBy(*key, "poly_id").agg(F.flatten(F.collect_list("_held")).alias("_held"))
+    any_of = F.size(F.array_distinct(F.flatten(F.collect_list("_held")))) / (samples * samples)
+    found = held.groupBy(*key).agg(any_of.alias("coverage"), F.min_by("poly_id", F.struct(-F.size("_held"), "poly_id")).alias("poly_id"))
+    joined = tiles.join(found, key, "left")
     return joined.withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "poly_id": F.coalesce("poly_id", F.lit(0))})
 
 
