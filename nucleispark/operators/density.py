@@ -82,10 +82,11 @@ def class_kernels(radius: DataFrame, scale: float, method: str = "gaussian") ->
 def smooth_by_taps(pooled: DataFrame, kernels: DataFrame, sizes: DataFrame) -> DataFrame:
     """Same-size correlation with zero padding: each cell adds its taps to its neighbours. For kernels of few taps; kernels: (cls, dr,
     dc, weight); sizes: (slide_id, gh, gw). Classes without kernel stay as they are."""
-    spread = pooled.join(kernels, "cls").join(sizes, "slide_id")
+    taps = F.broadcast(kernels)  # by class alone all rows would meet in a few tasks
+    spread = pooled.join(taps, "cls").join(sizes, "slide_id")
     moved = spread.select("slide_id", "cls", (F.col("gr") - F.col("dr")).alias("gr"), (F.col("gc") - F.col("dc")).alias("gc"), (F.col("d") * F.col("weight")).alias("d"), "gh", "gw")
     moved = moved.filter("gr >= 0 and gc >= 0 and gr < gh and gc < gw").groupBy("slide_id", "cls", "gr", "gc").agg(F.sum("d").alias("d"))
-    same = pooled.join(kernels.select("cls").distinct(), "cls", "left_anti").select("slide_id", "cls", "gr", "gc", "d")
+    same = pooled.join(F.broadcast(kernels.select("cls").distinct()), "cls", "left_anti").select("slide_id", "cls", "gr", "gc", "d")
     return moved.unionByName(same)
 
 
@@ -133,7 +134,7 @@ def dot_products(density: DataFrame, n_classes: int) -> DataFrame:
 
 def scatter_cells(cells: DataFrame, colors: DataFrame, divisor: int) -> DataFrame:
     """(slide_id, gr, gc, r, g, b): channels are 1 in pooled cells with a point of a class whose colour has them. colors: (cls, r, g, b)."""
-    own = cells.join(colors, "cls").groupBy("slide_id", F.floor(F.col("row") / divisor).alias("gr"), F.floor(F.col("col") / divisor).alias("gc"))
+    own = cells.join(F.broadcast(colors), "cls").groupBy("slide_id", F.floor(F.col("row") / divisor).alias("gr"), F.floor(F.col("col") / divisor).alias("gc"))
     return own.agg(*((F.max(F.col(c)) > 0).cast("int").alias(c) for c in "rgb"))
 
 
