@@ -106,7 +106,8 @@ def S3_export_detections(spark, sf_dir):
 @query(f"WITH {_CLASSES} SELECT label, text, color, count(d.nucleus_id) AS n FROM classes LEFT JOIN detections d USING (label) GROUP BY ALL", "detections")
 def S6_class_table(spark, sf_dir):
     (dets,) = tables(spark, sf_dir, "detections")
-    return io.class_table(spark).join(dets.select("label", "nucleus_id"), "label", "left").groupBy("label", "text", "color").agg(F.count("nucleus_id").alias("n"))
+    counts = dets.groupBy("label").agg(F.count("nucleus_id").alias("n"))
+    return io.class_table(spark).join(counts, "label", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 @query(
