@@ -96,7 +96,7 @@ def label_color(dets: DataFrame, classes: DataFrame, alpha: float = 1.0, outlier
     """Adds r, g, b (0 to 255) and a. classes: label, color `#rrggbb`, one row for each class."""
     hexa = F.coalesce("color", F.lit(outlier))
     channel = lambda i: F.conv(F.substring(hexa, i, 2), 16, 10).cast("int")
-    joined = dets.join(classes.select("label", "color"), "label", "left")
+    joined = dets.join(F.broadcast(classes.select("label", "color")), "label", "left")
     return joined.select(*dets.columns, channel(2).alias("r"), channel(4).alias("g"), channel(6).alias("b"), F.lit(alpha).alias("a"))
 
 

@@ -46,7 +46,8 @@ def export_detections(dets: DataFrame, classes: DataFrame | None = None, save_ma
     the polygons (mask_poly, relative to the rounded box's corner) as comma-joined slide coordinates."""
     corners = [half_even(F.col(c)).cast("int").alias(c) for c in ("x0", "y0", "x1", "y1")]
     if classes is not None:
-        dets = dets.join(classes.select("label", F.col("text").alias("_text")), "label", "left")
+        # A class table has few rows; by label alone all detections would meet in a few tasks.
+        dets = dets.join(F.broadcast(classes.select("label", F.col("text").alias("_text"))), "label", "left")
         label = F.coalesce("_text", F.concat(F.lit("cls_"), F.col("label").cast("string")))
     else:
         label = F.col("label")

@@ -71,3 +71,18 @@ def test_small_tables_by_class_deal_no_rows(spark):
     for df in (smoothed, scattered):
         assert "SortMergeJoin [cls#" not in plan(df)
     assert smoothed.agg(F.sum("d")).first()[0] == 1000 - cells.filter("cls < 2 and gc = 0").count() / 2
+
+
+def test_class_tables_deal_no_detections(spark):
+    """Joined by label, all detections of a class were one task's."""
+    from nucleispark.operators import boxes
+    from nucleispark.plans import queries_boxes
+    from nucleispark.sources import io
+
+    dets = spark.range(1000).select((F.col("id") % 2).alias("slide_id"), F.col("id").alias("nucleus_id"), (F.col("id") % 9).cast("int").alias("label"), *(F.lit(1.5).alias(c) for c in ("x0", "y0", "x1", "y1", "score")))
+    exported, colored = io.export_detections(dets, io.class_table(spark)), boxes.label_color(dets, io.class_table(spark))
+    for df in (exported, colored):
+        assert "SortMergeJoin [label#" not in plan(df) and df.count() == 1000
+    assert exported.filter("label = 'tumor'").count() == colored.filter("g = 255 and r = 0").count() == 111
+    found = plan(queries_boxes.S6_class_table(spark, "/root/testdata/sf0.001"))
+    assert found.index("Join") < found.index("HashAggregate")  # counted below the join
