@@ -179,7 +179,7 @@ def _tile_table(spark, sf_dir) -> str:
     at = lambda a: F.least(F.floor((F.col(f"{a}0") + F.col(f"{a}1")) / 2 / 512), F.lit(7)).cast("int")
     own = dets.withColumns({"tile_col": at("x"), "tile_row": at("y")})
     folder = new_folder(spark, "tiles")
-    own.filter("tile_row < 2").write.partitionBy("slide_id").parquet(f"{folder}/data/batch=1")  # without a manifest
+    own.filter("tile_row < 2").write.parquet(f"{folder}/data/batch=1")  # without a manifest
     for batch in (0, 1, 1):
         tile_table.append_tiles(own.filter((F.col("tile_row") % 2) == batch), folder, batch)
     return folder

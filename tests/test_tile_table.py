@@ -37,3 +37,12 @@ def test_a_fetch_reads_one_slide_and_pushes_the_tile_down(spark, tmp_path):
     assert "EqualTo(tile_col,3)" in plan and "EqualTo(tile_row,4)" in plan
     near = tile_table.fetch_tiles(tile_table.read_tiles(spark, path), 1, 0, 0, 1)
     assert {(r["tile_col"], r["tile_row"]) for r in near.collect()} == {(c, r) for c in (0, 1) for r in (0, 1)}
+
+
+def test_files_go_with_rows_and_not_with_slides(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = rows_of(spark, 0, 3000).withColumn("slide_id", F.col("nucleus_id") % 200)
+    assert tile_table.append_tiles(rows, path, 0)
+    assert len(list((tmp_path / "t" / "data").rglob("*.parquet"))) < 64 + 2 * 8
+    got = tile_table.fetch_tiles(tile_table.read_tiles(spark, path), 33, 1, 4)
+    assert {r["nucleus_id"] for r in got.collect()} == {i for i in range(3000) if i % 200 == 33 and i % 8 == 1 and i // 8 % 8 == 4} != set()
