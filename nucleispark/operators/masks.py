@@ -165,14 +165,14 @@ def from_coco(rows: DataFrame, h: int) -> DataFrame:
     return pixels.join(own.select("id", "image_id", F.col("category_id").alias("label")), "id")
 
 
-_COCO_POLYGON = "id long, image_id long, category_id int, segmentation array<array<double>>, area double, bbox array<double>, iscrowd int"
+_COCO_POLYGON = "id long, image_id long, category_id int, segmentation array<array<double>>, iscrowd int"
 
 
 def to_coco_polygons(polygons: DataFrame) -> DataFrame:
     """(id, json): annotation rows with flat polygons, of (id, image_id, label, vertices)."""
     from nucleispark.functions.scalars import polygon_area
 
-    side = lambda f, c: f(F.transform("vertices", lambda p: p[c]))
+    side = lambda f, c: f(F.col("vertices")[c])
     x0, y0 = side(F.array_min, "x"), side(F.array_min, "y")
     row = F.struct(
         F.col("id").cast("long").alias("id"), F.col("image_id").cast("long").alias("image_id"), F.col("label").cast("int").alias("category_id"),
@@ -184,8 +184,9 @@ def to_coco_polygons(polygons: DataFrame) -> DataFrame:
 
 def from_coco_polygons(rows: DataFrame) -> DataFrame:
     """(id, image_id, label, ring, vertices) of the polygons of rows that are no crowds."""
-    own = rows.select(F.from_json("json", _COCO_POLYGON).alias("a")).select("a.*").filter("iscrowd = 0")
-    rings = own.select("id", "image_id", F.col("category_id").alias("label"), F.posexplode("segmentation").alias("ring", "flat"))
+    own = rows.select(F.from_json("json", _COCO_POLYGON).alias("a")).select("a.*")
+    no_crowd = F.when(F.col("iscrowd") == 0, F.col("segmentation"))  # as a filter it would parse a row again for each of its conditions
+    rings = own.select("id", "image_id", F.col("category_id").alias("label"), F.posexplode(no_crowd).alias("ring", "flat"))
     at = F.sequence(F.lit(0), F.floor(F.size("flat") / 2).cast("int") - 1)
     point = lambda i: F.struct(F.get("flat", 2 * i).alias("x"), F.get("flat", 2 * i + 1).alias("y"))
     return rings.select("id", "image_id", "label", "ring", F.when(F.size("flat") > 1, F.transform(at, point)).alias("vertices"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nucleispark.kernels import ears
-from nucleispark.operators import roi
+from nucleispark.operators import masks, roi
 
 RING = "slide_id long, poly_id int, vertices array<struct<x:double,y:double>>"
 
@@ -80,3 +80,13 @@ def test_exactly_n_points_by_area(spark):
     again = roi.sample_in_polygons(polygons.repartition(3), n).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, points))
     assert roi.sample_in_polygons(polygons, n, seed=7).agg(F.count("*")).first()[0] == 2 * n
+
+
+def test_annotation_rows_are_parsed_once(spark):
+    square = [{"x": float(x), "y": float(y)} for x, y in ((2, 3), (6, 3), (6, 8), (2, 8))]
+    polygons = spark.createDataFrame([(1, 9, 2, square), (2, 9, 3, square[:1])], "id long, image_id long, label int, vertices array<struct<x:double,y:double>>")
+    crowd = '{"id": 3, "image_id": 9, "category_id": 1, "segmentation": [[1.0, 2.0, 3.0, 4.0]], "iscrowd": %s}'
+    rows = masks.to_coco_polygons(polygons).unionByName(spark.createDataFrame([(3, crowd % 1), (4, crowd % "null")], "id long, json string"))
+    assert [(r["id"], r["label"], [(p["x"], p["y"]) for p in r["vertices"]]) for r in masks.from_coco_polygons(rows).orderBy("id").collect()] == [(1, 2, [(2, 3), (6, 3), (6, 8), (2, 8)]), (2, 3, [(2, 3)])]
+    plan = masks.from_coco_polygons(masks.to_coco_polygons(polygons))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1, plan
