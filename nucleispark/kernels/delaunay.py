@@ -20,9 +20,14 @@ def in_circle(a: np.ndarray, b: np.ndarray, c: np.ndarray, p: np.ndarray) -> np.
 def inside(p: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Whether points q are inside the circles of left-turning a, b, c, given by index. On the circle it counts how the points would
     be lifted by ever smaller steps in their order: the first of the four decides."""
-    side, first = in_circle(p[a], p[b], p[c], p[q]), np.minimum(np.minimum(a, b), np.minimum(c, q))
-    tie = np.where(first == a, _turn(p[q], p[b], p[c]), np.where(first == b, _turn(p[q], p[c], p[a]), np.where(first == c, _turn(p[q], p[a], p[b]), -1)))
-    return (side > 0) | (side == 0) & (tie > 0)
+    side = in_circle(p[a], p[b], p[c], p[q])
+    found, on = side > 0, np.flatnonzero(side == 0)
+    if len(on):
+        a, b, c, q = a[on], b[on], c[on], q[on]
+        first = np.minimum(np.minimum(a, b), np.minimum(c, q))
+        tie = np.where(first == a, _turn(p[q], p[b], p[c]), np.where(first == b, _turn(p[q], p[c], p[a]), np.where(first == c, _turn(p[q], p[a], p[b]), -1)))
+        found[on] = tie > 0
+    return found
 
 
 def triangulate(points: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -15,24 +16,35 @@ def deal(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *keys)
 
 
-def whole_groups(names: list[str], function: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """For mapInPandas over rows dealt and sorted by `names`: calls `function` with runs of whole groups, many at a time."""
+def begins(pdf: pd.DataFrame, names: list[str]) -> np.ndarray:
+    """Where each run of rows with equal names begins; nulls are equal."""
+    new = np.zeros(max(len(pdf) - 1, 0), bool)
+    for column in (pdf[n] for n in names):
+        values, null = column.to_numpy(), column.isna().to_numpy()
+        new |= (values[1:] != values[:-1]) & ~(null[1:] & null[:-1])
+    return np.flatnonzero(np.append(True, new)[: len(pdf)])
+
+
+def whole_groups(names: list[str], function: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 20_000) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over rows dealt and sorted by `names`: calls `function` with runs of whole groups, of `rows` rows or more together
+    while there are any: a call for each batch would take longer than its work."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: list[pd.DataFrame] = []  # the last group so far, which may go on in the next batches
-        key: tuple = ()
+        held: list[pd.DataFrame] = []
+        n, wanted = 0, rows
         for pdf in batches:
             if not len(pdf):
                 continue
-            now = tuple(pdf[names].iloc[-1])
-            last = (pdf[names] == pdf[names].iloc[-1]).all(axis=1).to_numpy()
-            if not last.all() or rest and key != now:
-                done = pd.concat([*rest, pdf[~last]], ignore_index=True)
-                yield function(done)
-                rest = []
-            rest.append(pdf[last])
-            key = now
-        if rest:
-            yield function(pd.concat(rest, ignore_index=True))
+            held.append(pdf)
+            n += len(pdf)
+            if n >= wanted:
+                whole = pd.concat(held, ignore_index=True)
+                last = int(begins(whole, names)[-1])  # the last group so far, which may go on in the next batches
+                if last:
+                    yield function(whole.iloc[:last])
+                held, n = [whole.iloc[last:]], len(whole) - last
+                wanted = max(rows, 2 * n)
+        if held:
+            yield function(pd.concat(held, ignore_index=True))
 
     return run

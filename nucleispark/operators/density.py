@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nucleispark.functions.scalars import half_even
 from nucleispark.kernels.conv import density_kernel, spread
-from nucleispark.operators.batches import deal, whole_groups
+from nucleispark.operators.batches import begins, deal, whole_groups
 
 #: Cells a side of a smoothing block.
 BLOCK = 64
@@ -45,14 +45,15 @@ def pool_density(cells: DataFrame, slides: DataFrame, divisor: int, grid: int =
     def bins(p: str, n: str, m: str):
         """The one or two bins of a pixel within its block, with the length of each bin."""
         at = F.col(p) % F.col(n)
-        last = F.floor(at * F.col(m) / F.col(n))
-        both = F.array(last - 1, last, last + 1)
-        begin = lambda i: F.floor(i * F.col(n) / F.col(m))
-        end = lambda i: F.ceil((i + 1) * F.col(n) / F.col(m))
-        found = F.filter(both, lambda i: (i >= 0) & (i < F.col(m)) & (begin(i) <= at) & (at < end(i)))
-        return F.transform(found, lambda i: F.struct((i + F.floor(F.col(p) / F.col(n)) * F.col(m)).cast("int").alias("g"), (end(i) - begin(i)).alias("len")))
-
-    rows = rows.withColumn("r", F.explode(bins("row", "bh", "mh"))).withColumn("c", F.explode(bins("col", "bw", "mw")))
+        first, last = F.floor(at * F.col(m) / F.col(n)), F.least(F.ceil((at + 1) * F.col(m) / F.col(n)), F.col(m)) - 1
+        return F.explode(F.when((at >= 0) & (first <= last), F.sequence(first, last)))
+
+    def placed(i: str, p: str, n: str, m: str):
+        """A bin's place in the slide and its length."""
+        begin, end = F.floor(F.col(i) * F.col(n) / F.col(m)), F.ceil((F.col(i) + 1) * F.col(n) / F.col(m))
+        return F.struct((F.col(i) + F.floor(F.col(p) / F.col(n)) * F.col(m)).cast("int").alias("g"), (end - begin).alias("len"))
+
+    rows = rows.withColumn("_r", bins("row", "bh", "mh")).withColumn("_c", bins("col", "bw", "mw")).withColumns({"r": placed("_r", "row", "bh", "mh"), "c": placed("_c", "col", "bw", "mw")})
     rows = rows.filter((F.col("r.g") < F.col("gh")) & (F.col("c.g") < F.col("gw")))
     return rows.groupBy("slide_id", "cls", F.col("r.g").alias("gr"), F.col("c.g").alias("gc")).agg(F.sum(F.col("val") / (F.col("r.len") * F.col("c.len"))).alias("d"))
 
@@ -90,44 +91,82 @@ def smooth_by_taps(pooled: DataFrame, kernels: DataFrame, sizes: DataFrame) -> D
     return moved.unionByName(same)
 
 
+def _by_reach(pooled: DataFrame, radius: DataFrame, sizes: DataFrame, scale: float, block: int) -> DataFrame:
+    """Cells under each block of the grid, (br, bc), that the kernel of their own class reaches."""
+    reach = F.when(F.col("radius") > 1, F.rint(F.col("radius") * (2 * 8 * scale)).cast("int")).otherwise(F.lit(0))
+    rows = pooled.join(radius, ["slide_id", "cls"]).join(sizes, "slide_id").withColumn("reach", reach)
+    place = lambda c: F.floor(c / block).cast("int")
+    blocks = lambda c, n: F.sequence(place(F.greatest(F.col(c) - F.col("reach"), F.lit(0))), place(F.least(F.col(c) + F.col("reach"), F.col(n) - 1)))
+    rows = rows.withColumn("br", F.explode(blocks("gr", "gh"))).withColumn("bc", F.explode(blocks("gc", "gw")))
+    return rows.select("slide_id", "cls", "br", "bc", "gr", "gc", "d", "radius", "gh", "gw")
+
+
+def _smoothed(pdf: pd.DataFrame, names: list[str], scale: float, method: str, block: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The first row and the smoothed block of each run of rows with equal names, which hold the class."""
+    starts = begins(pdf, names)
+    gr, gc, d, radii, br, bc = (pdf[c].to_numpy() for c in ("gr", "gc", "d", "radius", "br", "bc"))
+    for lo, hi in zip(starts, np.append(starts[1:], len(pdf)), strict=True):
+        kernel = density_kernel(None if radii[lo] is None or np.isnan(radii[lo]) else float(radii[lo]), scale, method)
+        yield lo, spread(gr[lo:hi] - int(br[lo]) * block, gc[lo:hi] - int(bc[lo]) * block, d[lo:hi], np.ones((1, 1)) if kernel is None else kernel, (block, block))
+
+
 def smooth_density(pooled: DataFrame, radius: DataFrame, sizes: DataFrame, scale: float, method: str = "gaussian", block: int = BLOCK) -> DataFrame:
     """Smooths each (slide, class) with the kernel of its own radius (slide_id, cls, radius), in blocks with a halo.
 
     A cell goes to each block of the grid that its kernel reaches, so a block is all that is held at once, whatever the slide's size.
     Classes whose radius is null or at most 1 aren't smoothed. sizes: (slide_id, gh, gw).
     """
-    reach = F.when(F.col("radius") > 1, F.rint(F.col("radius") * (2 * 8 * scale)).cast("int")).otherwise(F.lit(0))
-    rows = pooled.join(radius, ["slide_id", "cls"]).join(sizes, "slide_id").withColumn("reach", reach)
-    place = lambda c: F.floor(c / block).cast("int")
-    blocks = lambda c, n: F.sequence(place(F.greatest(F.col(c) - F.col("reach"), F.lit(0))), place(F.least(F.col(c) + F.col("reach"), F.col(n) - 1)))
-    rows = rows.withColumn("br", F.explode(blocks("gr", "gh"))).withColumn("bc", F.explode(blocks("gc", "gw")))
     names = ["slide_id", "cls", "br", "bc"]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of whole blocks, sorted."""
-        begins = np.flatnonzero((pdf[names] != pdf[names].shift()).any(axis=1).to_numpy())
-        gr, gc, d, radii, br, bc = (pdf[c].to_numpy() for c in ("gr", "gc", "d", "radius", "br", "bc"))
         found = []
-        for lo, hi in zip(begins, np.append(begins[1:], len(pdf)), strict=True):
-            r0, c0 = int(br[lo]) * block, int(bc[lo]) * block
-            kernel = density_kernel(None if radii[lo] is None or np.isnan(radii[lo]) else float(radii[lo]), scale, method)
-            out = spread(gr[lo:hi] - r0, gc[lo:hi] - c0, d[lo:hi], np.ones((1, 1)) if kernel is None else kernel, (block, block))
+        for lo, out in _smoothed(pdf, names, scale, method, block):
             i, j = np.nonzero(out)
-            found.append((np.full(len(i), lo), i + r0, j + c0, out[i, j]))
+            found.append((np.full(len(i), lo), i + pdf["br"].iat[lo] * block, j + pdf["bc"].iat[lo] * block, out[i, j]))
         at, i, j, values = (np.concatenate(x) for x in zip(*found, strict=True))
         out = {"slide_id": pdf["slide_id"].to_numpy()[at], "cls": pdf["cls"].to_numpy()[at], "gr": i, "gc": j, "d": values}
         return pd.DataFrame(out)[(i < pdf["gh"].to_numpy()[at]) & (j < pdf["gw"].to_numpy()[at])]
 
     kind = pooled.schema["slide_id"].dataType.simpleString()
-    dealt = deal(rows.select(*names, "gr", "gc", "d", "radius", "gh", "gw"), *names).sortWithinPartitions(*names, "gr", "gc")
+    dealt = deal(_by_reach(pooled, radius, sizes, scale, block), *names).sortWithinPartitions(*names, "gr", "gc")
     return dealt.mapInPandas(whole_groups(names, one), f"slide_id {kind}, cls int, gr int, gc int, d double")
 
 
+def smooth_wide(pooled: DataFrame, radius: DataFrame, sizes: DataFrame, scale: float, n_classes: int, method: str = "gaussian", block: int = BLOCK) -> DataFrame:
+    """(slide_id, gr, gc, d0, d1, ...): smooth_density with a column for each class, 0 where only others have a density. A block's classes
+    meet in one task, so that no shuffle of cells has to bring them together."""
+    names = ["slide_id", "br", "bc"]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of whole blocks, sorted."""
+        starts = begins(pdf, names)
+        images = np.zeros((len(starts), n_classes, block, block))
+        for lo, out in _smoothed(pdf, [*names, "cls"], scale, method, block):
+            images[np.searchsorted(starts, lo, "right") - 1, pdf["cls"].iat[lo]] = out
+        k, i, j = np.nonzero((images != 0).any(axis=1))
+        at = starts[k]
+        values = images[k, :, i, j]
+        gr, gc = i + pdf["br"].to_numpy()[at] * block, j + pdf["bc"].to_numpy()[at] * block
+        out = pd.DataFrame({"slide_id": pdf["slide_id"].to_numpy()[at], "gr": gr, "gc": gc, **{f"d{c}": values[:, c] for c in range(n_classes)}})
+        return out[(gr < pdf["gh"].to_numpy()[at]) & (gc < pdf["gw"].to_numpy()[at])]
+
+    kind = pooled.schema["slide_id"].dataType.simpleString()
+    near = _by_reach(pooled.filter(F.col("cls").between(0, n_classes - 1)), radius, sizes, scale, block)
+    dealt = deal(near, *names).sortWithinPartitions(*names, "cls", "gr", "gc")
+    return dealt.mapInPandas(whole_groups(names, one), f"slide_id {kind}, gr int, gc int" + "".join(f", d{c} double" for c in range(n_classes)))
+
+
 def dot_products(density: DataFrame, n_classes: int) -> DataFrame:
     """(slide_id, i, j, dot), i <= j: sums over cells of products of class densities, 0 where two classes never meet."""
     classes = range(n_classes)
     wide = density.groupBy("slide_id", "gr", "gc").agg(*(F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("d"))), F.lit(0.0)).alias(f"d{c}") for c in classes))
-    pairs = [(i, j) for i in classes for j in classes if i <= j]
+    return wide_products(wide, n_classes)
+
+
+def wide_products(wide: DataFrame, n_classes: int) -> DataFrame:
+    """The same from cells with a column for each class, (slide_id, gr, gc, d0, d1, ...)."""
+    pairs = [(i, j) for i in range(n_classes) for j in range(i, n_classes)]
     sums = wide.groupBy("slide_id").agg(*(F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}") for i, j in pairs))
     return sums.select("slide_id", F.inline(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"p{i}_{j}").alias("dot")) for i, j in pairs))))
 

@@ -113,6 +113,15 @@ def scale_polygons(slides: DataFrame, polygons: DataFrame, factor: float) -> Dat
     return out.withColumn("area", polygon_area(F.col("vertices")))
 
 
+def _draws(size: DataFrame, n: int, seed: int) -> DataFrame:
+    """(slide_id, m, k, rank): n hashed places, from 0 on, among the m of each slide."""
+    return size.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("rank", F.floor(_uniform(seed, "cell") * F.col("m")).cast("int"))
+
+
+def _uniform(seed: int, salt: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), "slide_id", "k", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
 def sample_in_cells(cells: DataFrame, n: int, cell: int, seed: int = 42) -> DataFrame:
     """(slide_id, k, x, y): n points of each slide, evenly spread over its region's cells; the same for the same seed.
 
@@ -120,12 +129,27 @@ def sample_in_cells(cells: DataFrame, n: int, cell: int, seed: int = 42) -> Data
     """
     from pyspark.sql import Window
 
-    uniform = lambda salt: F.pmod(F.xxhash64(F.lit(seed), "slide_id", "k", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     ranked = cells.withColumn("rank", F.row_number().over(Window.partitionBy("slide_id").orderBy("gr", "gc")) - 1)
-    size = cells.groupBy("slide_id").agg(F.count("*").alias("m"))
-    draws = size.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("rank", F.floor(uniform("cell") * F.col("m")).cast("int"))
-    at = draws.join(ranked, ["slide_id", "rank"])
-    return at.select("slide_id", "k", ((F.col("gc") + uniform("x")) * cell).alias("x"), ((F.col("gr") + uniform("y")) * cell).alias("y"))
+    at = _draws(cells.groupBy("slide_id").agg(F.count("*").alias("m")), n, seed).join(ranked, ["slide_id", "rank"])
+    return at.select("slide_id", "k", ((F.col("gc") + _uniform(seed, "x")) * cell).alias("x"), ((F.col("gr") + _uniform(seed, "y")) * cell).alias("y"))
+
+
+def sample_in_runs(runs: DataFrame, n: int, cell: int, seed: int = 42) -> DataFrame:
+    """sample_in_cells of the cells of disjoint runs (slide_id, gr, c0, c1), the last column in it, without a row for each cell.
+
+    The runs of a slide are laid end to end, and both sides of the range join are listed by n equal parts of the whole.
+    """
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("slide_id").orderBy("gr", "c0")
+    length = F.col("c1") - F.col("c0") + 1
+    upto = F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    laid = runs.select("slide_id", "gr", "c0", "c1", upto.alias("_to"), F.sum(length).over(Window.partitionBy("slide_id")).alias("_m")).withColumn("_from", F.col("_to") - length)
+    part = lambda place, m: F.floor(place * n / m).cast("int")
+    parts = laid.withColumn("_part", F.explode(F.sequence(part(F.col("_from"), F.col("_m")), part(F.col("_to") - 1, F.col("_m")))))
+    draws = _draws(runs.groupBy("slide_id").agg(F.sum(length).alias("m")), n, seed).withColumn("_part", part(F.col("rank"), F.col("m")))
+    at = draws.join(parts, ["slide_id", "_part"]).filter("rank >= _from and rank < _to").withColumn("gc", F.col("c0") + F.col("rank") - F.col("_from"))
+    return at.select("slide_id", "k", ((F.col("gc") + _uniform(seed, "x")) * cell).alias("x"), ((F.col("gr") + _uniform(seed, "y")) * cell).alias("y"))
 
 
 def polygon_triangles(polygons: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nucleispark.operators import boxes, density, features, graph, roi
+from nucleispark.operators import boxes, density, features, graph, regions, roi
 from nucleispark.session import checkpointed as cut
 
 
@@ -14,20 +14,21 @@ def tme_features(dets: DataFrame, slides: DataFrame, n_classes: int = 3, divisor
     region area. Patches of `patch` pixels lie around random points of the region: of 20 * n_patches the best 2 * n_patches that overlap
     little, and of those the first n_patches with enough points."""
     dets = boxes.filter_labels(dets, n_classes)
-    radius = features.class_radius(dets, n_classes)
+    radius = cut(features.class_radius(dets, n_classes))
     cells = cut(density.nuclei_map(dets))
     sizes = density.pooled_sizes(slides, divisor)
-    smooth = cut(density.smooth_density(density.pool_density(cells, slides, divisor), radius, sizes, 1 / divisor))
-    dots = density.dot_products(smooth, n_classes)
-    region = cut(roi.fill_and_label(roi.roi_cells(smooth, core), sizes))
-    area = roi.roi_area(region, sizes, divisor)
-    tries = roi.random_patches(roi.sample_in_cells(region, 20 * n_patches, divisor), slides, cells, 2 * n_patches, patch, core=core)
+    smooth = cut(density.smooth_wide(density.pool_density(cells, slides, divisor), radius, sizes, 1 / divisor, n_classes))
+    dots = density.wide_products(smooth, n_classes)
+    inside = smooth.filter(F.greatest(F.lit(0.0), *(F.col(f"d{c}") for c in core)) > 0).select("slide_id", "gr", "gc")
+    runs = cut(regions.filled_runs(inside, sizes))
+    area = roi.roi_area(regions.run_cells(runs), sizes, divisor)
+    tries = roi.random_patches(roi.sample_in_runs(runs, 20 * n_patches, divisor), slides, cells, 2 * n_patches, patch, core=core)
     chosen = graph.choose_patches(tries.drop("rank", "name"), n_patches)
-    points = graph.points_in_patches(cells, chosen, patch)
+    points = cut(graph.points_in_patches(cells, chosen, patch))
     edges = cut(graph.delaunay_edges(points, max_dist))
     parts = [
         features.long_features(radius, "slide_id", F.col("cls").cast("string"), {"radius": F.col("radius")}),
-        features.long_features(graph.patch_counts(points, dets, n_classes), "slide_id", F.col("cls").cast("string"), {"count": F.col("n")}),
+        features.long_features(graph.patch_counts(points, cells, n_classes), "slide_id", F.col("cls").cast("string"), {"count": F.col("n")}),
         features.long_features(dots, "slide_id", F.concat_ws("_", "i", "j"), {"dot": F.col("dot")}),
         area.select("slide_id", F.lit("roi_area").alias("name"), F.col("roi_area").alias("value")),
     ]
