@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nucleispark.kernels.components import label
-from nucleispark.operators.batches import deal
+from nucleispark.operators.batches import begins, deal, whole_groups
 from nucleispark.session import checkpointed
 
 #: Cells on a side of a block.
 BLOCK = 256
 _RUN, _SIDE, _BESIDE, _PART = range(4)
+_NAMES = ("what", "part", "other", "kind", "a", "b", "c", "n", "outside")
 _MADE = "what int, part long, other long, kind int, a int, b int, c int, n long, outside boolean"
 
 
@@ -47,7 +48,7 @@ def _runs(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(0, cut), np.append(cut, len(line)) - 1
 
 
-def _block_parts(slide, top: int, left: int, gh: int, gw: int, rows: np.ndarray, cols: np.ndarray, block: int) -> pd.DataFrame:
+def _block_parts(top: int, left: int, gh: int, gw: int, rows: np.ndarray, cols: np.ndarray, block: int) -> dict[str, np.ndarray]:
     """The parts of one block, numbered by their first cell's place in the whole grid: runs of their cells, runs at borders to
     other blocks, and which open background lies beside which part. Background that is closed off inside the block is filled."""
     h, w = min(block, gh - top), min(block, gw - left)
@@ -68,8 +69,8 @@ def _block_parts(slide, top: int, left: int, gh: int, gw: int, rows: np.ndarray,
     out = []
 
     def add(what: int, p: np.ndarray, **more) -> None:
-        own = {"what": what, "part": place[p], "other": 0, "kind": (p <= m).astype(int), "a": 0, "b": 0, "c": 0, "n": 0, "outside": False} | more
-        out.append(pd.DataFrame(own))
+        own = {"what": what, "part": place[p], "other": 0, "kind": p <= m, "a": 0, "b": 0, "c": 0, "n": 0, "outside": False} | more
+        out.append([np.broadcast_to(v, len(p)) for v in own.values()])
 
     real = names[names > 0]
     add(_PART, real, n=count[names > 0], outside=np.append(np.zeros(m + 1, bool), outer[1:])[real])
@@ -89,9 +90,7 @@ def _block_parts(slide, top: int, left: int, gh: int, gw: int, rows: np.ndarray,
     beside = np.concatenate(pairs)
     beside = np.unique(beside[(beside[:, 0] > 0) & (beside[:, 0] <= m) & (beside[:, 1] > m)], axis=0)
     add(_BESIDE, beside[:, 0], other=place[beside[:, 1]])
-    made = pd.concat(out, ignore_index=True)
-    made.insert(0, "slide_id", slide)
-    return made
+    return {name: np.concatenate(v) for name, v in zip(_NAMES, zip(*out, strict=True), strict=True)}
 
 
 def _by_block(cells: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
@@ -103,12 +102,22 @@ def _by_block(cells: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     own = own.withColumns({"br": F.floor(F.col("gr") / block).cast("int"), "bc": F.floor(F.col("gc") / block).cast("int")})
     columns = ["slide_id", "gh", "gw", "br", "bc", "gr", "gc"]
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        head, real = pdf.iloc[0], pdf[pdf["gr"] >= 0]
-        return _block_parts(head["slide_id"], int(head["br"]) * block, int(head["bc"]) * block, int(head["gh"]), int(head["gw"]), real["gr"].to_numpy(), real["gc"].to_numpy(), block)
+    names = ["slide_id", "br", "bc"]
+
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of whole blocks, sorted."""
+        starts = begins(pdf, names)
+        gh, gw, br, bc, gr, gc = (pdf[c].to_numpy() for c in columns[1:])
+        found = []
+        for lo, hi in zip(starts, np.append(starts[1:], len(pdf)), strict=True):
+            real = gr[lo:hi] >= 0
+            found.append(_block_parts(int(br[lo]) * block, int(bc[lo]) * block, int(gh[lo]), int(gw[lo]), gr[lo:hi][real], gc[lo:hi][real], block))
+        at = np.repeat(starts, [len(f["part"]) for f in found])
+        return pd.DataFrame({"slide_id": pdf["slide_id"].to_numpy()[at], **{n: np.concatenate([f[n] for f in found]) for n in _NAMES}})
 
     kind = cells.schema["slide_id"].dataType.simpleString()
-    return deal(every.select(*columns).unionByName(own.select(*columns)), "slide_id", "br", "bc").groupBy("slide_id", "br", "bc").applyInPandas(one, f"slide_id {kind}, {_MADE}")
+    dealt = deal(every.select(*columns).unionByName(own.select(*columns)), *names).sortWithinPartitions(*names)
+    return dealt.mapInPandas(whole_groups(names, some), f"slide_id {kind}, {_MADE}")
 
 
 def filled_runs(cells: DataFrame, sizes: DataFrame, least_share: float = 0.0, block: int = BLOCK) -> DataFrame:
@@ -205,16 +214,24 @@ def contour_points(cells: DataFrame, sizes: DataFrame, block: int = BLOCK) -> Da
     the area, with a sign."""
     pieces = half_edges(cells, sizes).withColumns({"br": F.floor(F.col("qr") / block).cast("int"), "bc": F.floor(F.col("qc") / block).cast("int")})
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    names, columns = ["slide_id", "br", "bc"], ["chain", "place", "from", "to", "low", "low_at", "head"]
+
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of whole blocks, sorted."""
+        starts = begins(pdf, names)
         start, end = pdf["from"].to_numpy(), pdf["to"].to_numpy()
-        chain, place, found = _chains(start, end)
-        slide = pdf["slide_id"].iat[0]
-        rows = pd.DataFrame({"slide_id": slide, "chain": chain, "place": place, "from": start, "to": end, "low": 0, "low_at": 0, "head": False})
-        heads = pd.DataFrame(found, columns=["chain", "to", "place", "low", "low_at"]).assign(**{"slide_id": slide, "from": 0, "head": True})
-        return pd.concat([rows, heads[rows.columns]], ignore_index=True)
+        parts, whose = [], []
+        for lo, hi in zip(starts, np.append(starts[1:], len(pdf)), strict=True):
+            chain, place, found = _chains(start[lo:hi], end[lo:hi])
+            head, after, n, low, low_at = np.array(found, np.int64).T
+            parts += [(chain, place, start[lo:hi], end[lo:hi], chain * 0, chain * 0, chain < 0), (head, n, head * 0, after, low, low_at, head >= 0)]
+            whose += [(lo, hi - lo), (lo, len(head))]
+        at = np.repeat(*np.array(whose).T)
+        return pd.DataFrame({"slide_id": pdf["slide_id"].to_numpy()[at], **{c: np.concatenate(v) for c, v in zip(columns, zip(*parts, strict=True), strict=True)}})
 
     kind = cells.schema["slide_id"].dataType.simpleString()
-    made = checkpointed(deal(pieces, "slide_id", "br", "bc").groupBy("slide_id", "br", "bc").applyInPandas(one, f"slide_id {kind}, chain long, place long, from long, to long, low long, low_at long, head boolean"))
+    dealt = deal(pieces.select(*names, "from", "to"), *names).sortWithinPartitions(*names)
+    made = checkpointed(dealt.mapInPandas(whole_groups(names, some), f"slide_id {kind}, chain long, place long, from long, to long, low long, low_at long, head boolean"))
     chains = made.filter("head").select("slide_id", "chain", F.col("to").alias("next"), F.col("place").alias("n"), "low", "low_at")
     rings = _ranked(chains)
     own = made.filter("not head").select("slide_id", "chain", "place", "from", "to").join(rings, ["slide_id", "chain"]).join(sizes.select("slide_id", "gh", "gw"), "slide_id")

@@ -59,3 +59,13 @@ def test_the_record_finds_its_patches_once(spark, monkeypatch):
     additive, edges = summary.tme_features(dets, slides)
     assert sum("n_core" in p for p in plans) == 1
     assert edges.count() > 0 and {r["name"] for r in additive.collect()} >= {"0.radius", "0.count", "0_1.dot", "roi_area"}
+
+
+def test_blocks_of_a_mask_go_to_python_many_at_a_time(spark):
+    rng = np.random.default_rng(2)
+    cells = spark.createDataFrame([(s, int(r), int(c)) for s in (1, 2) for r, c in np.argwhere(rng.random((40, 40)) < 0.7)], "slide_id long, gr int, gc int")
+    sizes = spark.createDataFrame([(1, 40, 40), (2, 40, 40), (3, 9, 9)], "slide_id long, gh int, gw int")
+    assert "FlatMapGroupsInPandas" not in regions._by_block(cells, sizes, 8)._jdf.queryExecution().executedPlan().toString()
+    runs = lambda block: sorted(tuple(r) for r in regions.run_cells(regions.filled_runs(cells, sizes, 0.0, block)).collect())
+    rings = lambda block: sorted((r["slide_id"], r["ring"], r["area"], [tuple(p) for p in r["vertices"]]) for r in regions.contours(cells, sizes, block=block).collect())
+    assert runs(8) == runs(64) and rings(8) == rings(64)
