@@ -53,7 +53,7 @@ def summarize(additive: DataFrame, edges: DataFrame, dets: DataFrame, n_classes:
     pair = F.split(F.substring_index("name", ".", 1), "_")
     dots = additive.filter(F.col("name").endswith(".dot")).select("slide_id", pair[0].try_cast("int").alias("i"), pair[1].try_cast("int").alias("j"), F.col("value").alias("dot"))
     counts = additive.filter(F.col("name").rlike(r"^\d+\.count$")).select("slide_id", F.substring_index("name", ".", 1).try_cast("int").alias("cls"), F.col("value").alias("n"))
-    stats = graph.edge_stats(edges, dets, n_classes)
+    stats = cut(graph.edge_stats(edges, dets, n_classes))  # read many times below
     values = {"edges.mean": F.col("mean"), "edges.std": F.col("std"), "edges.count": F.col("n")}
     parts = [additive.select("slide_id", "name", "value"), features.long_features(stats, "slide_id", F.concat_ws("_", "i", "j"), values), features.density_ratios(dots), features.count_ratios(counts), features.edge_ratios(stats)]
     if morphology:
