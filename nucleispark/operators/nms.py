@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nucleispark.operators.batches import deal, whole_groups
+from nucleispark.operators.batches import begins, deal, whole_groups
 from nucleispark.session import checkpointed
 
 
@@ -100,26 +102,34 @@ def suppress_slides(dets: DataFrame, threshold: float, bin_size: int = 64, block
     kind = {c: dets.schema[c].dataType.simpleString() for c in ("slide_id", "nucleus_id")}
     schema = f"slide_id {kind['slide_id']}, cx long, cy long, worse {kind['nucleus_id']}, score double, better {kind['nucleus_id']}, foreign boolean, status int"
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _decide(*(pdf[c].to_numpy() for c in ("worse", "score", "better", "foreign", "status")))
-        mine = np.array([found[w] for w in pdf["worse"].tolist()], np.int64)
-        known = np.array([s if f else found.get(b, 1) for b, f, s in zip(pdf["better"].tolist(), pdf["foreign"].tolist(), pdf["status"].tolist(), strict=True)], np.int64)
+    names = ["slide_id", "cx", "cy"]
+
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of whole blocks, sorted."""
+        starts = begins(pdf, names)
+        worse, score, better, foreign, status = (pdf[c].to_numpy() for c in ("worse", "score", "better", "foreign", "status"))
+        mine, known = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
+        first = np.zeros(len(pdf), bool)
+        for lo, hi in zip(starts, np.append(starts[1:], len(pdf)), strict=True):
+            own = slice(lo, hi)
+            found = _decide(worse[own], score[own], better[own], foreign[own], status[own])
+            mine[own] = [found[w] for w in worse[own].tolist()]
+            known[own] = [s if f else found.get(b, 1) for b, f, s in zip(better[own].tolist(), foreign[own].tolist(), status[own].tolist(), strict=True)]
+            first[lo + np.unique(worse[own], return_index=True)[1]] = True
         out = pdf.assign(status=mine)
-        out["better"] = np.where(mine > 0, pdf["worse"], pdf["better"])
-        first = ~pdf["worse"].duplicated().to_numpy()
+        out["better"] = np.where(mine > 0, worse, better)
         return out[(mine > 0) & first | (mine == 0) & (known == 0)]
 
     dropped, rounds = [], 0
     columns = [c.split()[0] for c in schema.split(", ")]
     while not waiting.isEmpty():
         rounds += 1
-        grouped = deal(waiting.select(*columns), "slide_id", "cx", "cy").groupBy("slide_id", "cx", "cy")
-        made = checkpointed(grouped.applyInPandas(one, schema))
+        made = checkpointed(deal(waiting.select(*columns), *names).sortWithinPartitions(*names).mapInPandas(whole_groups(names, some), schema))
         decided = made.filter("status > 0").select("slide_id", F.col("worse").alias("better"), F.col("status").alias("_s"))
         dropped.append(decided.filter("_s = 2").select("slide_id", F.col("better").alias("nucleus_id")))
         waiting = made.filter("status = 0").join(decided, ["slide_id", "better"], "left").withColumn("status", F.coalesce("_s", F.lit(0))).drop("_s")
-    for d in dropped:
-        dets = dets.join(d, ["slide_id", "nucleus_id"], "left_anti")
+    if dropped:  # in one join, since all boxes take part in each
+        dets = dets.join(reduce(DataFrame.unionAll, dropped), ["slide_id", "nucleus_id"], "left_anti")
     return dets, rounds
 
 

@@ -69,3 +69,13 @@ def test_blocks_of_a_mask_go_to_python_many_at_a_time(spark):
     runs = lambda block: sorted(tuple(r) for r in regions.run_cells(regions.filled_runs(cells, sizes, 0.0, block)).collect())
     rings = lambda block: sorted((r["slide_id"], r["ring"], r["area"], [tuple(p) for p in r["vertices"]]) for r in regions.contours(cells, sizes, block=block).collect())
     assert runs(8) == runs(64) and rings(8) == rings(64)
+
+
+def test_dropped_boxes_leave_in_one_join(spark):
+    from nucleispark.operators import nms
+
+    chain = [(1, k, 6.0 * k, 0.0, 6.0 * k + 10, 10.0, 1 - k / 100) for k in range(30)]
+    dets = spark.createDataFrame(chain, "slide_id long, nucleus_id long, x0 double, y0 double, x1 double, y1 double, score double")
+    kept, rounds = nms.suppress_slides(dets, 0.1, 16, 32)
+    assert rounds > 1 and sorted(r["nucleus_id"] for r in kept.collect()) == list(range(0, 30, 2))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
