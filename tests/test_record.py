@@ -79,3 +79,12 @@ def test_dropped_boxes_leave_in_one_join(spark):
     kept, rounds = nms.suppress_slides(dets, 0.1, 16, 32)
     assert rounds > 1 and sorted(r["nucleus_id"] for r in kept.collect()) == list(range(0, 30, 2))
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
+
+
+def test_edge_statistics_are_worked_out_once(spark):
+    dets = spark.createDataFrame([(1, 1), (2, 2)], "slide_id long, label int")
+    edges = spark.createDataFrame([(1, 7, 0, 1, 3.0), (1, 7, 0, 1, 5.0)], "slide_id long, patch_id long, i int, j int, dist double")
+    additive = spark.createDataFrame([(1, "0.count", 2.0), (1, "0_0.dot", 4.0)], "slide_id long, name string, value double")
+    long = summary.summarize(additive, edges, dets)
+    assert "stddev_samp" not in long._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["entity"]: r["value"] for r in long.filter("name = '0_1.edges.mean'").collect()} == {"1": 4.0, "2": None}
